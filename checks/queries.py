@@ -8,6 +8,9 @@ events and pages are raw text.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,7 +167,8 @@ def display_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def one_line(name: str) -> Column:
     """Text with its line ends turned into blanks: a record is one line."""
-    return F.translate(name, "\n\r", "  ").alias(name)
+    blank = F.lit(" ")
+    return F.replace(F.replace(name, F.lit("\n"), blank), F.lit("\r"), blank).alias(name)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +260,7 @@ def _files_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a source file, every line of it as a record."""
     lines = F.split("text", "\n")
     documents = table(spark, sf_dir, "documents")
-    return documents.select(
+    file = F.struct(
         F.col("doc_id").cast("string").alias("path"),
         F.transform(
             lines,
@@ -281,6 +285,8 @@ def _files_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("analysis"),
         F.transform(lines, lambda line, i: F.struct((i + 1990).alias("year"))).alias("musicbrainz"),
     )
+    # Unfolded, so that the arrays are built once and not in every expression that uses them.
+    return documents.select(F.inline(F.array(file)))
 
 
 def zip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,11 +333,9 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = files.groupBy(name.alias("table_name")).agg(
         (F.sum("length") > 0).alias("has_bytes")
     )
-    counts = None
-    for one in TABLES:
-        rows = table(spark, sf_dir, one).select(F.col("_metadata.file_path").alias("path"))
-        count = rows.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
-        counts = count if counts is None else counts.unionByName(count)
+    paths = [table(spark, sf_dir, t).select(F.col("_metadata.file_path").alias("path")) for t in TABLES]
+    rows = reduce(DataFrame.unionByName, paths)
+    counts = rows.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
     return listed.join(counts, "table_name", "left")
 
 
@@ -370,6 +374,14 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def kept_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue, kept for queries that read it several times.
+
+    In memory and on disk; what is lost with an executor is worked out again.
+    """
+    return catalog(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.valid_items(catalog(spark, sf_dir), CATALOG_FEATURES)
     return rows.select("p_partkey", "p_name", *CATALOG_FEATURES)
@@ -384,7 +396,7 @@ def feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features.valid_items(catalog(spark, sf_dir), CATALOG_FEATURES)
+    rows = features.valid_items(kept_catalog(spark, sf_dir), CATALOG_FEATURES)
     stats = features.fit_stats(rows, CATALOG_FEATURES)
     scaled = features.standardize(rows, stats)
     return scaled.select("p_partkey", *[_round(f + "_z") for f in CATALOG_FEATURES])
@@ -393,26 +405,30 @@ def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- clusters --------------------------------------------------------------
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
+
+
 def label_means(spark: SparkSession, sf_dir: str) -> list[tuple[float, ...]]:
     """The mean embedding per label, in the order of the labels."""
     rows = table(spark, sf_dir, "embeddings")
-    entries = vectors.entries(F.col("embedding"), EMBEDDING_DIM)
-    means = rows.groupBy("label").agg(*[F.avg(e).alias(f"_{i}") for i, e in enumerate(entries)])
+    entries = vectors.entries("embedding", EMBEDDING_DIM)
+    means = rows.groupBy("label").agg(*[F.expr(f"avg({e}) AS _{i}") for i, e in enumerate(entries)])
     return [tuple(row[1:]) for row in means.orderBy("label").collect()]
 
 
 def assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide vectors: the nearest label mean of every embedding."""
-    rows = table(spark, sf_dir, "embeddings")
-    point = F.col("embedding").cast("array<double>")
-    assigned = clusters.assign_nearest(rows, point, label_means(spark, sf_dir))
+    assigned = clusters.assign_nearest(
+        _embeddings(spark, sf_dir), "embedding", label_means(spark, sf_dir)
+    )
     return assigned.select("vec_id", "label", "cluster")
 
 
 def wssse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    point = F.col("embedding").cast("array<double>")
-    cost = clusters.total_cost(rows, point, label_means(spark, sf_dir))
+    rows = _embeddings(spark, sf_dir)
+    cost = clusters.total_cost(rows, "embedding", label_means(spark, sf_dir))
     return cost.select(_round("wssse"))
 
 
@@ -422,25 +438,25 @@ def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _start_model(rows: DataFrame, steps: int = 0) -> clusters.ClusterModel:
     """Centers that start at the first K valid parts."""
-    return clusters.start_model(rows, CATALOG_FEATURES, [F.col("p_partkey")], K, steps)
+    return clusters.start_model(rows, CATALOG_FEATURES, ["p_partkey"], K, steps)
 
 
 def assign_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few features: the cluster of every valid part."""
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     assigned = clusters.assign_items(rows, _start_model(rows))
     return assigned.select("p_partkey", "p_name", "cluster")
 
 
 def lloyd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _start_model(catalog(spark, sf_dir), steps=2)
+    model = _start_model(kept_catalog(spark, sf_dir), steps=2)
     centers = clusters.centers_table(spark, model)
     rows = centers.select("cluster", F.posexplode("center").alias("pos", "value"))
     return rows.select("cluster", "pos", _round("value"))
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     model = _start_model(rows)
     report = clusters.cluster_report(clusters.assign_items(rows, model), model)
     text = F.transform("center", lambda x: F.format_string("%.3f", x))
@@ -449,7 +465,7 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained centers with the sizes of their clusters."""
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     assigned, model = clusters.cluster_items(rows, CATALOG_FEATURES, K)
     return clusters.cluster_report(assigned, model)
 
@@ -457,7 +473,7 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What holds for every training: all items assigned, at a lower cost than
     one center at the mean (whose cost is items x features on z-scores)."""
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     assigned, model = clusters.cluster_items(rows, CATALOG_FEATURES, K)
     one_center = float(model.n_items * len(CATALOG_FEATURES))
     return clusters.cluster_sizes(assigned).agg(
@@ -472,7 +488,7 @@ def kmeans_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model saved, loaded and laid out as rows."""
     path = scratch_path(spark, "model")
-    models.save_model(spark, _start_model(catalog(spark, sf_dir)), path)
+    models.save_model(spark, _start_model(kept_catalog(spark, sf_dir)), path)
     tables = models.model_tables(spark, models.load_model(spark, path))
     centers = tables["centers"].select(
         F.lit("center").alias("entry"), "cluster", F.posexplode("center").alias("pos", "value")
@@ -487,7 +503,7 @@ def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The assigned catalogue written by cluster; the seed's cluster read back."""
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     model = _start_model(rows)
     path = scratch_path(spark, "clustered")
     items.write_clustered(clusters.assign_items(rows, model), path)
@@ -499,7 +515,7 @@ def clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as delimited text, all clusters."""
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     assigned = clusters.assign_items(rows, _start_model(rows))
     path = scratch_path(spark, "clustered_csv")
     items.write_clustered(assigned, path, format="csv")
@@ -534,7 +550,7 @@ def find_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, clusters.ClusterModel]:
-    rows = catalog(spark, sf_dir)
+    rows = kept_catalog(spark, sf_dir)
     model = _start_model(rows)
     return clusters.assign_items(rows, model), model
 
@@ -571,11 +587,9 @@ def recommend_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both distances of every valid part from the seed."""
     assigned, model, seed = _seeded(spark, sf_dir)
-    return assigned.select(
-        "p_partkey",
-        F.round(recommend.item_distances(assigned, seed, model, "euclidean"), 6).alias("euclidean"),
-        F.round(recommend.item_distances(assigned, seed, model, "book"), 6).alias("book"),
-    )
+    scored = recommend.with_seed_distance(assigned, seed, model, "euclidean", "euclidean")
+    scored = recommend.with_seed_distance(scored, seed, model, "book", "book")
+    return scored.select("p_partkey", _round("euclidean"), _round("book"))
 
 
 def candidate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,10 +616,13 @@ def nearest_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("first.embedding").alias("seed_embedding"),
     )
     distance = vectors.euclidean(
-        vectors.entries(F.col("embedding"), EMBEDDING_DIM),
-        vectors.entries(F.col("seed_embedding"), EMBEDDING_DIM),
+        vectors.entries("embedding", EMBEDDING_DIM), vectors.entries("seed_embedding", EMBEDDING_DIM)
     )
-    best = recommend.nearest_in_group(rows, chosen, "label", distance, "vec_id", TOP)
+
+    def with_distance(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("distance", F.expr(distance))
+
+    best = recommend.nearest_in_group(rows, chosen, "label", with_distance, "vec_id", TOP)
     return best.select("label", "seed_id", "rank", "vec_id", _round("distance"))
 
 

@@ -59,18 +59,22 @@ def whole_number(df: DataFrame, name: str) -> Column:
 def is_finite(value: Column) -> Column:
     """True for a real DOUBLE; false for NULL, NaN and both infinities.
 
-    Spark orders NaN above infinity, so two plain comparisons do, and on a
-    stored column they reach the scan.
+    Spark orders NaN above infinity, so one comparison does and the value is
+    worked out once.
     """
-    return value.isNotNull() & (value > float("-inf")) & (value < float("inf"))
+    return F.coalesce(F.abs(value) < float("inf"), F.lit(False))
 
 
 def has_number(df: DataFrame, name: str) -> Column:
-    """:func:`is_finite` of a column of any type, pushable where it is numeric."""
+    """:func:`is_finite` of a column of any type.
+
+    On a stored number these are plain comparisons, which reach the scan.
+    """
+    column = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return is_finite(F.col(name))
+        return column.isNotNull() & (column > float("-inf")) & (column < float("inf"))
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.col(name).isNotNull()
+        return column.isNotNull()
     return is_finite(number(df, name))
 
 

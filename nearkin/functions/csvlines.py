@@ -23,47 +23,36 @@ WRITE_OPTIONS = {
 }
 
 
-def split_line(line: Column, names: Sequence[str]) -> Column:
-    """Split a line into a struct of the first ``len(names)`` fields, as text.
+def split_line(line: Column, n: int) -> Column:
+    """Split a line into a struct of its first ``n`` fields ``_0``, ``_1``, ... as text.
 
-    The struct is raw: it may hold the end mark. Use it through
-    :func:`line_fields` and :func:`is_data_line`.
+    The struct is raw: it may hold the end mark, see :func:`field_text`.
     """
-    schema = ", ".join(f"`{name}` string" for name in names)
+    schema = ", ".join(f"_{i} string" for i in range(n))
     return F.from_csv(F.concat(line, F.lit(_SWALLOWED)), schema, READ_OPTIONS)
 
 
-def line_fields(fields: Column, names: Sequence[str]) -> list[Column]:
-    """The fields of a split line; an empty field is empty text.
+def field_text(field: Column) -> Column:
+    """A raw field as text; an empty field is empty text.
 
     A quote left open takes the rest of the line, and with it the end mark,
     which is cut off again here.
     """
-    result = []
-    for name in names:
-        field = fields.getField(name)
-        cut = F.when(
-            F.endswith(field, F.lit(_SWALLOWED)),
-            F.substring(field, F.lit(1), F.length(field) - len(_SWALLOWED)),
-        ).otherwise(field)
-        result.append(F.coalesce(cut, F.lit("")).alias(name))
-    return result
-
-
-def is_data_line(line: Column, fields: Column, names: Sequence[str], header: str | None = None) -> Column:
-    """True if the line has all named fields (more do no harm) and is no header.
-
-    A header is a line whose first field is ``header`` (by default the name of
-    the first column), wherever in the file it stands.
+    cut = F.substring(field, F.lit(1), F.length(field) - len(_SWALLOWED))
+    return F.coalesce(F.when(F.endswith(field, F.lit(_SWALLOWED)), cut).otherwise(field), F.lit(""))
+
+
+def is_data_line(line: Column, fields: Sequence[Column], header: str) -> Column:
+    """True if the line has all the raw ``fields`` (more do no harm) and is no header.
+
+    A header is a line whose first field is ``header``, wherever it stands.
     """
-    complete = line != ""
-    for position, name in enumerate(names):
-        field = fields.getField(name)
+    complete = (line != "") & ~fields[0].eqNullSafe(header)
+    for field in fields:
         complete = complete & ~field.eqNullSafe(_END)
-        if position < len(names) - 1:
-            complete = complete & ~F.coalesce(F.endswith(field, F.lit(_SWALLOWED)), F.lit(False))
-    marker = names[0] if header is None else header
-    return complete & ~fields.getField(names[0]).eqNullSafe(marker)
+    for field in fields[:-1]:
+        complete = complete & ~F.coalesce(F.endswith(field, F.lit(_SWALLOWED)), F.lit(False))
+    return complete
 
 
 def join_line(columns: Sequence[Column]) -> Column:

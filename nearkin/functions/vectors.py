@@ -1,21 +1,21 @@
-"""Scaling and distances over vectors given as lists of Columns or numbers.
+"""Distances between vectors, as SQL expressions.
 
-A vector is a Python list with one entry per dimension; an entry is a Column or
-a float. The sums are written out term by term, so that they stay inside one
-span of generated code.
+A vector is a list with one entry per dimension. An entry is a number or the
+SQL text of a DOUBLE expression, most often a column name. The sums are written
+out term by term, so that they stay inside one span of generated code; as text
+they reach the planner in one call rather than in one call per operator.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Entry = Column | float
+Entry = str | float
 
 # Below these a spread or a divisor counts as zero.
 MIN_STD = 1e-12
@@ -28,20 +28,26 @@ METRICS = ("euclidean", "book")
 MAX_INLINE_TERMS = 200
 
 
-def entries(column: Column, dimension: int) -> list[Column]:
-    """The entries of an array column as DOUBLE columns."""
-    return [F.get(column, F.lit(i)).cast("double") for i in range(dimension)]
+def entries(array: str, dimension: int) -> list[str]:
+    """The entries of an array column."""
+    return [f"CAST(get(`{array}`, {i}) AS DOUBLE)" for i in range(dimension)]
 
 
-def _plus(terms: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+def _sql(entry: Entry) -> str:
+    return f"({entry})" if isinstance(entry, str) else f"({float(entry)!r}D)"
 
 
-def _column(entry: Entry) -> Column:
-    return entry if isinstance(entry, Column) else F.lit(float(entry))
+def _sum(terms: Sequence[str]) -> str:
+    return " + ".join(terms)
 
 
-def z_scores(point: Sequence[Column], mean: Sequence[float], std: Sequence[float]) -> list[Column]:
+def _dot(p: Sequence[Entry], q: Sequence[Entry]) -> str:
+    return _sum([f"{_sql(a)} * {_sql(b)}" for a, b in zip(p, q, strict=True)])
+
+
+def z_scores(
+    point: Sequence[Column], mean: Sequence[float], std: Sequence[float]
+) -> list[Column]:
     """(value - mean) / std per dimension; a spread of about zero divides by 1."""
     return [
         (value - float(m)) / (float(s) if s > MIN_STD else 1.0)
@@ -49,75 +55,89 @@ def z_scores(point: Sequence[Column], mean: Sequence[float], std: Sequence[float
     ]
 
 
-def squared_distance(p: Sequence[Entry], q: Sequence[Entry]) -> Column:
+def squared_distance(p: Sequence[Entry], q: Sequence[Entry]) -> str:
     """Squared Euclidean distance."""
-    gaps = [_column(a) - _column(b) for a, b in zip(p, q, strict=True)]
-    return _plus([gap * gap for gap in gaps])
+    gaps = [f"{_sql(a)} - {_sql(b)}" for a, b in zip(p, q, strict=True)]
+    return _dot(gaps, gaps)
 
 
-def euclidean(p: Sequence[Entry], q: Sequence[Entry]) -> Column:
+def euclidean(p: Sequence[Entry], q: Sequence[Entry]) -> str:
     """Euclidean distance."""
-    return F.sqrt(squared_distance(p, q))
+    return f"sqrt({squared_distance(p, q)})"
 
 
-def relative_deviation(point: Sequence[Entry], center: Sequence[Entry]) -> list[Column]:
+def relative_deviation(point: Sequence[Entry], center: Sequence[Entry]) -> list[str]:
     """value / center - 1 per dimension; a center entry near zero divides by EPS."""
     result = []
     for value, middle in zip(point, center, strict=True):
-        if isinstance(middle, Column):
-            divisor = F.when(F.abs(middle) > EPS, middle).otherwise(F.lit(EPS))
+        if isinstance(middle, str):
+            divisor = f"CASE WHEN abs({middle}) > {EPS!r}D THEN {middle} ELSE {EPS!r}D END"
         else:
-            divisor = F.lit(float(middle) if abs(middle) > EPS else EPS)
-        result.append(_column(value) / divisor - 1.0)
+            divisor = float(middle) if abs(middle) > EPS else EPS
+        result.append(f"{_sql(value)} / {_sql(divisor)} - 1.0D")
     return result
 
 
-def book_distance(p: Sequence[Entry], seed: Sequence[Entry], center: Sequence[Entry]) -> Column:
-    """Cosine and difference in length of the two deviations from the center.
+def norm(vector: Sequence[Entry]) -> str:
+    """Euclidean length."""
+    return f"sqrt({_dot(vector, vector)})"
 
-    Items that deviate in the same direction count as far apart; that is part
-    of the measure.
-    """
-    c = relative_deviation(seed, center)
-    d = relative_deviation(p, center)
-    c_norm = F.sqrt(_plus([x * x for x in c]))
-    d_norm = F.sqrt(_plus([x * x for x in d]))
-    gap = c_norm - d_norm
-    cosine = _plus([x * y for x, y in zip(c, d, strict=True)]) / c_norm / d_norm
-    return F.when((c_norm < EPS) | (d_norm < EPS), F.abs(gap)).otherwise(
-        F.sqrt(cosine * cosine + gap * gap)
-    )
 
+def with_distance(
+    df: DataFrame,
+    point: Sequence[Entry],
+    seed: Sequence[Entry],
+    center: Sequence[Entry],
+    metric: str = "euclidean",
+    name: str = "distance",
+) -> DataFrame:
+    """Add the distance between ``point`` and ``seed`` under the chosen measure.
 
-def item_distance(
-    p: Sequence[Entry], seed: Sequence[Entry], center: Sequence[Entry], metric: str = "euclidean"
-) -> Column:
-    """The distance of an item from the seed under the chosen measure."""
+    ``euclidean`` is the plain distance. ``book`` works on the deviations of
+    both from ``center``: the root of their squared cosine plus the squared
+    difference of their lengths, or that difference alone where a length is
+    about zero. Items that deviate in the same direction thus count as far
+    apart; that is part of the measure.
+    """
     if metric == "euclidean":
-        return euclidean(p, seed)
-    if metric == "book":
-        return book_distance(p, seed, center)
-    raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
+        return df.withColumn(name, F.expr(euclidean(point, seed)))
+    if metric != "book":
+        raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
+    places = range(len(point))
+    of_point = [f"{e} AS _d{i}" for i, e in enumerate(relative_deviation(point, center))]
+    of_seed = [f"{e} AS _c{i}" for i, e in enumerate(relative_deviation(seed, center))]
+    c, d = [f"_c{i}" for i in places], [f"_d{i}" for i in places]
+    lengths = [f"{norm(c)} AS _cn", f"{norm(d)} AS _dn", f"{_dot(c, d)} AS _cd"]
+    measured = df.selectExpr("*", *of_point, *of_seed).selectExpr(
+        *[f"`{column}`" for column in df.columns], *lengths
+    )
+    cosine = "(_cd / _cn / _dn)"
+    distance = F.expr(
+        f"CASE WHEN _cn < {EPS!r}D OR _dn < {EPS!r}D THEN abs(_cn - _dn) "
+        f"ELSE sqrt({cosine} * {cosine} + (_cn - _dn) * (_cn - _dn)) END"
+    )
+    return measured.withColumn(name, distance).drop("_cn", "_dn", "_cd")
 
 
-def nearest_center(point: Sequence[Column] | Column, centers: Sequence[Sequence[float]]) -> Column:
+def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]]) -> Column:
     """STRUCT<cost DOUBLE, cluster INT> of the nearest center.
 
-    Equally near centers give the lowest index. ``point`` is a list of columns
-    or one array column. Centers are parameters (k x d numbers), never data.
+    Equally near centers give the lowest index. ``point`` is a list of entries
+    or the name of an ARRAY<DOUBLE> column. Centers are parameters (k x d
+    numbers), never data.
     """
     if not centers:
         raise ValueError("no centers")
     dimension = len(centers[0])
     if len(centers) * dimension > MAX_INLINE_TERMS:
-        packed = point if isinstance(point, Column) else F.array(*point)
+        packed = F.col(point) if isinstance(point, str) else F.array(*map(F.expr, point))
         return _nearest_by_arrow(centers)(packed)
-    columns = entries(point, dimension) if isinstance(point, Column) else point
+    places = entries(point, dimension) if isinstance(point, str) else point
     options = [
-        F.struct(squared_distance(columns, center).alias("cost"), F.lit(i).alias("cluster"))
+        f"struct({squared_distance(places, center)} AS cost, {i} AS cluster)"
         for i, center in enumerate(centers)
     ]
-    return options[0] if len(options) == 1 else F.least(*options)
+    return F.expr(options[0] if len(options) == 1 else f"least({', '.join(options)})")
 
 
 def _nearest_by_arrow(centers: Sequence[Sequence[float]]):

@@ -10,11 +10,11 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import vectors
-from nearkin.operators.features import FeatureStats, fit_stats, valid_items, z_vector
+from nearkin.operators.features import FeatureStats, fit_stats, valid_items, with_point, z_names
 from nearkin.schema import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, SONG_FEATURES
 
 MAX_MODEL_NUMBERS = 1_000_000
@@ -45,19 +45,23 @@ class ClusterModel:
 
 
 def assign_nearest(
-    df: DataFrame, point: Sequence[Column] | Column, centers, cluster: str = "cluster"
+    df: DataFrame, point: Sequence[str] | str, centers, cluster: str = "cluster"
 ) -> DataFrame:
-    """Add the index of the nearest center; ties go to the lowest index."""
+    """Add the index of the nearest center; ties go to the lowest index.
+
+    ``point`` is a list of column names or the name of an array column.
+    """
     return df.withColumn(cluster, vectors.nearest_center(point, centers).getField("cluster"))
 
 
 def assign_items(df: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:
     """Add the cluster to every item with valid features; other rows go."""
-    valid = valid_items(df, model.features)
-    return assign_nearest(valid, z_vector(valid, model.stats), model.centers, cluster)
+    names = z_names(model.stats)
+    placed = with_point(valid_items(df, model.features), model.stats)
+    return assign_nearest(placed, names, model.centers, cluster).drop(*names)
 
 
-def total_cost(df: DataFrame, point: Sequence[Column] | Column, centers) -> DataFrame:
+def total_cost(df: DataFrame, point: Sequence[str] | str, centers) -> DataFrame:
     """``wssse``: the sum of squared distances to the nearest center."""
     cost = vectors.nearest_center(point, centers).getField("cost")
     return df.agg(F.sum(cost).alias("wssse"))
@@ -99,20 +103,21 @@ def fit_kmeans(
     """
     valid = valid_items(df, features)
     stats = fit_stats(valid, features)
-    point = z_vector(valid, stats)
+    placed = with_point(valid, stats)
+    names = z_names(stats)
     trainer = KMeans(
         k=k, maxIter=max_iter, tol=1e-4, initMode="k-means||", initSteps=2, solver="row",
         seed=seed, featuresCol="point",
     )
-    trained = trainer.fit(valid.select(array_to_vector(F.array(*point)).alias("point")))
+    trained = trainer.fit(placed.select(array_to_vector(F.array(*names)).alias("point")))
     centers = tuple(tuple(map(float, c)) for c in trained.clusterCenters())
-    wssse = total_cost(valid, point, centers).first()["wssse"]
+    wssse = total_cost(placed, names, centers).first()["wssse"]
     return ClusterModel(stats, centers, k, float(wssse), stats.n)
 
 
 def lloyd(
     df: DataFrame,
-    point: Sequence[Column],
+    point: Sequence[str],
     starts: Sequence[Sequence[float]],
     steps: int = 50,
     tolerance: float = 1e-6,
@@ -121,22 +126,20 @@ def lloyd(
 
     An empty cluster keeps its center. Stops when the centers together move
     less than ``tolerance``. A step is one aggregate with partial means per
-    task; k x d numbers come back to the driver. Of the table only the point is
-    kept between the steps.
+    task; k x d numbers come back to the driver. Of the table only the columns
+    of the point are kept between the steps.
     """
-    names = [f"_{i}" for i in range(len(point))]
-    points = df.select(*[value.alias(name) for value, name in zip(point, names, strict=True)])
     centers = [tuple(map(float, start)) for start in starts]
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.select(*point).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(steps):
-            assigned = assign_nearest(points, [F.col(name) for name in names], centers)
-            means = assigned.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names]).collect()
+            assigned = assign_nearest(points, point, centers, "_cluster")
+            means = assigned.groupBy("_cluster").agg(*[F.avg(name).alias(name) for name in point])
             moved = 0.0
-            for row in means:
-                mean = tuple(row[name] for name in names)
-                moved += math.dist(mean, centers[row["cluster"]])
-                centers[row["cluster"]] = mean
+            for row in means.collect():
+                mean = tuple(row[name] for name in point)
+                moved += math.dist(mean, centers[row["_cluster"]])
+                centers[row["_cluster"]] = mean
             if moved < tolerance:
                 break
     finally:
@@ -145,21 +148,14 @@ def lloyd(
 
 
 def first_points(
-    df: DataFrame, point: Sequence[Column], order: Sequence[Column], k: int
+    df: DataFrame, point: Sequence[str], order: Sequence[str], k: int
 ) -> list[tuple[float, ...]]:
     """The points of the first ``k`` rows in the given order, as start centers."""
-    places = [value.alias(f"_{i}") for i, value in enumerate(point)]
-    ordered = df.select(*[c.alias(f"_o{i}") for i, c in enumerate(order)], *places)
-    rows = ordered.orderBy(*[f"_o{i}" for i in range(len(order))]).limit(k).collect()
-    return [tuple(row[f"_{i}"] for i in range(len(point))) for row in rows]
+    return [tuple(row) for row in df.orderBy(*order).select(*point).limit(k).collect()]
 
 
 def start_model(
-    df: DataFrame,
-    features: Sequence[str],
-    order: Sequence[Column],
-    k: int = DEFAULT_K,
-    steps: int = 0,
+    df: DataFrame, features: Sequence[str], order: Sequence[str], k: int = DEFAULT_K, steps: int = 0
 ) -> ClusterModel:
     """A model whose centers start at the first ``k`` valid items.
 
@@ -168,10 +164,10 @@ def start_model(
     """
     valid = valid_items(df, features)
     stats = fit_stats(valid, features)
-    point = z_vector(valid, stats)
-    centers = tuple(first_points(valid, point, order, k))
+    placed = with_point(valid, stats)
+    centers = tuple(first_points(placed, z_names(stats), order, k))
     if steps > 0:
-        centers = lloyd(valid, point, centers, steps)
+        centers = lloyd(placed, z_names(stats), centers, steps)
     return ClusterModel(stats, centers, k, n_items=stats.n)
 
 

@@ -85,12 +85,22 @@ def fit_stats(df: DataFrame, features: Sequence[str]) -> FeatureStats:
 
 def z_vector(df: DataFrame, stats: FeatureStats) -> list[Column]:
     """The scaled features of a table, in the order of ``stats.features``."""
-    vector = feature_vector(df, stats.features)
-    scaled = vectors.z_scores(vector, stats.mean, stats.std)
-    return [value.alias(name) for value, name in zip(scaled, stats.features, strict=True)]
+    return vectors.z_scores(feature_vector(df, stats.features), stats.mean, stats.std)
 
 
 def standardize(df: DataFrame, stats: FeatureStats, suffix: str = "_z") -> DataFrame:
     """Add the scaled features as further columns."""
     scaled = zip(z_vector(df, stats), stats.features, strict=True)
     return df.select("*", *[value.alias(name + suffix) for value, name in scaled])
+
+
+def z_names(stats: FeatureStats, prefix: str = "_z") -> list[str]:
+    """The names that :func:`with_point` gives."""
+    return [f"{prefix}{i}" for i in range(len(stats.features))]
+
+
+def with_point(df: DataFrame, stats: FeatureStats, prefix: str = "_z") -> DataFrame:
+    """Add the scaled features under short names, for distances to work on."""
+    names = z_names(stats, prefix)
+    scaled = zip(z_vector(df, stats), names, strict=True)
+    return df.select("*", *[value.alias(name) for value, name in scaled])

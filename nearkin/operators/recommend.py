@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.functions import casts, vectors
-from nearkin.operators.clusters import ClusterModel
-from nearkin.operators.features import feature_vector, valid_items, z_vector
+from nearkin.operators.clusters import ClusterModel, centers_table
+from nearkin.operators.features import feature_vector, valid_items, with_point, z_names
 from nearkin.schema import DEFAULT_TOP, SONGS, ItemColumns
 
 # Ways of joining many seeds with their groups, see nearest_in_group.
@@ -39,15 +39,15 @@ def describe(df: DataFrame, columns: ItemColumns = SONGS, keep: Sequence[str] =
 
 
 def seed_row(seeds: DataFrame, model: ClusterModel, columns: ItemColumns = SONGS) -> Row:
-    """The seed as a row with its scaled features ``_0``, ``_1``, ...
+    """The seed as a row with its scaled features ``_z0``, ``_z1``, ...
 
     Raises LookupError if the seed does not exist or its features are invalid.
     """
     valid = valid_items(seeds, model.features)
-    point = [value.alias(f"_{i}") for i, value in enumerate(z_vector(valid, model.stats))]
     shown = _present(valid, (columns.id, columns.name, columns.maker_name, columns.maker_id))
     names = [*shown, *_present(valid, (columns.year, columns.cluster))]
-    found = valid.select(*names, *point).limit(1).collect()
+    point = z_names(model.stats)
+    found = with_point(valid, model.stats).select(*names, *point).limit(1).collect()
     if not found:
         raise LookupError("the seed item was not found")
     return found[0]
@@ -81,13 +81,18 @@ def candidate_counts(
     )
 
 
-def item_distances(
-    rows: DataFrame, seed: Row, model: ClusterModel, metric: str = "euclidean"
-) -> Column:
-    """The distance of each row from the seed, in the seed's cluster."""
-    point = z_vector(rows, model.stats)
-    start = [seed[f"_{i}"] for i in range(len(point))]
-    return vectors.item_distance(point, start, model.centers[seed["cluster"]], metric)
+def with_seed_distance(
+    rows: DataFrame,
+    seed: Row,
+    model: ClusterModel,
+    metric: str = "euclidean",
+    name: str = "distance",
+) -> DataFrame:
+    """Add the distance of each row from the seed, in the seed's cluster."""
+    point = z_names(model.stats)
+    start, center = [seed[z] for z in point], model.centers[seed["cluster"]]
+    placed = with_point(rows, model.stats)
+    return vectors.with_distance(placed, point, start, center, metric, name).drop(*point)
 
 
 def recommend(
@@ -104,7 +109,7 @@ def recommend(
     are ordered by id. The distance is rounded to 6 digits after ranking.
     """
     rows = candidates(assigned, seed, model, columns)
-    scored = rows.withColumn("distance", item_distances(rows, seed, model, metric))
+    scored = with_seed_distance(rows, seed, model, metric)
     best = describe(scored, columns, keep=["distance"]).orderBy("distance", columns.id).limit(n)
     place = F.row_number().over(W.orderBy("distance", columns.id))
     return best.withColumn("rank", place).withColumn("distance", F.round("distance", 6))
@@ -141,17 +146,11 @@ def recommend_document(
     )
 
 
-def _center_columns(cluster: Column, centers) -> list[Column]:
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in center]) for center in centers])
-    return [F.get(F.get(table, cluster), F.lit(i)) for i in range(len(centers[0]))]
-
-
 def _pairs(
-    rows: DataFrame, seeds: DataFrame, group: str, item_id: str, distance: Column, by_broadcast: bool
+    rows: DataFrame, seeds: DataFrame, group: str, item_id: str, distance, by_broadcast: bool
 ) -> DataFrame:
     """Rows with the seeds of their group, as far as the distance is within the
-    seed's ``_bound``; the others are dropped inside the join."""
-    others = F.col(item_id) != F.col("seed_id")
+    seed's ``_bound``; the others are dropped as they come out of the join."""
     if by_broadcast:
         pairs = rows.join(F.broadcast(seeds), group)
     else:
@@ -159,7 +158,8 @@ def _pairs(
         sliced = rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
         repeated = seeds.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
         pairs = sliced.join(repeated, [group, "_slice"]).drop("_slice")
-    return pairs.filter(others & (distance <= F.col("_bound"))).withColumn("distance", distance)
+    scored = distance(pairs.filter(F.col(item_id) != F.col("seed_id")))
+    return scored.filter(F.col("distance") <= F.col("_bound"))
 
 
 def _n_nearest(pairs: DataFrame, item_id: str, n: int) -> DataFrame:
@@ -171,7 +171,7 @@ def nearest_in_group(
     rows: DataFrame,
     seeds: DataFrame,
     group: str,
-    distance: Column,
+    distance: Callable[[DataFrame], DataFrame],
     item_id: str,
     n: int = DEFAULT_TOP,
     max_direct: int = MAX_DIRECT_SEEDS,
@@ -181,7 +181,8 @@ def nearest_in_group(
     """For every seed the ``n`` nearest rows of its own group, with ``rank``.
 
     ``seeds`` has a unique ``seed_id``, the group column and whatever else
-    ``distance`` needs. A seed is compared with its group only, and every input
+    ``distance`` needs, which adds a column of that name to the joined rows. A
+    seed is compared with its group only, and every input
     partition keeps ``n`` rows per seed before the shuffle. The seeds are
     counted first:
 
@@ -228,28 +229,24 @@ def recommend_batch(
     :func:`nearest_in_group`.
     """
     c = columns
-    span = range(len(model.features))
-    rows = valid_items(assigned, model.features)
-    points = [v.alias(f"_{i}") for i, v in enumerate(z_vector(rows, model.stats))]
-    shown = describe(rows, c).columns
-    described = describe(
-        rows.select("*", *points), c, keep=[c.cluster, *[f"_{i}" for i in span]]
-    )
-    valid = valid_items(seeds, model.features)
-    starts = [v.alias(f"_seed_{i}") for i, v in enumerate(z_vector(valid, model.stats))]
-    first = F.min(F.struct(F.col(c.cluster), *starts)).alias("seed")
-    middles = _center_columns(F.col(c.cluster), model.centers)
-    seed_rows = (
-        valid.groupBy(F.col(c.id).alias("seed_id"))
-        .agg(first)
-        .select("seed_id", "seed.*")
-        .select("*", *[v.alias(f"_center_{i}") for i, v in enumerate(middles)])
+    point = z_names(model.stats)
+    start = z_names(model.stats, "_seed")
+    middle = z_names(model.stats, "_center")
+    rows = with_point(valid_items(assigned, model.features), model.stats)
+    shown = [name for name in describe(rows, c).columns if name != c.cluster]
+    described = describe(rows, c, keep=[c.cluster, *point])
+    valid = with_point(valid_items(seeds, model.features), model.stats, "_seed")
+    first = F.min(F.struct(F.col(c.cluster), *start)).alias("seed")
+    chosen = valid.groupBy(F.col(c.id).alias("seed_id")).agg(first).select("seed_id", "seed.*")
+    centers = centers_table(assigned.sparkSession, model).select(
+        F.col("cluster").alias(c.cluster),
+        *[F.get("center", F.lit(i)).alias(name) for i, name in enumerate(middle)],
     )
-    distance = vectors.item_distance(
-        [F.col(f"_{i}") for i in span],
-        [F.col(f"_seed_{i}") for i in span],
-        [F.col(f"_center_{i}") for i in span],
-        metric,
-    )
-    best = nearest_in_group(described, seed_rows, c.cluster, distance, c.id, n, **limits)
+    # The centers are k rows, see MAX_MODEL_NUMBERS.
+    chosen = chosen.join(F.broadcast(centers), c.cluster)
+
+    def distance(pairs: DataFrame) -> DataFrame:
+        return vectors.with_distance(pairs, point, start, middle, metric)
+
+    best = nearest_in_group(described, chosen, c.cluster, distance, c.id, n, **limits)
     return best.select("seed_id", "rank", *shown, F.round("distance", 6).alias("distance"))

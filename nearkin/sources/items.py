@@ -19,14 +19,22 @@ def parse_lines(
 ) -> DataFrame:
     """Lines to rows of text columns; headers and lines that are too short go.
 
-    Other columns of ``lines`` are kept in front.
+    A header is a line whose first field is ``header``, by default the name of
+    the first column. Other columns of ``lines`` are kept in front. The split
+    is unfolded with ``inline``, which keeps the optimizer from repeating it in
+    every expression that uses a field.
     """
     names = schema.fieldNames()
     others = [F.col(name) for name in lines.columns if name != value]
-    split = lines.withColumn("_fields", csvlines.split_line(F.col(value), names))
-    fields = F.col("_fields")
-    kept = split.filter(csvlines.is_data_line(F.col(value), fields, names, header))
-    return kept.select(*others, *csvlines.line_fields(fields, names))
+    line = F.col(value)
+    split = lines.select(
+        *others, line.alias("_line"), F.inline(F.array(csvlines.split_line(line, len(names))))
+    )
+    fields = [F.col(f"_{i}") for i in range(len(names))]
+    marker = names[0] if header is None else header
+    kept = split.filter(csvlines.is_data_line(F.col("_line"), fields, marker))
+    texts = [csvlines.field_text(f).alias(name) for f, name in zip(fields, names, strict=True)]
+    return kept.select(*others, *texts)
 
 
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
