@@ -13,22 +13,56 @@ from pyspark.sql import types as T
 
 NAN = float("nan")
 
-# Text that the JVM reads as a number although it is none: 1d, 2F, 0x1p3.
-_JVM_ONLY = r"[0-9.][dDfF]\s*$|[xX]"
+# What is a number: digits, which single underscores may group, with an optional
+# fraction and exponent. Looked up before the cast, because a cast that fails
+# costs far more than the look (it raises and catches an error inside).
+_DIGITS = r"\d++(?:_\d++)*+"
+_NUMBER = (
+    rf"^\s*+[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*+$"
+)
+_BLANKS = " \t\n\r\f\x0b"
+
+# The words that stand for numbers, in lower case.
+_PLUS_INFINITY = ("inf", "+inf", "infinity", "+infinity")
+_MINUS_INFINITY = ("-inf", "-infinity")
+_NOT_A_NUMBER = ("nan", "+nan", "-nan")
 
 
 def safe_float(value: Column, default: float = NAN) -> Column:
     """Text to DOUBLE; whatever is not a number becomes ``default``.
 
-    Digits may be grouped by single underscores (``1_000``). Only ASCII white
-    space around the number is ignored.
+    White space around the number and upper or lower case do not matter. Text
+    that begins and ends like a plain number is cast at once; hexadecimal
+    numbers, which the JVM would take, have an x.
     """
-    plain = F.when(
-        F.contains(value, F.lit("_")), F.regexp_replace(value, "(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(value)
-    return F.when(F.rlike(value, F.lit(_JVM_ONLY)), F.lit(default)).otherwise(
-        F.coalesce(plain.try_cast("double"), F.lit(default))
+    plain = (
+        value.between("+", "9~")
+        & F.substring(value, -1, 1).between("0", "9")
+        & ~F.contains(value, F.lit("x"))
+        & ~F.contains(value, F.lit("X"))
+    )
+    word = F.lower(F.btrim(value, F.lit(_BLANKS)))
+    number = F.replace(value, F.lit("_"), F.lit("")).try_cast("double")
+    other = (
+        F.when(F.rlike(value, F.lit(_NUMBER)), number)
+        .when(word.isin(*_PLUS_INFINITY), F.lit(float("inf")))
+        .when(word.isin(*_MINUS_INFINITY), F.lit(float("-inf")))
+        .when(word.isin(*_NOT_A_NUMBER), F.lit(NAN))
+        .otherwise(F.lit(default))
     )
+    return F.coalesce(F.when(plain, value.try_cast("double")), other)
+
+
+def cut_to_int(value: Column, default: int = 0) -> Column:
+    """DOUBLE to INT, cut towards zero; missing and out of range give ``default``.
+
+    The value is held to just outside the range, where NaN lands too, and what
+    lies there is dropped, so that no cast fails.
+    """
+    below, above = -(2**31) - 1, 2**31
+    held = F.least(F.greatest(value, F.lit(float(below))), F.lit(float(above))).cast("bigint")
+    inside = F.nullif(F.nullif(held, F.lit(below)), F.lit(above))
+    return F.coalesce(F.when(value.isNotNull(), inside.cast("int")), F.lit(default))
 
 
 def safe_int(value: Column, default: int = 0) -> Column:
@@ -36,7 +70,7 @@ def safe_int(value: Column, default: int = 0) -> Column:
 
     Infinite values and values outside the INT range also give ``default``.
     """
-    return F.coalesce(safe_float(value).try_cast("int"), F.lit(default))
+    return cut_to_int(safe_float(value), default)
 
 
 def number(df: DataFrame, name: str) -> Column:
@@ -52,7 +86,7 @@ def whole_number(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
         return F.coalesce(F.col(name).cast("int"), F.lit(0))
     if isinstance(dtype, T.NumericType):
-        return F.coalesce(F.col(name).try_cast("int"), F.lit(0))
+        return cut_to_int(F.col(name).cast("double"))
     return safe_int(F.col(name).cast("string"))
 
 

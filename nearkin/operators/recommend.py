@@ -197,8 +197,11 @@ def nearest_in_group(
 
     The result is the same on each way.
     """
-    n_seeds = seeds.limit(max_broadcast + 1).count()
+    found = seeds.limit(max_broadcast + 1).collect()
+    n_seeds = len(found)
     by_broadcast = n_seeds <= max_broadcast
+    if by_broadcast:
+        seeds = seeds.sparkSession.createDataFrame(found, seeds.schema)
     unbounded = F.lit(float("inf"))
     bounded = seeds.withColumn("_bound", unbounded)
     if n_seeds > max_direct:

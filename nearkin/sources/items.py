@@ -38,20 +38,25 @@ def parse_lines(
 
 
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns to the types of ``schema`` with the forgiving casts."""
-    columns = []
-    for name in rows.columns:
-        if name not in schema.fieldNames():
-            columns.append(F.col(name))
-            continue
-        dtype = schema[name].dataType
-        if isinstance(dtype, T.FractionalType):
-            columns.append(casts.safe_float(F.col(name)).alias(name))
-        elif isinstance(dtype, T.IntegralType):
-            columns.append(casts.safe_int(F.col(name)).alias(name))
-        else:
-            columns.append(F.col(name))
-    return rows.select(*columns)
+    """Text columns to the types of ``schema`` with the forgiving casts.
+
+    As in :func:`parse_lines` the row is unfolded, so that a filter on a number
+    does not repeat the cast of its text.
+    """
+    names = schema.fieldNames()
+    numeric = [n for n in names if isinstance(schema[n].dataType, T.NumericType)]
+    whole = [n for n in names if isinstance(schema[n].dataType, T.IntegralType)]
+    floats = rows.select(
+        *[
+            casts.safe_float(F.col(name)).alias(name) if name in numeric else F.col(name)
+            for name in rows.columns
+        ]
+    )
+    columns = [
+        casts.cut_to_int(F.col(name)).alias(name) if name in whole else F.col(name)
+        for name in rows.columns
+    ]
+    return floats.select(F.inline(F.array(F.struct(*columns))))
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA) -> DataFrame:

@@ -74,7 +74,7 @@ def zip_records(files: DataFrame) -> DataFrame:
     for name, (array, field) in RECORD_FIELDS.items():
         value, dtype = _field(files, array, field)
         if name == "year":
-            value = F.coalesce(_as_number(value, dtype).try_cast("int"), F.lit(0))
+            value = casts.cut_to_int(_as_number(value, dtype))
         elif name.endswith(("_id", "_name")):
             value = casts.as_text(value, dtype)
         else:
