@@ -38,6 +38,10 @@ ORDERS = ItemColumns(
 CUSTOMERS = ItemColumns(
     maker_id="c_custkey", maker_name="c_name", maker_popularity="c_acctbal", year="year"
 )
+SALES = ItemColumns(
+    id="o_orderkey", name="o_orderpriority", popularity="o_totalprice", year="year",
+    maker_id="c_custkey", maker_name="c_name", maker_popularity="c_acctbal",
+)
 CATALOG = ItemColumns(
     id="p_partkey", name="p_name", maker_id="p_type", maker_name="p_brand", year="p_size",
     extra=(("price", 2), ("quantity", 2)),
@@ -82,14 +86,17 @@ def active_customers(spark: SparkSession, sf_dir: str, first: int, last: int) ->
     return pairs.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
 
 
-def top_items_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+def top_orders(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
     """The dearest orders per year; the customer's name joins the few winners."""
-    orders = orders_in(spark, sf_dir, FIRST_YEAR, LAST_YEAR)
-    ranked = ranking.top_songs(orders, FIRST_YEAR, LAST_YEAR, TOP, ORDERS)
+    orders = orders_in(spark, sf_dir, first, last)
+    ranked = ranking.top_songs(orders, first, last, TOP, ORDERS)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     # At most years x TOP rows, so broadcasting the ranking is safe.
-    named = customers.join(F.broadcast(ranked), F.col("c_custkey") == F.col("o_custkey"))
-    return named.select(
+    return customers.join(F.broadcast(ranked), F.col("c_custkey") == F.col("o_custkey"))
+
+
+def top_items_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_orders(spark, sf_dir, FIRST_YEAR, LAST_YEAR).select(
         "year", "rank", "o_orderkey", "o_orderpriority", "o_custkey", "c_name",
         _round("o_totalprice", 4),
     )
@@ -111,14 +118,10 @@ def top_by_year_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The year documents of orders (as items) and customers (as makers)."""
-    orders = orders_in(spark, sf_dir, *SPINE_YEARS)
-    customers = table(spark, sf_dir, "customer")
-    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    columns = ItemColumns(
-        id="o_orderkey", name="o_orderpriority", popularity="o_totalprice", year="year",
-        maker_id="o_custkey", maker_name="c_name", maker_popularity="c_acctbal",
-    )
-    return ranking.top_by_year_document(rows, *SPINE_YEARS, TOP, columns)
+    customers = active_customers(spark, sf_dir, *SPINE_YEARS)
+    makers = ranking.top_artists(customers, *SPINE_YEARS, TOP, CUSTOMERS)
+    orders = top_orders(spark, sf_dir, *SPINE_YEARS)
+    return ranking.year_documents(makers, orders, *SPINE_YEARS, SALES)
 
 
 def _flat_documents(documents: DataFrame) -> DataFrame:

@@ -127,18 +127,14 @@ def _lists(ranked: DataFrame, year: str, name: str, fields: Sequence[Column]) ->
     return ranked.groupBy(year).agg(ordered.alias(name))
 
 
-def top_by_year_document(
-    df: DataFrame,
-    first: int = DEFAULT_YEARS[0],
-    last: int = DEFAULT_YEARS[1],
-    n: int = DEFAULT_TOP,
-    columns: ItemColumns = SONGS,
+def year_documents(
+    artists: DataFrame, songs: DataFrame, first: int, last: int, columns: ItemColumns = SONGS
 ) -> DataFrame:
     """One row per year: ``top_artists`` and ``top_songs``, empty where no data.
 
-    The lists hold at most ``n`` entries, popularity rounded to 4 digits.
+    Takes the two rankings; the lists hold as many entries as those have per
+    year, popularity rounded to 4 digits.
     """
-    artists, songs = top_by_year(df, first, last, n, columns)
     c = columns
     artist_lists = _lists(
         artists,
@@ -161,7 +157,7 @@ def top_by_year_document(
             F.round(c.popularity, 4).alias("hotttnesss"),
         ],
     )
-    spine = year_spine(df.sparkSession, first, last, c.year)
+    spine = year_spine(songs.sparkSession, first, last, c.year)
     joined = spine.join(artist_lists, c.year, "left").join(song_lists, c.year, "left")
     return joined.select(
         F.col(c.year).alias("year"),
@@ -170,6 +166,17 @@ def top_by_year_document(
     )
 
 
+def top_by_year_document(
+    df: DataFrame,
+    first: int = DEFAULT_YEARS[0],
+    last: int = DEFAULT_YEARS[1],
+    n: int = DEFAULT_TOP,
+    columns: ItemColumns = SONGS,
+) -> DataFrame:
+    """:func:`year_documents` of the two rankings of one table."""
+    return year_documents(*top_by_year(df, first, last, n, columns), first, last, columns)
+
+
 def as_one_document(documents: DataFrame) -> DataFrame:
     """All years as one JSON text: year -> {top_artists, top_songs}.
 

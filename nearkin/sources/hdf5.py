@@ -1,0 +1,75 @@
+"""HDF5 files as nested records, where ``h5py`` is installed on the executors.
+
+The files are spread over tasks by Spark; each task decodes its files one by
+one and passes their records on in slices, so that a merged file with very many
+records makes many small rows. Everything else (zipping, cleaning, status) is
+done by :mod:`nearkin.sources.records`.
+"""
+
+from __future__ import annotations
+
+import io
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+from nearkin.sources.items import only_files
+from nearkin.sources.records import ARRAYS, RECORD_FIELDS
+
+SLICE = 4096
+
+_TEXT = ("artist_id", "artist_name", "song_id", "title")
+
+
+def _fields(array: str) -> list[str]:
+    return [field for owner, field in RECORD_FIELDS.values() if owner == array]
+
+
+def _type(field: str) -> tuple[str, pa.DataType]:
+    return ("binary", pa.binary()) if field in _TEXT else ("double", pa.float64())
+
+
+SCHEMA = "path string, first_pos bigint, problem string, " + ", ".join(
+    f"{a} array<struct<{', '.join(f'{f}: {_type(f)[0]}' for f in _fields(a))}>>" for a in ARRAYS
+)
+_ARROW = pa.schema(
+    [("path", pa.string()), ("first_pos", pa.int64()), ("problem", pa.string())]
+    + [(a, pa.list_(pa.struct([(f, _type(f)[1]) for f in _fields(a)]))) for a in ARRAYS]
+)
+
+
+def _slices(path: str, content: bytes) -> Iterator[dict]:
+    import h5py
+
+    try:
+        with h5py.File(io.BytesIO(content), "r") as file:
+            tables = {name: file[name]["songs"] for name in ARRAYS}
+            for start in range(0, len(tables["metadata"]), SLICE):
+                row = {"path": path, "first_pos": start, "problem": None}
+                for name, table in tables.items():
+                    part = table[start : start + SLICE]
+                    columns = {f: part[f].tolist() for f in _fields(name)}
+                    row[name] = [dict(zip(columns, v, strict=True)) for v in zip(*columns.values(), strict=True)]
+                yield row
+    except (OSError, KeyError) as error:
+        yield {"path": path, "first_pos": 0, "problem": str(error)}
+
+
+def _decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            for row in _slices(path.as_py(), content.as_py()):
+                yield pa.RecordBatch.from_pylist([row], _ARROW)
+
+
+def read_hdf5(spark: SparkSession, root: str, suffix: str = ".h5") -> DataFrame:
+    """The records of a file, or of all files with the suffix below a folder.
+
+    Rows have ``path``, ``first_pos`` (the position of the first record of the
+    slice), ``problem`` (why a file could not be read) and the three arrays.
+    Slices that were read before a file turned out bad are kept.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    wanted = only_files(files, root, suffix).select("path", "content")
+    return wanted.mapInArrow(_decode, SCHEMA)

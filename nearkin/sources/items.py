@@ -138,20 +138,20 @@ def write_document(document: DataFrame, path: str, overwrite: bool = False) -> N
     document.coalesce(1).write.mode(_mode(overwrite)).text(path)
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = ".h5") -> DataFrame:
-    """path, length and modification time of the files under ``root``.
-
-    Keeps files with the suffix, upper and lower case alike, and ``root``
-    itself if it is a file (given by its absolute path). Contents are not read;
-    hidden files are not listed.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", "length", "modificationTime")
-    )
+def only_files(files: DataFrame, root: str, suffix: str) -> DataFrame:
+    """Rows whose ``path`` has the suffix, upper and lower case alike, or is
+    ``root`` itself (a file, given by its absolute path)."""
     scheme = "^[A-Za-z0-9+.-]+:(//[^/]*)?(?=/)"
     wanted = F.endswith(F.lower("path"), F.lit(suffix.lower()))
     itself = F.regexp_replace("path", scheme, "") == re.sub(scheme, "", root)
-    return files.filter(wanted | itself).orderBy("path")
+    return files.filter(wanted | itself)
+
+
+def list_files(spark: SparkSession, root: str, suffix: str = ".h5") -> DataFrame:
+    """path, length and modification time of a file or of the files below a folder.
+
+    Contents are not read; hidden files are not listed.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    listed = files.select("path", "length", "modificationTime")
+    return only_files(listed, root, suffix).orderBy("path")

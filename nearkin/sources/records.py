@@ -1,7 +1,9 @@
 """Nested records: one row per source file, three arrays joined by position.
 
 The input has ``path`` and the arrays of structs ``metadata``, ``analysis`` and
-``musicbrainz``. A file yields one item per entry of ``metadata``.
+``musicbrainz``. A file yields one item per entry of ``metadata``. Two more
+columns may be there: ``first_pos``, the position of the first entry where a
+file comes in several rows, and ``problem``, why it could not be read.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ def with_status(files: DataFrame) -> DataFrame:
     short = [
         F.when(F.size(name) < F.size("metadata"), F.lit(f"short {name}")) for name in ARRAYS[1:]
     ]
-    error = F.coalesce(*missing, *short)
+    problem = [F.col("problem")] if "problem" in files.columns else []
+    error = F.coalesce(*problem, *missing, *short)
     return files.select(
         "*",
         F.when(error.isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
@@ -69,7 +72,10 @@ def zip_records(files: DataFrame) -> DataFrame:
     zipped = F.arrays_zip(
         F.col("metadata"), *[F.slice(F.col(a), F.lit(1), n).alias(a) for a in ARRAYS[1:]]
     )
-    rows = readable.select("path", F.posexplode(zipped).alias("pos", "_entry"))
+    first = F.col("first_pos").cast("int") if "first_pos" in files.columns else F.lit(0)
+    rows = readable.select(
+        "path", first.alias("_first"), F.posexplode(zipped).alias("pos", "_entry")
+    )
     columns = []
     for name, (array, field) in RECORD_FIELDS.items():
         value, dtype = _field(files, array, field)
@@ -80,7 +86,7 @@ def zip_records(files: DataFrame) -> DataFrame:
         else:
             value = _as_number(value, dtype)
         columns.append(value.alias(name))
-    return rows.select("path", "pos", *columns)
+    return rows.select("path", (F.col("_first") + F.col("pos")).alias("pos"), *columns)
 
 
 def extract_records(files: DataFrame, limit: int = 0, require_rows: bool = False) -> DataFrame:
@@ -100,8 +106,12 @@ def extract_records(files: DataFrame, limit: int = 0, require_rows: bool = False
 
 def ingest_report(files: DataFrame) -> DataFrame:
     """Per status: number of files and of records."""
-    return (
-        with_status(files)
-        .groupBy("status")
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_records").alias("n_records"))
+    rows = with_status(files).select("path", "status", "n_records")
+    if "first_pos" in files.columns:
+        # A file in several rows counts once, and as failed if one of them did.
+        rows = rows.groupBy("path").agg(
+            F.min("status").alias("status"), F.sum("n_records").alias("n_records")
+        )
+    return rows.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_records").alias("n_records")
     )

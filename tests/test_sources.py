@@ -176,3 +176,68 @@ def test_text_is_not_changed_by_json(spark, tmp_path):
     items.write_json(df, str(tmp_path / "j"))
     assert spark.read.text(str(tmp_path / "j")).first()["value"] == '{"t":"é中\\""}'
     assert spark.read.json(str(tmp_path / "j")).filter(F.col("t") == "é中\"").count() == 1
+
+
+FAKE_H5PY = '''
+import json
+import numpy as np
+
+class File:
+    """Reads {"metadata": {"songs": {field: [values]}}, ...} in JSON instead of HDF5."""
+
+    def __init__(self, stream, mode):
+        text = stream.read()
+        if not text.startswith(b"{"):
+            raise OSError("not a data file")
+        self.groups = json.loads(text)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        return False
+
+    def __getitem__(self, group):
+        result = {}
+        for name, fields in self.groups[group].items():
+            columns = {f: np.array(v, dtype="S9" if isinstance(v[0], str) else "f8") for f, v in fields.items()}
+            n = len(next(iter(columns.values())))
+            table = np.zeros(n, dtype=[(f, c.dtype) for f, c in columns.items()])
+            for f, c in columns.items():
+                table[f] = c
+            result[name] = table
+        return result
+'''
+
+
+def test_hdf5_files(spark, tmp_path, monkeypatch):
+    """With a module of the same calls, as h5py itself may not be installed."""
+    from nearkin.sources import hdf5
+
+    n = hdf5.SLICE + 3
+    numbers = [float(i) for i in range(n)]
+    names = [f"s{i}" for i in range(n)]
+    whole = {
+        "metadata": {"songs": {
+            "artist_id": names, "artist_name": names, "song_id": names, "title": names,
+            "song_hotttnesss": numbers, "artist_hotttnesss": numbers,
+        }},
+        "analysis": {"songs": {f: numbers for f in
+                               ("loudness", "tempo", "key_confidence", "mode_confidence", "duration")}},
+        "musicbrainz": {"songs": {"year": numbers}},
+    }
+    root = tmp_path / "h5"
+    (root / "x").mkdir(parents=True)
+    (root / "x" / "all.h5").write_text(json.dumps(whole))
+    (root / "broken.H5").write_text("nothing")
+    (root / "partial.h5").write_text(json.dumps({k: v for k, v in whole.items() if k != "analysis"}))
+    (root / "note.txt").write_text("nothing")
+    (tmp_path / "h5py.py").write_text(FAKE_H5PY)
+    spark.sparkContext.addPyFile(str(tmp_path / "h5py.py"))
+    files = hdf5.read_hdf5(spark, str(root))
+    rows = records.zip_records(files).orderBy("path", "pos").collect()
+    assert [r["pos"] for r in rows] == list(range(n))
+    assert [r["song_id"] for r in rows] == names and [r["tempo"] for r in rows] == numbers
+    assert rows[5]["year"] == 5
+    report = {r["status"]: (r["n_files"], r["n_records"]) for r in records.ingest_report(files).collect()}
+    assert report == {"ok": (1, n), "failed": (2, 0)}
