@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import vectors
+from nearkin.functions.once import computed_once
 from nearkin.operators.features import FeatureStats, fit_stats, valid_items, with_point, z_names
 from nearkin.schema import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, SONG_FEATURES
 
@@ -51,7 +52,8 @@ def assign_nearest(
 
     ``point`` is a list of column names or the name of an array column.
     """
-    return df.withColumn(cluster, vectors.nearest_center(point, centers).getField("cluster"))
+    nearest = vectors.nearest_center(point, centers).getField("cluster")
+    return computed_once(df.withColumn(cluster, nearest), cluster)
 
 
 def assign_items(df: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:

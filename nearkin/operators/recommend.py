@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.functions import casts, vectors
+from nearkin.functions.once import computed_once
 from nearkin.operators.clusters import ClusterModel, centers_table
 from nearkin.operators.features import feature_vector, valid_items, with_point, z_names
 from nearkin.schema import DEFAULT_TOP, SONGS, ItemColumns
@@ -149,8 +150,8 @@ def recommend_document(
 def _pairs(
     rows: DataFrame, seeds: DataFrame, group: str, item_id: str, distance, by_broadcast: bool
 ) -> DataFrame:
-    """Rows with the seeds of their group, as far as the distance is within the
-    seed's ``_bound``; the others are dropped as they come out of the join."""
+    """Rows with the seeds of their group and the distance; where the seeds have a
+    ``_bound``, pairs beyond it are dropped as they come out of the join."""
     if by_broadcast:
         pairs = rows.join(F.broadcast(seeds), group)
     else:
@@ -159,7 +160,9 @@ def _pairs(
         repeated = seeds.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
         pairs = sliced.join(repeated, [group, "_slice"]).drop("_slice")
     scored = distance(pairs.filter(F.col(item_id) != F.col("seed_id")))
-    return scored.filter(F.col("distance") <= F.col("_bound"))
+    if "_bound" not in seeds.columns:
+        return scored
+    return computed_once(scored, "distance").filter(F.col("distance") <= F.col("_bound"))
 
 
 def _n_nearest(pairs: DataFrame, item_id: str, n: int) -> DataFrame:
@@ -202,18 +205,18 @@ def nearest_in_group(
     by_broadcast = n_seeds <= max_broadcast
     if by_broadcast:
         seeds = seeds.sparkSession.createDataFrame(found, seeds.schema)
-    unbounded = F.lit(float("inf"))
-    bounded = seeds.withColumn("_bound", unbounded)
     if n_seeds > max_direct:
-        share = _pairs(rows.sample(probe, seed=0), bounded, group, item_id, distance, by_broadcast)
+        share = _pairs(rows.sample(probe, seed=0), seeds, group, item_id, distance, by_broadcast)
         bounds = (
             _n_nearest(share, item_id, n)
             .filter(F.col("rank") == n)
             .select("seed_id", F.col("distance").alias("_bound"))
         )
-        joined = seeds.join(bounds, "seed_id", "left")
-        bounded = joined.withColumn("_bound", F.coalesce("_bound", unbounded))
-    return _n_nearest(_pairs(rows, bounded, group, item_id, distance, by_broadcast), item_id, n)
+        no_bound = F.lit(float("inf"))
+        seeds = seeds.join(bounds, "seed_id", "left").withColumn(
+            "_bound", F.coalesce("_bound", no_bound)
+        )
+    return _n_nearest(_pairs(rows, seeds, group, item_id, distance, by_broadcast), item_id, n)
 
 
 def recommend_batch(

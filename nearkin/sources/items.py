@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearkin.functions import casts, csvlines
+from nearkin.functions.once import computed_once
 from nearkin.schema import CLUSTERED_SCHEMA, SONG_SCHEMA
 
 CSV_HEADER_LINE_END = "\r\n"
@@ -40,8 +41,7 @@ def parse_lines(
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns to the types of ``schema`` with the forgiving casts.
 
-    As in :func:`parse_lines` the row is unfolded, so that a filter on a number
-    does not repeat the cast of its text.
+    A filter on a number does not repeat the cast of its text.
     """
     names = schema.fieldNames()
     numeric = [n for n in names if isinstance(schema[n].dataType, T.NumericType)]
@@ -56,7 +56,7 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
         casts.cut_to_int(F.col(name)).alias(name) if name in whole else F.col(name)
         for name in rows.columns
     ]
-    return floats.select(F.inline(F.array(F.struct(*columns))))
+    return computed_once(floats.select(*columns), *rows.columns)
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA) -> DataFrame:
