@@ -106,14 +106,15 @@ def recommend(
 ) -> DataFrame:
     """The ``n`` candidates nearest to the seed: rank, display columns, distance.
 
-    Every task keeps its own ``n`` best rows; only those meet. Equal distances
-    are ordered by id. The distance is rounded to 6 digits after ranking.
+    Every task keeps its own ``n`` best rows; only those meet, and only those are
+    rounded for display. Equal distances are ordered by id.
     """
     rows = candidates(assigned, seed, model, columns)
     scored = with_seed_distance(rows, seed, model, metric)
-    best = describe(scored, columns, keep=["distance"]).orderBy("distance", columns.id).limit(n)
+    best = scored.orderBy("distance", columns.id).limit(n)
     place = F.row_number().over(W.orderBy("distance", columns.id))
-    return best.withColumn("rank", place).withColumn("distance", F.round("distance", 6))
+    shown = describe(best.withColumn("rank", place), columns, keep=["rank", "distance"])
+    return shown.withColumn("distance", F.round("distance", 6))
 
 
 def recommend_document(
@@ -239,8 +240,8 @@ def recommend_batch(
     start = z_names(model.stats, "_seed")
     middle = z_names(model.stats, "_center")
     rows = with_point(valid_items(assigned, model.features), model.stats)
-    shown = [name for name in describe(rows, c).columns if name != c.cluster]
-    described = describe(rows, c, keep=[c.cluster, *point])
+    shown = describe(rows, c).columns
+    needed = rows.select(*shown, c.cluster, *point)
     valid = with_point(valid_items(seeds, model.features), model.stats, "_seed")
     first = F.min(F.struct(F.col(c.cluster), *start)).alias("seed")
     chosen = valid.groupBy(F.col(c.id).alias("seed_id")).agg(first).select("seed_id", "seed.*")
@@ -254,5 +255,6 @@ def recommend_batch(
     def distance(pairs: DataFrame) -> DataFrame:
         return vectors.with_distance(pairs, point, start, middle, metric)
 
-    best = nearest_in_group(described, chosen, c.cluster, distance, c.id, n, **limits)
-    return best.select("seed_id", "rank", *shown, F.round("distance", 6).alias("distance"))
+    best = nearest_in_group(needed, chosen, c.cluster, distance, c.id, n, **limits)
+    result = describe(best, c, keep=["seed_id", "rank", "distance"])
+    return result.withColumn("distance", F.round("distance", 6))
