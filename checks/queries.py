@@ -410,12 +410,13 @@ def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
-    return rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    doubles = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    return features.valid_vectors(doubles, "embedding", EMBEDDING_DIM)
 
 
 def label_means(spark: SparkSession, sf_dir: str) -> list[tuple[float, ...]]:
     """The mean embedding per label, in the order of the labels."""
-    rows = table(spark, sf_dir, "embeddings")
+    rows = _embeddings(spark, sf_dir)
     entries = vectors.entries("embedding", EMBEDDING_DIM)
     means = rows.groupBy("label").agg(*[F.expr(f"avg({e}) AS _{i}") for i, e in enumerate(entries)])
     return [tuple(row[1:]) for row in means.orderBy("label").collect()]
@@ -482,7 +483,7 @@ def kmeans_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_sizes(assigned).agg(
         F.lit(model.k).alias("k"),
         F.count(F.lit(1)).alias("n_clusters"),
-        F.lit(model.n_items).alias("n_items"),
+        F.lit(model.n_items).cast("bigint").alias("n_items"),
         F.sum("n_items").alias("n_assigned"),
         F.lit(0.0 < model.wssse < one_center).alias("cost_is_lower"),
     )
@@ -611,7 +612,7 @@ def recommend_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nearest_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest embeddings of the same label, for the first one of each label."""
-    rows = table(spark, sf_dir, "embeddings")
+    rows = _embeddings(spark, sf_dir)
     first = F.min(F.struct("vec_id", "embedding")).alias("first")
     chosen = rows.groupBy("label").agg(first).select(
         "label",

@@ -33,6 +33,12 @@ def valid_items(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df
 
 
+def valid_vectors(df: DataFrame, array: str, dimension: int) -> DataFrame:
+    """Rows whose ARRAY<DOUBLE> column has ``dimension`` entries, all finite."""
+    whole = (F.size(array) == dimension) & F.forall(array, casts.is_finite)
+    return df.filter(F.col(array).isNotNull() & whole)
+
+
 def _moments(df: DataFrame, features: Sequence[str]) -> DataFrame:
     vector = feature_vector(df, features)
     aggregates = [F.count(F.lit(1)).alias("n")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -131,14 +131,16 @@ def recommend_document(
     entry = F.struct(*[F.col(name) for name in best.columns if name != "rank"])
     ordered = F.sort_array(F.collect_list(F.struct(F.col("rank"), entry.alias("entry"))))
 
-    def of_seed(name: str):
-        return seed[name] if name in seed else None
+    def of_seed(name: str) -> Column:
+        if name not in seed:
+            return F.lit(None).cast("string")
+        return F.lit(seed[name]).cast(assigned.schema[name].dataType)
 
     return best.agg(F.transform(ordered, lambda e: e["entry"]).alias("similar")).select(
-        F.lit(of_seed(c.name)).alias("name"),
-        F.lit(of_seed(c.maker_name)).alias("artist"),
-        F.lit(of_seed(c.id)).alias("song_id"),
-        F.lit(of_seed(c.year)).alias("year"),
+        of_seed(c.name).alias("name"),
+        of_seed(c.maker_name).alias("artist"),
+        of_seed(c.id).alias("song_id"),
+        of_seed(c.year).alias("year"),
         F.lit(seed[c.cluster]).alias("cluster"),
         F.lit(metric).alias("metric"),
         F.date_format(

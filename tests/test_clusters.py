@@ -123,3 +123,9 @@ def test_a_hot_cluster(spark):
     near = [v for v in values if abs(v) <= abs(v - 29.0)]
     assert low == pytest.approx(np.mean(near))
     assert high == pytest.approx(np.mean([v for v in values if abs(v) > abs(v - 29.0)]))
+
+
+def test_invalid_vectors_go(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0]), (3, None), (4, [1.0, math.nan]), (5, [None, 1.0]), (6, [0.0, -math.inf])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    assert [r["id"] for r in features.valid_vectors(df, "v", 2).collect()] == [1]
