@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import byte_bpe, orc_tokens, token_counts
+from nearkin.llm import block_dedup, byte_bpe, orc_tokens, suffix_dedup, token_counts
 from nearkin.llm.common import documents
 
 BPE_50K = "byte_bpe_50k.json"
@@ -21,15 +21,23 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(MULTI_50K)
     return byte_bpe.encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op7_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_dedup.digest(documents(spark, sf_dir))
+
+
 def op8_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BPE_50K)
     return orc_tokens.written_and_read(documents(spark, sf_dir), path, public_tokenizers.PATTERN, END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op5_byte_bpe, op8_orc_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_suffix_dedup, op5_byte_bpe, op7_block_dedup, op8_orc_token_ids)}
 ORACLE: dict[str, str] = {}
