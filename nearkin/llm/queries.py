@@ -6,10 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import block_dedup, byte_bpe, orc_tokens, suffix_dedup, token_counts
+from nearkin.llm import (
+    block_dedup,
+    byte_bpe,
+    decontaminate,
+    host_rules,
+    language_id,
+    orc_tokens,
+    quality_classifier,
+    suffix_dedup,
+    token_counts,
+)
 from nearkin.llm.common import documents
 
 BPE_50K = "byte_bpe_50k.json"
+PIECES_32K = "piece_bpe_32k.model"
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 END_ID = 2
 TOKEN_LIMIT = 512
@@ -21,6 +32,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.host_verdicts(documents(spark, sf_dir))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(documents(spark, sf_dir))
 
@@ -30,6 +53,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(documents(spark, sf_dir), public_tokenizers.path(PIECES_32K))
+
+
 def op7_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_dedup.digest(documents(spark, sf_dir))
 
@@ -39,5 +66,22 @@ def op8_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.written_and_read(documents(spark, sf_dir), path, public_tokenizers.PATTERN, END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_suffix_dedup, op5_byte_bpe, op7_block_dedup, op8_orc_token_ids)}
-ORACLE: dict[str, str] = {}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_decontamination,
+        op3_host_rules,
+        op4_suffix_dedup,
+        op5_byte_bpe,
+        op6_language_id,
+        op7_block_dedup,
+        op8_orc_token_ids,
+        op9_quality_classifier,
+    )
+}
+ORACLE = {"op3_host_rules": host_rules.ORACLE_SQL}
