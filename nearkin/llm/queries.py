@@ -11,6 +11,7 @@ from nearkin.llm import (
     byte_bpe,
     decontaminate,
     host_rules,
+    jaccard_join,
     language_id,
     orc_tokens,
     quality_classifier,
@@ -18,6 +19,7 @@ from nearkin.llm import (
     token_counts,
 )
 from nearkin.llm.common import documents
+from nearkin.llm.oracle import ORACLE  # noqa: F401
 
 BPE_50K = "byte_bpe_50k.json"
 PIECES_32K = "piece_bpe_32k.model"
@@ -70,6 +72,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +88,6 @@ QUERIES = {
         op7_block_dedup,
         op8_orc_token_ids,
         op9_quality_classifier,
+        op10_jaccard_join,
     )
 }
-ORACLE = {"op3_host_rules": host_rules.ORACLE_SQL}
