@@ -46,16 +46,13 @@ def encode_sorted(
         end = np.array([end_id], "<u4").tobytes()
         before = 0
 
-        def direct(chunk: str) -> bytes:
-            return np.array(tokenizer.chunk_ids(chunk), "<u4").tobytes()
-
         for batch in slices(batches, "text"):
             packed = []
             for value in batch.column("text").to_pylist():
                 if value and tokenizer.has_added(value):
                     ids = np.array(tokenizer.library_ids(value), "<u4").tobytes()
                 else:
-                    ids = b"".join(values_of(value, table, direct)) if value else b""
+                    ids = b"".join(values_of(value, table, tokenizer.chunk)) if value else b""
                 packed.append(ids + end)
             counts = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
             places = before + np.cumsum(counts) - counts

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from nearkin.llm import tokenizer_files
 from nearkin.llm.common import slices
-from nearkin.llm.pretokens import LONGEST_KEPT, Irregular, Memo, fast_chunks, safe_chunks, values_of
+from nearkin.llm.pretokens import LONGEST_KEPT, Irregular, Memo, fast_chunks, is_regular, safe_chunks, values_of
 
 #: Chunks that a task's counter holds, hands on, and that the broadcast table holds.
 COUNTER_SIZE = 200_000
@@ -90,7 +90,7 @@ def _lengths(key: object, packed, path: str, pattern: str) -> Lengths:
     if key not in _tables:
         _tables.clear()
         tokenizer = tokenizer_files.load(path, pattern)
-        cache = Memo(lambda c: len(tokenizer.chunk_ids(c)), tokenizer_files.KEPT_CHUNKS, check=True)
+        cache = Memo(lambda c: len(tokenizer.chunk(c)) // 4, tokenizer_files.KEPT_CHUNKS, check=True)
         _tables[key] = Lengths(*packed.value, cache)
     return _tables[key]
 
@@ -108,8 +108,8 @@ def token_counts(
     tokenizer = tokenizer_files.load(path, pattern)
     # At most table_size short texts come to the driver.
     frequent = [r["chunk"] for r in frequent_chunks(docs, text, table_size).collect()]
-    frequent = [c for c in frequent if _is_safe(c)]
-    lengths = np.array([len(tokenizer.chunk_ids(c)) for c in frequent], "<u2")
+    frequent = [c for c in frequent if is_regular(c)]
+    lengths = np.array([len(tokenizer.chunk(c)) // 4 for c in frequent], "<u2")
     blob = "\0".join(frequent) if frequent else "\0"
     if not frequent:
         lengths = np.zeros(2, "<u2")
@@ -120,7 +120,7 @@ def token_counts(
         table = _lengths((path, packed.id if hasattr(packed, "id") else id(packed)), packed, path, pattern)
 
         def direct(chunk: str) -> int:
-            return len(tokenizer.chunk_ids(chunk))
+            return len(tokenizer.chunk(chunk)) // 4
 
         for batch in slices(batches, "text"):
             column = batch.column("text")
@@ -140,9 +140,3 @@ def token_counts(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(count, _SCHEMA)
-
-
-def _is_safe(chunk: str) -> bool:
-    from nearkin.llm.pretokens import is_regular
-
-    return is_regular(chunk)

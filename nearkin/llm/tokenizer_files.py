@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 from functools import lru_cache
 
-import numpy as np
 import regex
 
 from nearkin.llm.pretokens import Memo
 
 KEPT_CHUNKS = 300_000
+KEPT_ID_CHUNKS = 800_000
+KEPT_PIECES = 150_000
 
 
 @lru_cache(maxsize=1)
@@ -58,6 +60,7 @@ class ByteTokenizer:
         self.model = self.library.model
         self.pieces = regex.compile(pattern).findall
         self.letters = _byte_letters()
+        self.words = Memo(self._piece, KEPT_PIECES)
 
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -65,17 +68,23 @@ class ByteTokenizer:
     def has_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
 
-    def piece_ids(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return [token.id for token in self.model.tokenize(mapped)]
+        return _packed([token.id for token in self.model.tokenize(mapped)])
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        if _UNSURE.search(chunk):
-            return self.library_ids(chunk)
-        ids: list[int] = []
-        for piece in self.pieces(chunk):
-            ids += self.piece_ids(piece)
-        return ids
+    def chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk as little-endian 32-bit integers."""
+        if chunk.isascii():
+            # Letters alone are one pre-token.
+            if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+                return self.words[chunk]
+        elif _UNSURE.search(chunk):
+            return _packed(self.library_ids(chunk))
+        return b"".join(map(self.words.__getitem__, self.pieces(chunk)))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=4)
@@ -86,9 +95,4 @@ def load(path: str, pattern: str) -> ByteTokenizer:
 @lru_cache(maxsize=4)
 def id_table(path: str, pattern: str) -> Memo:
     """Chunk -> ids as little-endian 32-bit integers."""
-    tokenizer = load(path, pattern)
-
-    def packed(chunk: str) -> bytes:
-        return np.array(tokenizer.chunk_ids(chunk), "<u4").tobytes()
-
-    return Memo(packed, KEPT_CHUNKS, check=True)
+    return Memo(load(path, pattern).chunk, KEPT_ID_CHUNKS, check=True)
