@@ -190,7 +190,7 @@ lines AS (
          generate_subscripts({split}, 1) - 1 AS pos FROM documents)"""
 
 
-def _label_means() -> str:
+def _label_means(narrow: int = 2) -> str:
     means = _select(f"avg(embedding[{i + 1}]::DOUBLE) AS c{i}" for i in range(EMBEDDING_DIM))
     gap = _sum(
         f"(embedding[{i + 1}]::DOUBLE - c{i}) * (embedding[{i + 1}]::DOUBLE - c{i})"
@@ -204,7 +204,11 @@ nearest AS (
   SELECT * FROM (
     SELECT vec_id, label, cluster, {gap} AS cost,
            row_number() OVER (PARTITION BY vec_id ORDER BY {gap}, cluster) AS place
-    FROM embeddings, centers) WHERE place = 1)"""
+    FROM embeddings, centers) WHERE place = 1),
+nearest_of_few AS (
+  SELECT * FROM (
+    SELECT vec_id, cluster, row_number() OVER (PARTITION BY vec_id ORDER BY {gap}, cluster) AS place
+    FROM embeddings, centers WHERE cluster < {narrow}) WHERE place = 1)"""
 
 
 def _cast_variants() -> str:
@@ -238,6 +242,26 @@ def _center_rows(relation: str) -> str:
     )
 
 
+def _batch(which: str, distance: str, n: int) -> str:
+    return f"""WITH {ASSIGNED},
+seeds AS (
+  SELECT p_partkey AS seed_id, cluster AS seed_cluster, {
+        _select(f"z{i} AS y{i}, c{i} AS b{i}" for i in DIMS)
+    } FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY p_partkey) AS nth FROM assigned)
+  {which}),
+scored AS (
+  SELECT seed_id, p_partkey, {distance} AS distance
+  FROM assigned JOIN seeds ON cluster = seed_cluster WHERE p_partkey <> seed_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY distance, p_partkey) AS INTEGER)
+    AS rank FROM scored)
+SELECT seed_id, rank, p_partkey, round(distance, 6) AS distance FROM ranked WHERE rank <= {n}"""
+
+
+def _thousandths(name: str) -> str:
+    return f"'+' || CAST(floor({name} * 1000) AS BIGINT) || '.50'"
+
+
 ORACLE = {
     "top_items_by_year": f"""WITH {_top_orders(FIRST_YEAR, LAST_YEAR)}
 SELECT year, rank, o_orderkey, o_orderpriority, o_custkey, c_name,
@@ -266,7 +290,7 @@ SELECT o_orderkey, o_orderpriority, o_custkey, year, round(o_totalprice, 2) AS o
     "csv_roundtrip": """SELECT doc_id, translate(text, chr(10) || chr(13), '  ') AS text, lang, source
 FROM documents""",
     "csv_data_rows": """SELECT kind, event_id, event_type, props, value
-FROM events, (VALUES ('good'), ('long')) AS kinds(kind)""",
+FROM events, (VALUES ('good'), ('long'), ('wide')) AS kinds(kind)""",
     "csv_table_roundtrip": f"""WITH {CATALOG}
 SELECT p_partkey, p_name, p_brand, {
         _select(f"CASE WHEN isfinite({f}) THEN {f} END AS {f}" for f in CATALOG_FEATURES)
@@ -278,7 +302,7 @@ SELECT event_id, kind, coalesce(isfinite(f), false) AS is_number,
 FROM floats""",
     "clean_bytes": "SELECT doc_id, text FROM documents",
     "zip_records": f"""WITH {_lines()}
-SELECT CAST(doc_id AS VARCHAR) AS path, CAST(pos AS INTEGER) AS pos, source AS artist_id,
+SELECT CAST(doc_id AS VARCHAR) AS path, CAST(pos AS BIGINT) AS pos, source AS artist_id,
        lang AS artist_name, doc_id || '-' || pos AS song_id, line AS song_name,
        CAST(length(line) AS DOUBLE) AS loudness, CAST(pos AS DOUBLE) AS tempo,
        CAST(pos + 1990 AS INTEGER) AS year, CAST(n_chars AS DOUBLE) AS artist_hotttnesss,
@@ -323,9 +347,40 @@ SELECT cluster, count(*) AS n_items FROM nearest GROUP BY cluster""",
 SELECT cluster, count(*) AS n_items, {
         " || ' ' || ".join(f"printf('%.3f', round(any_value(c{i}), 3))" for i in DIMS)
     } AS center FROM assigned GROUP BY cluster""",
-    "kmeans_invariants": f"""WITH {VALID}
-SELECT {K} AS k, CAST({K} AS BIGINT) AS n_clusters, count(*) AS n_items,
-       count(*) AS n_assigned, true AS cost_is_lower FROM valid""",
+    "kmeans_fit": f"""WITH {VALID}
+SELECT p_partkey, true AS is_nearest, true AS centers_are_means, true AS sums_agree FROM valid""",
+    "nearest_of_any_vector": f"""WITH {_label_means()}
+SELECT vec_id, CASE WHEN vec_id % 7 NOT IN (1, 2, 3, 4) THEN w.cluster END AS wide,
+       CASE WHEN vec_id % 7 NOT IN (1, 2, 3, 4) THEN f.cluster END AS narrow
+FROM nearest w JOIN nearest_of_few f USING (vec_id)""",
+    "batch_of_all": _batch("", BOOK, 3),
+    "batch_deep": _batch("WHERE nth = 1", EUCLIDEAN, 2000),
+    "renamed_batch": f"""WITH {ASSIGNED},
+kinds AS (SELECT *, CASE WHEN p_size <> 5 THEN p_type END AS kind FROM assigned),
+seeds AS (
+  SELECT kind AS seed_id, cluster AS seed_cluster, {_select(f"z{i} AS y{i}" for i in DIMS)}
+  FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY p_name, p_brand, p_partkey) AS nth FROM kinds
+        WHERE kind IS NOT NULL) WHERE nth = 1),
+scored AS (
+  SELECT seed_id, kind, p_name, p_brand, p_partkey, {EUCLIDEAN} AS distance
+  FROM kinds JOIN seeds ON cluster = seed_cluster WHERE kind IS DISTINCT FROM seed_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY seed_id
+    ORDER BY distance, kind NULLS FIRST, p_name, p_brand, p_partkey) AS INTEGER) AS rank FROM scored)
+SELECT seed_id, rank, kind, p_partkey, round(distance, 6) AS distance FROM ranked WHERE rank <= 4""",
+    "extract_limited": f"""WITH {_lines()},
+cut AS (SELECT CAST(doc_id AS VARCHAR) AS path FROM lines ORDER BY CAST(doc_id AS VARCHAR), pos LIMIT 500)
+SELECT 'ok' AS status, count(*) AS n_files, (SELECT count(*) FROM cut) AS n_records
+FROM documents WHERE CAST(doc_id AS VARCHAR) <= (SELECT max(path) FROM cut)""",
+    "clustered_text": f"""WITH {VALID}
+SELECT concat_ws(',', p_partkey, p_brand, p_partkey, p_name, {_thousandths("quantity")}, 'x',
+       {_thousandths("price")}, {_thousandths("discount")}, {_thousandths("tax")}, 'about 1990', '', '-0.50') AS line
+FROM valid""",
+    "recommend_json": f"""WITH {SEED}
+SELECT seed_id AS song_id, true AS has_artist, 3 AS n_makers FROM seed""",
+    "cluster_order": f"""WITH {_label_means()},
+sizes AS (SELECT cluster FROM nearest GROUP BY cluster)
+SELECT row_number() OVER (ORDER BY cluster) - 1 AS place, cluster FROM sizes""",
     "model_tables": f"""WITH {CENTERS},
 center_rows AS ({_center_rows("centers")})
 SELECT 'center' AS entry, cluster, pos, value FROM center_rows

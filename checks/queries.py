@@ -8,18 +8,19 @@ events and pages are raw text.
 
 from __future__ import annotations
 
+import dataclasses
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearkin.functions import casts, csvlines, vectors
 from nearkin.operators import clusters, features, ranking, recommend, seeds
+from nearkin.plans import jobs
 from nearkin.schema import ItemColumns
 from nearkin.sources import items, models, records
-from nearkin.sources.scratch import scratch_path
+from nearkin.sources.scratch import kept, scratch_path
 
 FIRST_YEAR, LAST_YEAR = 1996, 2000
 SPINE_YEARS = (1993, 2003)
@@ -30,6 +31,7 @@ EMBEDDING_DIM = 64
 SEED_TITLE = "BLUE"
 SEED_ID = 100
 RANDOM_SEED = 7
+MEANS_TOLERANCE = 0.05
 
 ORDERS = ItemColumns(
     id="o_orderkey", name="o_orderpriority", popularity="o_totalprice", year="year",
@@ -191,6 +193,7 @@ def csv_data_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {
         "good": good,
         "long": F.concat(good, F.lit(",more")),
+        "wide": F.concat(good, F.repeat(F.lit(",x"), F.when(F.col("event_id") % 500 == 0, 25_001).otherwise(9))),
         "short": short,
         "empty": F.lit(""),
         "header": F.lit(",".join(names)),
@@ -337,8 +340,9 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.sum("length") > 0).alias("has_bytes")
     )
     paths = [table(spark, sf_dir, t).select(F.col("_metadata.file_path").alias("path")) for t in TABLES]
-    rows = reduce(DataFrame.unionByName, paths)
-    counts = rows.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    # One row per file first, then the expression on the few paths.
+    files_rows = reduce(DataFrame.unionByName, paths).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    counts = files_rows.groupBy(name.alias("table_name")).agg(F.sum("n").alias("n_rows"))
     return listed.join(counts, "table_name", "left")
 
 
@@ -378,11 +382,8 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue, kept for queries that read it several times.
-
-    In memory and on disk; what is lost with an executor is worked out again.
-    """
-    return catalog(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    """The catalogue, kept in files for queries that read it several times."""
+    return kept(catalog(spark, sf_dir))
 
 
 def valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,25 +469,131 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained centers with the sizes of their clusters."""
+    """A trained model held against its own rows, with plain joins and sums.
+
+    Of every valid part: whether its label is the nearest of the centers (worked
+    out from the centers as a table). Of the whole: whether the sizes add up to the
+    valid parts, the stated cost is the sum over the rows and below that of one
+    center, and every center is the mean of its rows.
+    """
     rows = kept_catalog(spark, sf_dir)
     assigned, model = clusters.cluster_items(rows, CATALOG_FEATURES, K)
-    return clusters.cluster_report(assigned, model)
+    z = [f"_z{i}" for i in range(len(CATALOG_FEATURES))]
+    placed = kept(features.with_point(assigned, model.stats).select("p_partkey", "cluster", F.array(*z).alias("z")))
+    centers = F.array(*[F.array(*map(F.lit, center)) for center in model.centers])
+    costs = F.transform(
+        centers,
+        lambda center: F.aggregate(
+            F.zip_with("z", center, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x
+        ),
+    )
+    best = placed.withColumn("costs", costs).select(
+        "p_partkey", F.get("costs", F.col("cluster")).alias("own"), F.array_min("costs").alias("best")
+    )
+    means = placed.groupBy("cluster").agg(*[F.avg(F.col("z")[i]).alias(n) for i, n in enumerate(z)]).collect()
+    moved = max(
+        abs(row[n] - model.centers[row["cluster"]][i]) for row in means for i, n in enumerate(z)
+    )
+    total = best.agg(F.sum("best").alias("cost"), F.count("*").alias("n")).first()
+    whole = (
+        total["n"] == model.n_items
+        and abs(total["cost"] - model.wssse) <= 1e-6 * model.wssse
+        and 0.0 < model.wssse < model.n_items * len(CATALOG_FEATURES)
+    )
+    return best.select(
+        "p_partkey",
+        (F.col("own") <= F.col("best") + 1e-9).alias("is_nearest"),
+        F.lit(moved < MEANS_TOLERANCE).alias("centers_are_means"),
+        F.lit(whole).alias("sums_agree"),
+    )
 
 
-def kmeans_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for every training: all items assigned, at a lower cost than
-    one center at the mean (whose cost is items x features on z-scores)."""
-    rows = kept_catalog(spark, sf_dir)
-    assigned, model = clusters.cluster_items(rows, CATALOG_FEATURES, K)
-    one_center = float(model.n_items * len(CATALOG_FEATURES))
-    return clusters.cluster_sizes(assigned).agg(
-        F.lit(model.k).alias("k"),
-        F.count(F.lit(1)).alias("n_clusters"),
-        F.lit(model.n_items).cast("bigint").alias("n_items"),
-        F.sum("n_items").alias("n_assigned"),
-        F.lit(0.0 < model.wssse < one_center).alias("cost_is_lower"),
+def nearest_of_any_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of which some are missing, too short, too long or hold NaN: the
+    nearest of all label means (wide form) and of the first two (written out)."""
+    middles = label_means(spark, sf_dir)
+    v = F.col("embedding")
+    broken = (
+        F.when(F.col("vec_id") % 7 == 1, F.lit(None))
+        .when(F.col("vec_id") % 7 == 2, F.slice(v, 1, EMBEDDING_DIM - 1))
+        .when(F.col("vec_id") % 7 == 3, F.concat(v, F.array(F.lit(0.0))))
+        .when(F.col("vec_id") % 7 == 4, F.concat(F.slice(v, 1, EMBEDDING_DIM - 1), F.array(F.lit(casts.NAN))))
+        .otherwise(v)
     )
+    rows = _embeddings(spark, sf_dir).withColumn("embedding", broken)
+    wide = clusters.assign_nearest(rows, "embedding", middles, "wide")
+    return clusters.assign_nearest(wide, "embedding", middles[:2], "narrow").select("vec_id", "wide", "narrow")
+
+
+def batch_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every valid part as a seed, book distance; the three most similar."""
+    assigned, model = _assigned(spark, sf_dir)
+    best = recommend.recommend_batch(assigned, model, assigned, 3, "book", CATALOG)
+    return best.select("seed_id", "rank", "p_partkey", "distance")
+
+
+def batch_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first part of every cluster, two thousand places deep."""
+    assigned, model = _assigned(spark, sf_dir)
+    first = F.min(F.struct("p_partkey", *CATALOG_FEATURES)).alias("first")
+    chosen = assigned.groupBy("cluster").agg(first).select("cluster", "first.*")
+    best = recommend.recommend_batch(assigned, model, chosen, 2000, "euclidean", CATALOG)
+    return best.select("seed_id", "rank", "p_partkey", "distance")
+
+
+def renamed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another name for the cluster, ids that repeat and are missing: the parts of
+    one type share its name as id, and one type has none."""
+    assigned, model = _assigned(spark, sf_dir)
+    columns = dataclasses.replace(CATALOG, id="kind", cluster="grp", maker_id="p_partkey", extra=())
+    rows = assigned.withColumnRenamed("cluster", "grp").withColumn(
+        "kind", F.when(F.col("p_size") != 5, F.col("p_type"))
+    )
+    best = recommend.recommend_batch(rows, model, rows.filter("kind IS NOT NULL"), 4, "euclidean", columns)
+    return best.select("seed_id", "rank", "kind", "p_partkey", "distance")
+
+
+def extract_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extraction job with a limit: its report."""
+    path = scratch_path(spark, "extracted")
+    return jobs.extract(_files_of_lines(spark, sf_dir), path, limit=500)
+
+
+def clustered_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clustering job on delimited text: the lines it writes, without the label,
+    are the lines it read."""
+    rows = features.valid_items(catalog(spark, sf_dir), CATALOG_FEATURES)
+    text = [F.col("p_partkey"), F.col("p_brand"), F.col("p_partkey"), F.col("p_name")]
+    quantity, price, discount, tax = (
+        F.concat(F.lit("+"), F.floor(F.col(f) * 1000).cast("string"), F.lit(".50")) for f in CATALOG_FEATURES
+    )
+    columns = [*text, quantity, F.lit("x"), price, discount, tax, F.lit("about 1990"), F.lit(""), F.lit("-0.50")]
+    lines = rows.select(csvlines.join_line([c.cast("string") for c in columns]).alias("value"))
+    source, target, model = (scratch_path(spark, name) for name in ("source", "target", "model"))
+    lines.write.text(source)
+    jobs.cluster(spark, source, target, model, k=4, format="csv")
+    return spark.read.text(target).select(F.regexp_replace("value", ",[0-9]+$", "").alias("line"))
+
+
+def recommend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document of a seed without a maker, written as JSON and read back as text."""
+    assigned, model = _assigned(spark, sf_dir)
+    nameless = assigned.withColumn("p_brand", F.lit(None).cast("string"))
+    seed = recommend.seed_row(seeds.find_by_title(nameless, SEED_TITLE, CATALOG), model, CATALOG)
+    path = scratch_path(spark, "similar")
+    items.write_json(recommend.recommend_document(nameless, model, seed, 3, "euclidean", CATALOG), path)
+    text = spark.read.text(path)
+    return text.select(
+        F.get_json_object("value", "$.song_id").cast("bigint").alias("song_id"),
+        F.contains("value", F.lit('"artist":null')).alias("has_artist"),
+        F.size(F.regexp_extract_all("value", F.lit('"p_brand":null'), F.lit(0))).alias("n_makers"),
+    )
+
+
+def cluster_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing of cluster sizes with the place of each row."""
+    sizes = cluster_sizes(spark, sf_dir).coalesce(1)
+    return sizes.withColumn("place", F.monotonically_increasing_id()).select("place", "cluster")
 
 
 def model_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -637,7 +744,9 @@ QUERIES = {
         top_by_year_json, display_items, csv_roundtrip, csv_data_rows, csv_table_roundtrip,
         safe_casts, clean_bytes, zip_records, ingest_limit, ingest_status, file_inventory,
         valid_items, feature_stats, zscore, assign_nearest, wssse, cluster_sizes, assign_items,
-        lloyd_steps, cluster_report, kmeans_fit, kmeans_invariants, model_tables, clustered_scan,
+        lloyd_steps, cluster_report, kmeans_fit, model_tables, clustered_scan,
+        nearest_of_any_vector, batch_of_all, batch_deep, renamed_batch, extract_limited,
+        clustered_text, recommend_json, cluster_order,
         clustered_csv_scan, title_search, find_by_title, find_by_id, find_random,
         recommend_euclidean, recommend_book, recommend_document, item_distances,
         candidate_counts, recommend_batch, nearest_embeddings,

@@ -7,11 +7,14 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: str | None = None) -> SparkSession:
-    """A session on this machine, web page off."""
+def local_session(cpus: str | None = None, **settings: str) -> SparkSession:
+    """A session on this machine, web page off; ``settings`` by name, dots as ``__``."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder
+    for name, value in settings.items():
+        builder = builder.config(name.replace("__", "."), value)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("nearkin")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")

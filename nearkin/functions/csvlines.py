@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 _END = "\u0001end\u0001"
 _SWALLOWED = "," + _END
 
-READ_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# What the parser makes room for. Of a line with more separators the part behind
+# them is cut off before it is parsed, so that no line can end a job.
+MAX_FIELDS = 1 << 18
+
+READ_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "maxColumns": str(MAX_FIELDS + 2),
+}
 WRITE_OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -28,8 +37,12 @@ def split_line(line: Column, n: int) -> Column:
 
     The struct is raw: it may hold the end mark, see :func:`field_text`.
     """
+    if n > MAX_FIELDS:
+        raise ValueError(f"at most {MAX_FIELDS} fields")
     schema = ", ".join(f"_{i} string" for i in range(n))
-    return F.from_csv(F.concat(line, F.lit(_SWALLOWED)), schema, READ_OPTIONS)
+    wide = F.length(line) > MAX_FIELDS
+    cut = F.when(wide, F.substring_index(line, ",", MAX_FIELDS)).otherwise(line)
+    return F.from_csv(F.concat(cut, F.lit(_SWALLOWED)), schema, READ_OPTIONS)
 
 
 def field_text(field: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nearkin.functions.vectors import quoted
+
 
 def computed_once(df: DataFrame, *names: str) -> DataFrame:
     """The same table, the named columns last and fixed.
@@ -15,6 +17,6 @@ def computed_once(df: DataFrame, *names: str) -> DataFrame:
     generated code grows past what the JIT compiles. Unfolding the columns with
     ``inline`` stops that; the rows are still passed on one by one.
     """
-    others = [F.col(f"`{name}`") for name in df.columns if name not in names]
-    fixed = F.struct(*[F.col(f"`{name}`") for name in names])
+    others = [F.col(quoted(name)) for name in df.columns if name not in names]
+    fixed = F.struct(*[F.col(quoted(name)) for name in names])
     return df.select(*others, F.inline(F.array(fixed)))

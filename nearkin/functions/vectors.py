@@ -28,9 +28,22 @@ METRICS = ("euclidean", "book")
 MAX_INLINE_TERMS = 200
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, stem: str) -> str:
+    """``stem`` with so many underscores behind it that no column begins with it."""
+    names = [name.lower() for name in df.columns]
+    while any(name.startswith(stem) for name in names):
+        stem += "_"
+    return stem
+
+
 def entries(array: str, dimension: int) -> list[str]:
     """The entries of an array column."""
-    return [f"CAST(get(`{array}`, {i}) AS DOUBLE)" for i in range(dimension)]
+    return [f"CAST(get({quoted(array)}, {i}) AS DOUBLE)" for i in range(dimension)]
 
 
 def _sql(entry: Entry) -> str:
@@ -103,20 +116,21 @@ def with_distance(
         return df.withColumn(name, F.expr(euclidean(point, seed)))
     if metric != "book":
         raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
-    places = range(len(point))
-    of_point = [f"{e} AS _d{i}" for i, e in enumerate(relative_deviation(point, center))]
-    of_seed = [f"{e} AS _c{i}" for i, e in enumerate(relative_deviation(seed, center))]
-    c, d = [f"_c{i}" for i in places], [f"_d{i}" for i in places]
-    lengths = [f"{norm(c)} AS _cn", f"{norm(d)} AS _dn", f"{_dot(c, d)} AS _cd"]
+    places, own = range(len(point)), unused(df, "_m")
+    of_point = [f"{e} AS {own}d{i}" for i, e in enumerate(relative_deviation(point, center))]
+    of_seed = [f"{e} AS {own}c{i}" for i, e in enumerate(relative_deviation(seed, center))]
+    c, d = [f"{own}c{i}" for i in places], [f"{own}d{i}" for i in places]
+    cn, dn, cd = (f"{own}_{kind}" for kind in ("cn", "dn", "cd"))
+    lengths = [f"{norm(c)} AS {cn}", f"{norm(d)} AS {dn}", f"{_dot(c, d)} AS {cd}"]
     measured = df.selectExpr("*", *of_point, *of_seed).selectExpr(
-        *[f"`{column}`" for column in df.columns], *lengths
+        *[quoted(column) for column in df.columns], *lengths
     )
-    cosine = "(_cd / _cn / _dn)"
+    cosine, gap = f"({cd} / {cn} / {dn})", f"({cn} - {dn})"
     distance = F.expr(
-        f"CASE WHEN _cn < {EPS!r}D OR _dn < {EPS!r}D THEN abs(_cn - _dn) "
-        f"ELSE sqrt({cosine} * {cosine} + (_cn - _dn) * (_cn - _dn)) END"
+        f"CASE WHEN {cn} < {EPS!r}D OR {dn} < {EPS!r}D THEN abs{gap} "
+        f"ELSE sqrt({cosine} * {cosine} + {gap} * {gap}) END"
     )
-    return measured.withColumn(name, distance).drop("_cn", "_dn", "_cd")
+    return measured.withColumn(name, distance).drop(cn, dn, cd)
 
 
 def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]]) -> Column:
@@ -124,7 +138,10 @@ def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]
 
     Equally near centers give the lowest index. ``point`` is a list of entries
     or the name of an ARRAY<DOUBLE> column. Centers are parameters (k x d
-    numbers), never data.
+    numbers), never data; many of them travel with the function, not in the plan.
+
+    A vector that is NULL, has another number of entries than the centers, or an
+    entry that is NULL or NaN, has no nearest center: the result is NULL.
     """
     if not centers:
         raise ValueError("no centers")
@@ -133,11 +150,17 @@ def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]
         packed = F.col(point) if isinstance(point, str) else F.array(*map(F.expr, point))
         return _nearest_by_arrow(centers)(packed)
     places = entries(point, dimension) if isinstance(point, str) else point
+    if len(places) != dimension:
+        raise ValueError("the point and the centers differ in dimension")
     options = [
         f"struct({squared_distance(places, center)} AS cost, {i} AS cluster)"
         for i, center in enumerate(centers)
     ]
-    return F.expr(options[0] if len(options) == 1 else f"least({', '.join(options)})")
+    whole = [f"{place} IS NOT NULL AND NOT isnan({place})" for place in map(_sql, places)]
+    if isinstance(point, str):
+        whole.insert(0, f"size({quoted(point)}) = {dimension}")
+    best = options[0] if len(options) == 1 else f"least({', '.join(options)})"
+    return F.expr(f"CASE WHEN {' AND '.join(whole)} THEN {best} END")
 
 
 def _nearest_by_arrow(centers: Sequence[Sequence[float]]):
@@ -145,17 +168,25 @@ def _nearest_by_arrow(centers: Sequence[Sequence[float]]):
 
     @F.arrow_udf("struct<cost: double, cluster: int>")
     def nearest(points: pa.Array) -> pa.Array:
-        n = len(points)
-        values = points.flatten().to_numpy(zero_copy_only=False).astype("float64")
-        values = values.reshape(n, middles.shape[1])
-        cost = np.full(n, np.inf)
-        cluster = np.zeros(n, dtype="int32")
+        n, width = len(points), middles.shape[1]
+        starts = points.offsets.to_numpy()[:-1]
+        lengths = points.value_lengths().fill_null(-1).to_numpy()
+        flat = points.values.to_numpy(zero_copy_only=False).astype("float64")
+        rows = np.flatnonzero(lengths == width)
+        values = flat[starts[rows, None] + np.arange(width)]
+        whole = ~np.isnan(values).any(axis=1)
+        rows, values = rows[whole], values[whole]
+        best = np.full(len(rows), np.inf)
+        nearest = np.zeros(len(rows), dtype="int32")
         for i, middle in enumerate(middles):
             gap = values - middle
             candidate = np.einsum("ij,ij->i", gap, gap)
-            closer = candidate < cost
-            cost[closer] = candidate[closer]
-            cluster[closer] = i
-        return pa.StructArray.from_arrays([pa.array(cost), pa.array(cluster)], names=["cost", "cluster"])
+            closer = candidate < best
+            best[closer] = candidate[closer]
+            nearest[closer] = i
+        cost, cluster, missing = np.zeros(n), np.zeros(n, dtype="int32"), np.ones(n, dtype=bool)
+        cost[rows], cluster[rows], missing[rows] = best, nearest, False
+        fields = [pa.array(cost), pa.array(cluster)]
+        return pa.StructArray.from_arrays(fields, names=["cost", "cluster"], mask=pa.array(missing))
 
     return nearest

@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 
 from nearkin.functions import vectors
 from nearkin.functions.once import computed_once
-from nearkin.operators.features import FeatureStats, fit_stats, valid_items, with_point, z_names
+from nearkin.operators.features import (
+    FeatureStats,
+    feature_vector,
+    fit_stats,
+    valid_items,
+    with_point,
+    z_names,
+)
 from nearkin.schema import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, SONG_FEATURES
 
-MAX_MODEL_NUMBERS = 1_000_000
-
 
 @dataclass(frozen=True)
 class ClusterModel:
@@ -36,23 +41,24 @@ class ClusterModel:
     n_items: int = 0
     created_at: datetime.datetime = field(default_factory=datetime.datetime.now)
 
-    def __post_init__(self):
-        if len(self.centers) * len(self.stats.features) > MAX_MODEL_NUMBERS:
-            raise ValueError("the model is too large to be carried by a plan")
-
     @property
     def features(self) -> tuple[str, ...]:
         return self.stats.features
 
 
+def _entries(point: Sequence[str] | str) -> Sequence[str] | str:
+    return point if isinstance(point, str) else [vectors.quoted(name) for name in point]
+
+
 def assign_nearest(
     df: DataFrame, point: Sequence[str] | str, centers, cluster: str = "cluster"
 ) -> DataFrame:
     """Add the index of the nearest center; ties go to the lowest index.
 
-    ``point`` is a list of column names or the name of an array column.
+    ``point`` is a list of column names or the name of an array column. A vector
+    without a nearest center (see ``vectors.nearest_center``) gets NULL.
     """
-    nearest = vectors.nearest_center(point, centers).getField("cluster")
+    nearest = vectors.nearest_center(_entries(point), centers).getField("cluster")
     return computed_once(df.withColumn(cluster, nearest), cluster)
 
 
@@ -64,14 +70,14 @@ def assign_items(df: DataFrame, model: ClusterModel, cluster: str = "cluster") -
 
 
 def total_cost(df: DataFrame, point: Sequence[str] | str, centers) -> DataFrame:
-    """``wssse``: the sum of squared distances to the nearest center."""
-    cost = vectors.nearest_center(point, centers).getField("cost")
+    """``wssse``: the sum of squared distances to the nearest center, where there is one."""
+    cost = vectors.nearest_center(_entries(point), centers).getField("cost")
     return df.agg(F.sum(cost).alias("wssse"))
 
 
 def cluster_sizes(assigned: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Items per cluster; clusters without items do not appear."""
-    return assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n_items"))
+    """Items per cluster, in the order of the clusters; those without items do not appear."""
+    return assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n_items")).orderBy(cluster)
 
 
 def centers_table(spark: SparkSession, model: ClusterModel) -> DataFrame:
@@ -81,12 +87,13 @@ def centers_table(spark: SparkSession, model: ClusterModel) -> DataFrame:
 
 
 def cluster_report(assigned: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:
-    """Per cluster: size and center, the center rounded to 3 digits."""
+    """Per cluster, in order: size and center, the center rounded to 3 digits."""
     centers = centers_table(assigned.sparkSession, model).select(
         F.col("cluster").alias(cluster),
         F.transform("center", lambda x: F.round(x, 3)).alias("center"),
     )
-    return cluster_sizes(assigned, cluster).join(F.broadcast(centers), cluster)
+    # Both sides have at most k rows.
+    return cluster_sizes(assigned, cluster).join(F.broadcast(centers), cluster).orderBy(cluster)
 
 
 def fit_kmeans(
@@ -99,21 +106,24 @@ def fit_kmeans(
     """Train K-Means on the z-scores of the valid items.
 
     The cost is taken against the final centers. The centers depend on how the
-    input is partitioned as well as on the seed. The table is read three times
-    (statistics, training, cost), feature columns only; the trainer caches its
-    vectors itself.
+    input is partitioned as well as on the seed. The table is read once: the
+    valid feature columns are kept for statistics, training and cost.
     """
-    valid = valid_items(df, features)
-    stats = fit_stats(valid, features)
-    placed = with_point(valid, stats)
-    names = z_names(stats)
-    trainer = KMeans(
-        k=k, maxIter=max_iter, tol=1e-4, initMode="k-means||", initSteps=2, solver="row",
-        seed=seed, featuresCol="point",
-    )
-    trained = trainer.fit(placed.select(array_to_vector(F.array(*names)).alias("point")))
-    centers = tuple(tuple(map(float, c)) for c in trained.clusterCenters())
-    wssse = total_cost(placed, names, centers).first()["wssse"]
+    columns = feature_vector(df, features)
+    valid = valid_items(df.select(*columns), features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = fit_stats(valid, features)
+        placed = with_point(valid, stats)
+        names = z_names(stats)
+        trainer = KMeans(
+            k=k, maxIter=max_iter, tol=1e-4, initMode="k-means||", initSteps=2, solver="row",
+            seed=seed, featuresCol="point",
+        )
+        trained = trainer.fit(placed.select(array_to_vector(F.array(*names)).alias("point")))
+        centers = tuple(tuple(map(float, c)) for c in trained.clusterCenters())
+        wssse = total_cost(placed, names, centers).first()["wssse"]
+    finally:
+        valid.unpersist()
     return ClusterModel(stats, centers, k, float(wssse), stats.n)
 
 
@@ -132,11 +142,14 @@ def lloyd(
     of the point are kept between the steps.
     """
     centers = [tuple(map(float, start)) for start in starts]
-    points = df.select(*point).persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.select(*[F.col(vectors.quoted(name)) for name in point])
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(steps):
             assigned = assign_nearest(points, point, centers, "_cluster")
-            means = assigned.groupBy("_cluster").agg(*[F.avg(name).alias(name) for name in point])
+            assigned = assigned.filter(F.col("_cluster").isNotNull())
+            averages = [F.avg(vectors.quoted(name)).alias(name) for name in point]
+            means = assigned.groupBy("_cluster").agg(*averages)
             moved = 0.0
             for row in means.collect():
                 mean = tuple(row[name] for name in point)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.functions import casts
+from nearkin.functions.vectors import unused
 from nearkin.schema import DEFAULT_TOP, DEFAULT_YEARS, SONGS, ItemColumns
 
 
@@ -51,12 +52,13 @@ def top_distinct(df: DataFrame, group: str, order: Sequence[Column], n: int) ->
     and the last ranking sees at most slices x n rows per group.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    local = W.partitionBy(group, "_slice").orderBy(*order)
+    part, place = unused(df, "_slice"), unused(df, "_place")
+    sliced = df.withColumn(part, F.pmod(F.spark_partition_id(), F.lit(slices)))
+    local = W.partitionBy(group, part).orderBy(*order)
     survivors = (
-        sliced.withColumn("_place", F.dense_rank().over(local))
-        .filter(F.col("_place") <= n)
-        .drop("_place", "_slice")
+        sliced.withColumn(place, F.dense_rank().over(local))
+        .filter(F.col(place) <= n)
+        .drop(place, part)
         .distinct()
     )
     overall = W.partitionBy(group).orderBy(*order)
@@ -184,4 +186,5 @@ def as_one_document(documents: DataFrame) -> DataFrame:
     """
     body = F.struct("top_artists", "top_songs")
     pairs = F.sort_array(F.collect_list(F.struct(F.col("year"), body.alias("body"))))
-    return documents.agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+    whole = F.to_json(F.map_from_entries(pairs), {"ignoreNullFields": "false"})
+    return documents.agg(whole.alias("value"))

@@ -12,13 +12,9 @@ from nearkin.functions import casts, vectors
 from nearkin.functions.once import computed_once
 from nearkin.operators.clusters import ClusterModel, centers_table
 from nearkin.operators.features import feature_vector, valid_items, with_point, z_names
+from nearkin.operators.seeds import first_per_id
 from nearkin.schema import DEFAULT_TOP, SONGS, ItemColumns
 
-# Ways of joining many seeds with their groups, see nearest_in_group.
-MAX_DIRECT_SEEDS = 100
-MAX_BROADCAST_SEEDS = 10_000
-PROBE_FRACTION = 0.001
-
 
 def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if name in df.columns]
@@ -39,6 +35,12 @@ def describe(df: DataFrame, columns: ItemColumns = SONGS, keep: Sequence[str] =
     return df.select(*shown, *[F.col(name) for name in keep])
 
 
+def _ties(df: DataFrame, columns: ItemColumns) -> list[str]:
+    """The display columns that order rows of equal distance and id."""
+    c = columns
+    return _present(df, (c.name, c.maker_name, c.maker_id, c.year, *[name for name, _ in c.extra]))
+
+
 def seed_row(seeds: DataFrame, model: ClusterModel, columns: ItemColumns = SONGS) -> Row:
     """The seed as a row with its scaled features ``_z0``, ``_z1``, ...
 
@@ -63,7 +65,7 @@ def candidates(
     where the seed's cluster lies.
     """
     rows = assigned.filter(F.col(columns.cluster) == seed[columns.cluster])
-    rows = rows.filter(F.col(columns.id) != F.lit(seed[columns.id]))
+    rows = rows.filter(~F.col(columns.id).eqNullSafe(F.lit(seed[columns.id])))
     return valid_items(rows, model.features)
 
 
@@ -72,8 +74,8 @@ def candidate_counts(
 ) -> DataFrame:
     """``n_candidates`` and ``n_total`` in one pass over the table."""
     valid = [casts.is_finite(value) for value in feature_vector(assigned, model.features)]
-    wanted = (F.col(columns.cluster) == seed[columns.cluster]) & (
-        F.col(columns.id) != F.lit(seed[columns.id])
+    wanted = (F.col(columns.cluster) == seed[columns.cluster]) & ~F.col(columns.id).eqNullSafe(
+        F.lit(seed[columns.id])
     )
     for condition in valid:
         wanted = wanted & condition
@@ -88,10 +90,11 @@ def with_seed_distance(
     model: ClusterModel,
     metric: str = "euclidean",
     name: str = "distance",
+    columns: ItemColumns = SONGS,
 ) -> DataFrame:
     """Add the distance of each row from the seed, in the seed's cluster."""
     point = z_names(model.stats)
-    start, center = [seed[z] for z in point], model.centers[seed["cluster"]]
+    start, center = [seed[z] for z in point], model.centers[seed[columns.cluster]]
     placed = with_point(rows, model.stats)
     return vectors.with_distance(placed, point, start, center, metric, name).drop(*point)
 
@@ -107,12 +110,15 @@ def recommend(
     """The ``n`` candidates nearest to the seed: rank, display columns, distance.
 
     Every task keeps its own ``n`` best rows; only those meet, and only those are
-    rounded for display. Equal distances are ordered by id.
+    rounded for display. Equal distances are ordered by id, then by what is shown.
+    A row whose distance is no number does not count.
     """
     rows = candidates(assigned, seed, model, columns)
-    scored = with_seed_distance(rows, seed, model, metric)
-    best = scored.orderBy("distance", columns.id).limit(n)
-    place = F.row_number().over(W.orderBy("distance", columns.id))
+    scored = with_seed_distance(rows, seed, model, metric, columns=columns)
+    scored = scored.filter(F.col("distance").isNotNull() & ~F.isnan("distance"))
+    order = ["distance", columns.id, *_ties(assigned, columns)]
+    best = scored.orderBy(*order).limit(n)
+    place = F.row_number().over(W.orderBy(*order))
     shown = describe(best.withColumn("rank", place), columns, keep=["rank", "distance"])
     return shown.withColumn("distance", F.round("distance", 6))
 
@@ -150,29 +156,6 @@ def recommend_document(
     )
 
 
-def _pairs(
-    rows: DataFrame, seeds: DataFrame, group: str, item_id: str, distance, by_broadcast: bool
-) -> DataFrame:
-    """Rows with the seeds of their group and the distance; where the seeds have a
-    ``_bound``, pairs beyond it are dropped as they come out of the join."""
-    if by_broadcast:
-        pairs = rows.join(F.broadcast(seeds), group)
-    else:
-        slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sliced = rows.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-        repeated = seeds.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-        pairs = sliced.join(repeated, [group, "_slice"]).drop("_slice")
-    scored = distance(pairs.filter(F.col(item_id) != F.col("seed_id")))
-    if "_bound" not in seeds.columns:
-        return scored
-    return computed_once(scored, "distance").filter(F.col("distance") <= F.col("_bound"))
-
-
-def _n_nearest(pairs: DataFrame, item_id: str, n: int) -> DataFrame:
-    order = W.partitionBy("seed_id").orderBy("distance", item_id)
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-
-
 def nearest_in_group(
     rows: DataFrame,
     seeds: DataFrame,
@@ -180,46 +163,35 @@ def nearest_in_group(
     distance: Callable[[DataFrame], DataFrame],
     item_id: str,
     n: int = DEFAULT_TOP,
-    max_direct: int = MAX_DIRECT_SEEDS,
-    max_broadcast: int = MAX_BROADCAST_SEEDS,
-    probe: float = PROBE_FRACTION,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """For every seed the ``n`` nearest rows of its own group, with ``rank``.
 
     ``seeds`` has a unique ``seed_id``, the group column and whatever else
-    ``distance`` needs, which adds a column of that name to the joined rows. A
-    seed is compared with its group only, and every input
-    partition keeps ``n`` rows per seed before the shuffle. The seeds are
-    counted first:
-
-    * up to ``max_direct`` seeds are broadcast;
-    * more seeds first get a bound each, the distance of their ``n``-th nearest
-      row within a random share of the rows. No row beyond it can be among the
-      ``n`` nearest of all rows, so the join passes on only about ``n / probe``
-      pairs per seed. A seed that finds too few rows in the share has no bound;
-    * above ``max_broadcast`` the join goes through a shuffle: the rows of a
-      group are cut into slices and the seeds are repeated per slice, so that a
-      group with a third of all rows is spread over all tasks.
-
-    The result is the same on each way.
+    ``distance`` needs, which adds a column of that name to the joined rows.
+    Equal distances are ordered by the item's id, then by the columns ``ties``.
+    A pair whose distance is NULL or NaN does not count; neither does a row with
+    the seed's own id.
+
+    The rows of a group are cut into slices by their input partition, and the
+    seeds are repeated per slice, so that a group with a third of all rows is
+    spread over all tasks. Every slice keeps its own ``n`` best per seed, and
+    only those meet. How the join runs is left to the planner.
     """
-    found = seeds.limit(max_broadcast + 1).collect()
-    n_seeds = len(found)
-    by_broadcast = n_seeds <= max_broadcast
-    if by_broadcast:
-        seeds = seeds.sparkSession.createDataFrame(found, seeds.schema)
-    if n_seeds > max_direct:
-        share = _pairs(rows.sample(probe, seed=0), seeds, group, item_id, distance, by_broadcast)
-        bounds = (
-            _n_nearest(share, item_id, n)
-            .filter(F.col("rank") == n)
-            .select("seed_id", F.col("distance").alias("_bound"))
-        )
-        no_bound = F.lit(float("inf"))
-        seeds = seeds.join(bounds, "seed_id", "left").withColumn(
-            "_bound", F.coalesce("_bound", no_bound)
-        )
-    return _n_nearest(_pairs(rows, seeds, group, item_id, distance, by_broadcast), item_id, n)
+    slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = vectors.unused(seeds, vectors.unused(rows, "_slice"))
+    sliced = rows.withColumn(part, F.pmod(F.spark_partition_id(), F.lit(slices)))
+    repeated = seeds.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    pairs = sliced.join(repeated, [group, part])
+    others = pairs.filter(~F.col(item_id).eqNullSafe(F.col("seed_id")))
+    scored = computed_once(distance(others), "distance")
+    scored = scored.filter(F.col("distance").isNotNull() & ~F.isnan("distance"))
+    order = ["distance", item_id, *ties]
+    local = W.partitionBy(group, part, "seed_id").orderBy(*order)
+    best = scored.withColumn("rank", F.row_number().over(local)).filter(F.col("rank") <= n)
+    overall = W.partitionBy("seed_id").orderBy(*order)
+    ranked = best.drop(part).withColumn("rank", F.row_number().over(overall))
+    return ranked.filter(F.col("rank") <= n)
 
 
 def recommend_batch(
@@ -229,13 +201,12 @@ def recommend_batch(
     n: int = DEFAULT_TOP,
     metric: str = "euclidean",
     columns: ItemColumns = SONGS,
-    **limits,
 ) -> DataFrame:
     """:func:`recommend` for many seeds at once: seed_id, rank, columns, distance.
 
     ``seeds`` are rows of the assigned table; of several rows with one id the
-    first by cluster and features counts. ``limits`` go to
-    :func:`nearest_in_group`.
+    one counts that ``find_by_id`` finds. A seed with invalid features has no
+    result.
     """
     c = columns
     point = z_names(model.stats)
@@ -244,19 +215,19 @@ def recommend_batch(
     rows = with_point(valid_items(assigned, model.features), model.stats)
     shown = describe(rows, c).columns
     needed = rows.select(*shown, c.cluster, *point)
-    valid = with_point(valid_items(seeds, model.features), model.stats, "_seed")
-    first = F.min(F.struct(F.col(c.cluster), *start)).alias("seed")
-    chosen = valid.groupBy(F.col(c.id).alias("seed_id")).agg(first).select("seed_id", "seed.*")
+    own = first_per_id(seeds, c)
+    valid = with_point(valid_items(own, model.features), model.stats, "_seed")
+    chosen = valid.select(F.col(c.id).alias("seed_id"), F.col(c.cluster), *start)
     centers = centers_table(assigned.sparkSession, model).select(
         F.col("cluster").alias(c.cluster),
         *[F.get("center", F.lit(i)).alias(name) for i, name in enumerate(middle)],
     )
-    # The centers are k rows, see MAX_MODEL_NUMBERS.
-    chosen = chosen.join(F.broadcast(centers), c.cluster)
+    chosen = chosen.join(centers, c.cluster)
 
     def distance(pairs: DataFrame) -> DataFrame:
         return vectors.with_distance(pairs, point, start, middle, metric)
 
-    best = nearest_in_group(needed, chosen, c.cluster, distance, c.id, n, **limits)
+    ties = _ties(needed, c)
+    best = nearest_in_group(needed, chosen, c.cluster, distance, c.id, n, ties)
     result = describe(best, c, keep=["seed_id", "rank", "distance"])
     return result.withColumn("distance", F.round("distance", 6))

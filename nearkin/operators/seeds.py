@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.functions import casts
+from nearkin.functions.vectors import quoted, unused
 from nearkin.schema import SONGS, ItemColumns
 
 
+def total_order(df: DataFrame, columns: ItemColumns = SONGS) -> list[Column]:
+    """An order over whole rows: by name and maker, then by all other columns.
+
+    Ids need not be unique; this settles which row stands for one. Columns that
+    cannot be ordered (maps) do not count.
+    """
+    first = [c for c in (columns.name, columns.maker_name) if c in df.columns]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    others = [c for c in df.columns if c not in first and "map<" not in types[c].simpleString()]
+    return [F.col(quoted(name)) for name in first + others]
+
+
 def find_by_id(df: DataFrame, item_id, columns: ItemColumns = SONGS) -> DataFrame:
-    """The item with this id; of several rows the first by name and maker."""
+    """The item with this id; of several rows the first in :func:`total_order`."""
     found = df.filter(F.col(columns.id) == F.lit(item_id))
-    ties = [c for c in (columns.name, columns.maker_name) if c in df.columns]
-    return found.orderBy(*ties).limit(1)
+    return found.orderBy(*total_order(df, columns)).limit(1)
+
+
+def first_per_id(df: DataFrame, columns: ItemColumns = SONGS) -> DataFrame:
+    """Of the rows of every id the one that :func:`find_by_id` finds."""
+    place = unused(df, "_place")
+    order = W.partitionBy(columns.id).orderBy(*total_order(df, columns))
+    return df.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
 
 
 def match_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> DataFrame:
@@ -23,13 +43,14 @@ def match_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> Data
 
 def find_by_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> DataFrame:
     """The item with the smallest id among those whose name holds the fragment."""
-    return match_title(df, title, columns).orderBy(columns.id).limit(1)
+    found = match_title(df, title, columns)
+    return found.orderBy(columns.id, *total_order(df, columns)).limit(1)
 
 
 def find_random(df: DataFrame, random_seed: int, columns: ItemColumns = SONGS) -> DataFrame:
     """A random item; the same seed finds the same item on any partitioning."""
     key = F.md5(F.concat_ws(":", F.lit(str(random_seed)), F.col(columns.id).cast("string")))
-    return df.orderBy(key, columns.id).limit(1)
+    return df.orderBy(key, columns.id, *total_order(df, columns)).limit(1)
 
 
 def find_seed(

@@ -7,8 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from nearkin.functions.once import computed_once
 from nearkin.operators import clusters, ranking, recommend, seeds
 from nearkin.schema import (
     DEFAULT_K,
@@ -17,16 +20,62 @@ from nearkin.schema import (
     DEFAULT_TOP,
     DEFAULT_YEARS,
     SONG_FEATURES,
+    SONG_SCHEMA,
     SONGS,
 )
 from nearkin.sources import items, models, records
+from nearkin.sources.scratch import kept
 
 
 def extract(files: DataFrame, output: str, limit: int = 0, overwrite: bool = False) -> DataFrame:
-    """Nested records to delimited text; returns the counts per file status."""
-    rows = records.extract_records(files, limit, require_rows=True)
+    """Nested records to delimited text; returns the counts per file status.
+
+    The counts are those of what was written. With a limit, files behind the one
+    in which it is reached count as not read. Without rows this is an error,
+    found after the empty target has been written.
+    """
+    spark = files.sparkSession
+    items.refuse_existing(spark, output, overwrite)
+    if limit > 0 or "first_pos" in files.columns:
+        return _extract_by_file(files, output, limit, overwrite)
+    counted = Observation()
+    seen = records.with_status(files).observe(
+        counted,
+        F.count_if(F.col("status") == "ok").alias("ok"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.sum("n_records").alias("n_records"),
+    )
+    rows = records.zip_records(seen.drop("status", "error", "n_records")).drop("path", "pos")
     items.write_items(rows, output, overwrite)
-    return records.ingest_report(files)
+    found = counted.get
+    n_records = found["n_records"] or 0
+    if n_records == 0:
+        raise ValueError("no records read")
+    report = [("ok", found["ok"], n_records), ("failed", found["failed"], 0)]
+    return spark.createDataFrame([r for r in report if r[1]], "status string, n_files long, n_records long")
+
+
+def _extract_by_file(files: DataFrame, output: str, limit: int, overwrite: bool) -> DataFrame:
+    rows = records.zip_records(files)
+    if limit > 0:
+        rows = rows.orderBy("path", "pos").limit(limit)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        items.write_items(rows.drop("path", "pos"), output, overwrite)
+        end = rows.agg(F.count("*").alias("n"), F.max("path").alias("last")).first()
+        if end["n"] == 0:
+            raise ValueError("no records read")
+        read = files.filter(F.col("path") <= end["last"]) if limit > 0 and end["n"] >= limit else files
+        written = rows.groupBy("path").agg(F.count("*").alias("n_written"))
+        status = records.with_status(read).groupBy("path").agg(F.min("status").alias("status"))
+        joined = status.join(written, "path", "left")
+        report = joined.groupBy("status").agg(
+            F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_written"), F.lit(0)).alias("n_records")
+        )
+        found = [tuple(r) for r in report.collect()]
+    finally:
+        rows.unpersist()
+    return files.sparkSession.createDataFrame(found, "status string, n_files long, n_records long")
 
 
 def top_by_year(
@@ -38,12 +87,27 @@ def top_by_year(
     output_json: str = "",
     overwrite: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The rankings of makers and items per year; on request also as JSON."""
+    """The rankings of makers and items per year; on request also as JSON.
+
+    The source is read once; both rankings, which have at most ``n`` rows a
+    year, are kept for what follows.
+    """
+    if output_json:
+        items.refuse_existing(spark, output_json, overwrite)
     table = items.read_items(spark, source)
+    c = SONGS
+    needed = [c.id, c.name, c.popularity, c.maker_id, c.maker_name, c.maker_popularity]
+    # The year is cast once; the filter on it goes first.
+    dated = computed_once(table.select(*needed, c.year), c.year)
+    rows = ranking.in_years(dated, c.year, first, last).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        artists, songs = (kept(r) for r in ranking.top_by_year(rows, first, last, n))
+    finally:
+        rows.unpersist()
     if output_json:
-        documents = ranking.top_by_year_document(table, first, last, n)
+        documents = ranking.year_documents(artists, songs, first, last)
         items.write_document(ranking.as_one_document(documents), output_json, overwrite)
-    return ranking.top_by_year(table, first, last, n)
+    return artists, songs
 
 
 def cluster(
@@ -58,9 +122,16 @@ def cluster(
     overwrite: bool = False,
     format: str = "parquet",
 ) -> DataFrame:
-    """Train, save the model, write the assigned items; returns the report."""
-    table = items.read_items(spark, source)
-    assigned, model = clusters.cluster_items(table, features, k, max_iter, seed)
+    """Train, save the model, write the assigned items; returns the report.
+
+    Delimited text is written with the fields as they were read, parquet with
+    their types. A target that exists is an error before anything is read.
+    """
+    items.refuse_existing(spark, output, overwrite)
+    texts = items.parse_lines(spark.read.text(source), SONG_SCHEMA)
+    model = clusters.fit_kmeans(items.typed(texts, SONG_SCHEMA, features), features, k, max_iter, seed)
+    rows = texts if format == "csv" else items.typed(texts, SONG_SCHEMA, features)
+    assigned = clusters.assign_items(rows, model).select(*SONG_SCHEMA.fieldNames(), SONGS.cluster)
     items.write_clustered(assigned, output, overwrite, format)
     models.save_model(spark, model, model_path)
     written = items.read_clustered(spark, output, format)
@@ -81,6 +152,8 @@ def similar(
     format: str = "parquet",
 ) -> DataFrame:
     """The items most similar to one item; on request also as JSON."""
+    if output_json:
+        items.refuse_existing(spark, output_json, overwrite)
     model = models.load_model(spark, model_path)
     assigned = items.read_clustered(spark, clustered, format)
     found = seeds.find_seed(assigned, item_id, title, random_seed)

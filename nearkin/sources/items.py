@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +39,11 @@ def parse_lines(
     return kept.select(*others, *texts)
 
 
-def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def typed(rows: DataFrame, schema: T.StructType, fixed: Sequence[str] = ()) -> DataFrame:
     """Text columns to the types of ``schema`` with the forgiving casts.
 
-    A filter on a number does not repeat the cast of its text.
+    Only the columns that are read are cast. Those named in ``fixed`` are always
+    cast, and come last; a filter on one of them does not repeat its cast.
     """
     names = schema.fieldNames()
     numeric = [n for n in names if isinstance(schema[n].dataType, T.NumericType)]
@@ -56,7 +58,8 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
         casts.cut_to_int(F.col(name)).alias(name) if name in whole else F.col(name)
         for name in rows.columns
     ]
-    return computed_once(floats.select(*columns), *rows.columns)
+    cast = floats.select(*columns)
+    return computed_once(cast, *fixed) if fixed else cast
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA) -> DataFrame:
@@ -79,6 +82,14 @@ def read_clustered(
     raise ValueError(f"unknown format {format!r}")
 
 
+def refuse_existing(spark: SparkSession, path: str, overwrite: bool = False) -> None:
+    """Raise FileExistsError if the target is there; called before any work."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not overwrite and store.exists(target):
+        raise FileExistsError(f"{path} exists; pass overwrite=True to replace it")
+
+
 def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
@@ -129,8 +140,8 @@ def write_clustered(
 
 
 def write_json(documents: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Write documents as JSON, one per line; text is kept as it is."""
-    documents.write.mode(_mode(overwrite)).json(path)
+    """Write documents as JSON, one per line; text is kept as it is, NULL fields too."""
+    documents.write.mode(_mode(overwrite)).option("ignoreNullFields", "false").json(path)
 
 
 def write_document(document: DataFrame, path: str, overwrite: bool = False) -> None:

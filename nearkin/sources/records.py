@@ -72,9 +72,9 @@ def zip_records(files: DataFrame) -> DataFrame:
     zipped = F.arrays_zip(
         F.col("metadata"), *[F.slice(F.col(a), F.lit(1), n).alias(a) for a in ARRAYS[1:]]
     )
-    first = F.col("first_pos").cast("int") if "first_pos" in files.columns else F.lit(0)
+    first = F.col("first_pos") if "first_pos" in files.columns else F.lit(0)
     rows = readable.select(
-        "path", first.alias("_first"), F.posexplode(zipped).alias("pos", "_entry")
+        "path", first.cast("bigint").alias("_first"), F.posexplode(zipped).alias("pos", "_entry")
     )
     columns = []
     for name, (array, field) in RECORD_FIELDS.items():

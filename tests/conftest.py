@@ -1,6 +1,4 @@
-import random
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,47 +9,37 @@ if str(ROOT) not in sys.path:
 
 from checks.session import local_session  # noqa: E402
 from nearkin.schema import SONG_SCHEMA  # noqa: E402
+from nearkin.sources.scratch import clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("4")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="nearkin-tests-"))
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("4", spark__checkpoint__dir=folder, spark__sql__warehouse__dir=f"{folder}/warehouse")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
-def make_songs(n=400, seed=5):
-    """Songs of three overlapping styles; a third lack the popularity."""
-    rnd = random.Random(seed)
-    styles = [(-14.0, 70.0, 0.4, 0.5), (-7.0, 120.0, 0.6, 0.55), (-4.0, 160.0, 0.5, 0.4)]
-    rows = []
-    for i in range(n):
-        loud, tempo, key, mode = styles[i % 3]
-        maker = i % 23
-        rows.append(
-            (
-                f"A{maker:03d}",
-                f"Maker {maker}, the {i % 3}",
-                f"S{i:05d}",
-                f'Song "{i}", live' if i % 2 else f"Tune_{i}%",
-                rnd.gauss(loud, 1.5),
-                float("nan") if rnd.random() < 0.3 else round(rnd.random(), 2),
-                rnd.gauss(tempo, 6.0),
-                rnd.gauss(key, 0.08),
-                rnd.gauss(mode, 0.08),
-                rnd.choice([0, 1990, 1991, 1993]),
-                round(rnd.random(), 1),
-                rnd.gauss(230.0, 40.0),
-            )
-        )
-    return rows
+def _share(i, step):
+    """A number from 0 to 1 that looks disorderly and is the same every time."""
+    return i * step % 1.0
+
+
+def song(i):
+    title = f"Tune_{i}%" if i % 2 == 0 else f'Say "{i}", again'
+    popularity = float("nan") if i % 7 in (2, 5) else round(_share(i, 0.3247), 2)
+    return (
+        f"A{i // 16:03d}", f"Band {i // 16}; and, others", f"S{i:05d}", title,
+        -20.0 + 15.0 * _share(i, 0.6180), popularity, 60.0 + 120.0 * _share(i, 0.4142),
+        _share(i, 0.7321), _share(i, 0.2361), (1991, 0, 1990, 1993)[i // 3 % 4],
+        round(_share(i, 0.17), 1), 100.0 + i / 4,
+    )
 
 
 @pytest.fixture(scope="session")
 def song_rows():
-    return make_songs()
+    return [song(i) for i in range(400)]
 
 
 @pytest.fixture(scope="session")

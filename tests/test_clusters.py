@@ -107,10 +107,20 @@ def test_assignment_needs_no_shuffle(songs):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_too_large_a_model():
-    stats = features.FeatureStats(("a",) * 1000, (0.0,) * 1000, (1.0,) * 1000, 1)
-    with pytest.raises(ValueError, match="too large"):
-        clusters.ClusterModel(stats, ((0.0,) * 1000,) * 1001, 1001)
+def test_a_model_of_many_numbers(spark):
+    rnd = np.random.default_rng(2)
+    centers = rnd.normal(size=(1200, 1000))
+    df = spark.createDataFrame([(i, centers[i].tolist()) for i in (0, 7, 1199)], "i int, v array<double>")
+    got = clusters.assign_nearest(df, "v", centers.tolist()).collect()
+    assert {r["i"]: r["cluster"] for r in got} == {0: 0, 7: 7, 1199: 1199}
+
+
+def test_names_that_need_quotes(spark):
+    df = spark.createDataFrame([(0.0, 1.0), (4.0, 1.0)], ["my col", "a`b"])
+    got = clusters.assign_nearest(df, ["my col", "a`b"], [[4.0, 1.0], [0.0, 0.0]]).collect()
+    assert [r["cluster"] for r in got] == [1, 0]
+    assert clusters.total_cost(df, ["my col", "a`b"], [[4.0, 1.0], [0.0, 0.0]]).first()["wssse"] == 1.0
+    assert clusters.lloyd(df, ["my col", "a`b"], [[0.0, 0.0]], 2) == ((2.0, 1.0),)
 
 
 def test_a_hot_cluster(spark):

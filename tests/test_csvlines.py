@@ -25,10 +25,10 @@ def parse(spark, lines, names, **options):
 
 
 def test_quotes(spark):
-    lines = ['a,"Artist, ft. B",c,"Song ""hit"", live"', ",,,", '"",x," ",y']
+    lines = ['7,"one, two",ß,"he said ""no"""', ",,,", '"",x," ",y']
     got = parse(spark, lines, ["p", "q", "r", "s"])
     assert got == {
-        0: ("a", "Artist, ft. B", "c", 'Song "hit", live'),
+        0: ("7", "one, two", "ß", 'he said "no"'),
         1: ("", "", "", ""),
         2: ("", "x", " ", "y"),
     }
@@ -61,6 +61,19 @@ def test_lines_of_more_than_a_thousand_characters(spark):
     assert parse(spark, [f'"{long}",b'], ["p", "q"]) == {0: (long, "b")}
 
 
+def test_lines_of_very_many_fields(spark):
+    lines = ["a,b" + ",x" * 30_000, "c,d" + "," * 400_000, "e" * 300_000 + ",f", "g" + "," * 400_000 + '"']
+    got = parse(spark, lines, ["p", "q"])
+    assert got == {0: ("a", "b"), 1: ("c", "d"), 2: ("e" * 300_000, "f"), 3: ("g", "")}
+
+
+def test_one_column_read_casts_one_column(spark):
+    schema = T.StructType([T.StructField("p", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in "qrs"])
+    lines = spark.createDataFrame([("a,1,2,3",)], "value string")
+    rows = items.typed(items.parse_lines(lines, schema), schema)
+    assert "try_cast" not in rows.select("p")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_the_split_is_not_repeated_by_the_filter(spark):
     df = spark.createDataFrame([("a,b",)], "value string")
     plan = items.parse_lines(df, schema_of(["p", "q"]))._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nearkin.operators import clusters, recommend, seeds
-from nearkin.schema import SONG_FEATURES, SONG_SCHEMA
+from nearkin.schema import SONG_FEATURES, SONG_SCHEMA, ItemColumns
 from tests.test_vectors import book
 
 NAMES = SONG_SCHEMA.fieldNames()
@@ -79,35 +79,67 @@ def test_candidate_counts(song_rows, assigned, model):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "book"])
-@pytest.mark.parametrize(
-    "limits",
-    [
-        {},
-        {"max_direct": 2, "probe": 0.4},
-        {"max_direct": 2, "probe": 0.0},
-        {"max_direct": 2, "max_broadcast": 3, "probe": 0.4},
-        {"max_direct": 50, "max_broadcast": 3},
-    ],
-)
-def test_batch_is_the_same_on_every_way(song_rows, assigned, model, metric, limits):
+@pytest.mark.parametrize("n", [6, 2000])
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_a_batch_gives_what_each_seed_gives(spark, song_rows, assigned, model, metric, n, broadcast):
     wanted = ["S00001", "S00002", "S00007", "S00100", "S00399"]
     chosen = assigned.filter(F.col("song_id").isin(wanted))
-    best = recommend.recommend_batch(assigned, model, chosen, 6, metric, **limits)
-    got = {}
-    for r in best.orderBy("seed_id", "rank").collect():
-        got.setdefault(r["seed_id"], []).append((r["song_id"], r["distance"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        best = recommend.recommend_batch(assigned, model, chosen, n, metric)
+        got = {}
+        for r in best.orderBy("seed_id", "rank").collect():
+            got.setdefault(r["seed_id"], []).append((r["song_id"], r["distance"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted(got) == wanted
     for one in wanted:
-        expected, _ = brute(song_rows, model, one, 6, metric)
+        expected, _ = brute(song_rows, model, one, n, metric)
         assert [i for i, _ in got[one]] == [i for i, _ in expected]
         assert [d for _, d in got[one]] == pytest.approx([d for _, d in expected], abs=2e-6)
 
 
-def test_a_batch_of_many_seeds_is_joined_without_broadcast(assigned, model):
-    chosen = assigned.filter("year = 1990")
-    best = recommend.recommend_batch(assigned, model, chosen, 3, max_direct=5, max_broadcast=10)
+def test_every_item_as_seed(assigned, model):
+    best = recommend.recommend_batch(assigned, model, assigned, 3)
     assert best.groupBy("seed_id").count().filter("count <> 3").count() == 0
-    assert best.select("seed_id").distinct().count() == chosen.count()
+    assert best.select("seed_id").distinct().count() == assigned.count()
+
+
+def test_pairs_without_a_distance_do_not_count(spark):
+    rows = spark.createDataFrame(
+        [("g", i, x) for i, x in enumerate([1.0, 2.0, None, math.nan, math.inf, 1.0])] + [("g", None, 1.5)],
+        "g string, id int, x double",
+    )
+    chosen = spark.createDataFrame([("g", 0, 1.0), ("g", 9, 2.0)], "g string, seed_id int, at double")
+
+    def distance(pairs):
+        return pairs.withColumn("distance", F.abs(F.col("x") - F.col("at")))
+
+    best = recommend.nearest_in_group(rows, chosen, "g", distance, "id", 10).orderBy("seed_id", "rank")
+    got = [(r["seed_id"], r["id"], r["distance"]) for r in best.collect()]
+    assert got == [
+        (0, 5, 0.0), (0, None, 0.5), (0, 1, 1.0), (0, 4, math.inf),
+        (9, 1, 0.0), (9, None, 0.5), (9, 0, 1.0), (9, 5, 1.0), (9, 4, math.inf),
+    ]
+
+
+def test_renamed_columns_and_repeated_ids(assigned, model):
+    columns = ItemColumns(cluster="grp", id="the id", name="the name")
+    renamed = assigned.withColumnsRenamed({"cluster": "grp", "song_id": "the id", "song_name": "the name"})
+    other = renamed.filter(F.col("the id") == "S00007").withColumn("the name", F.lit("0 first"))
+    rows = renamed.unionByName(other.withColumn("loudness", F.lit(-1.0)).withColumn("grp", F.lit(1)))
+    rows = rows.unionByName(renamed.limit(1).withColumn("the id", F.lit(None).cast("string")))
+    seed = recommend.seed_row(seeds.find_by_id(rows, "S00007", columns), model, columns)
+    assert seed["the name"] == "0 first" and seed["grp"] == 1
+    single = recommend.recommend(rows, model, seed, 5, "book", columns).orderBy("rank").collect()
+    found = rows.filter(F.col("the id") == "S00007")
+    batch = recommend.recommend_batch(rows, model, found, 5, "book", columns).orderBy("rank").collect()
+    assert [(r["the id"], r["distance"]) for r in single] == [(r["the id"], r["distance"]) for r in batch]
+    counts = recommend.candidate_counts(rows, seed, model, columns).first()
+    assert counts["n_candidates"] == recommend.candidates(rows, seed, model, columns).count()
+    document = recommend.recommend_document(rows, model, seed, 2, "book", columns)
+    assert document.first()["cluster"] == 1
 
 
 def test_document(assigned, model):

@@ -1,5 +1,6 @@
 import json
 import math
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,7 +10,7 @@ from nearkin.operators import clusters
 from nearkin.plans import jobs
 from nearkin.schema import CLUSTERED_SCHEMA, SONG_FEATURES, SONG_SCHEMA
 from nearkin.sources import items, models, records
-from nearkin.sources.scratch import scratch_path
+from nearkin.sources.scratch import clear_scratch, scratch_path
 
 
 def rows_of(df):
@@ -165,10 +166,64 @@ def test_the_jobs_from_end_to_end(spark, songs, nested, tmp_path):
     assert [e["song_id"] for e in post["similar"]] == [r["song_id"] for r in best.orderBy("rank").collect()]
 
 
+def test_a_job_refuses_a_target_that_exists_before_any_work(spark, songs, nested, tmp_path):
+    there = tmp_path / "there"
+    there.mkdir()
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    with pytest.raises(FileExistsError):
+        jobs.cluster(spark, "no such source", str(there), str(tmp_path / "m"))
+    with pytest.raises(FileExistsError):
+        jobs.extract(nested, str(there))
+    with pytest.raises(FileExistsError):
+        jobs.top_by_year(spark, "no such source", output_json=str(there))
+    with pytest.raises(FileExistsError):
+        jobs.similar(spark, "no such table", "no such model", title="x", output_json=str(there))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+
+
+def test_counts_under_a_limit_are_those_written(nested, spark, tmp_path):
+    def report(name, limit):
+        found = jobs.extract(nested, str(tmp_path / name), limit).collect()
+        return {r["status"]: (r["n_files"], r["n_records"]) for r in found}
+
+    # bad1, bad2, p1 (2 records), p2 (none), p3 (3 records)
+    assert report("one", 1) == {"failed": (2, 0), "ok": (1, 1)}
+    assert report("three", 3) == {"failed": (2, 0), "ok": (3, 3)}
+    assert report("many", 99) == report("all", 0) == {"failed": (2, 0), "ok": (3, 5)}
+    assert items.read_items(spark, str(tmp_path / "three")).count() == 3
+    with pytest.raises(ValueError, match="no records"):
+        jobs.extract(nested.filter("path = 'p2'"), str(tmp_path / "none"))
+
+
+def test_clustered_text_is_what_was_read(spark, tmp_path):
+    lines = [f"a{i},n,{i},t,-0.{i}0,nan,12{i}.0,.5,1e-1,abc,+1,x" for i in range(1, 8)]
+    (tmp_path / "in.csv").write_text("\n".join(lines))
+    report = jobs.cluster(
+        spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), str(tmp_path / "m"), k=2, format="csv"
+    )
+    got = [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(line.rsplit(",", 1)[0] for line in got) == lines
+    clusters_listed = [r["cluster"] for r in report.collect()]
+    assert clusters_listed == sorted(clusters_listed)
+
+
+def test_positions_beyond_32_bits(spark):
+    row = spark.createDataFrame([file_row("p", 1)], FILES_SCHEMA).withColumn("first_pos", F.lit(2**40))
+    assert records.zip_records(row).first()["pos"] == 2**40
+
+
+def test_null_fields_stay_in_json(spark, tmp_path):
+    items.write_json(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "n"))
+    assert spark.read.text(str(tmp_path / "n")).first()["value"] == '{"a":1,"b":null}'
+
+
 def test_scratch_paths(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(root)
+    spark.range(3).write.parquet(first)
+    clear_scratch(spark)
+    assert not os.path.exists(first)
 
 
 def test_text_is_not_changed_by_json(spark, tmp_path):
@@ -176,68 +231,3 @@ def test_text_is_not_changed_by_json(spark, tmp_path):
     items.write_json(df, str(tmp_path / "j"))
     assert spark.read.text(str(tmp_path / "j")).first()["value"] == '{"t":"é中\\""}'
     assert spark.read.json(str(tmp_path / "j")).filter(F.col("t") == "é中\"").count() == 1
-
-
-FAKE_H5PY = '''
-import json
-import numpy as np
-
-class File:
-    """Reads {"metadata": {"songs": {field: [values]}}, ...} in JSON instead of HDF5."""
-
-    def __init__(self, stream, mode):
-        text = stream.read()
-        if not text.startswith(b"{"):
-            raise OSError("not a data file")
-        self.groups = json.loads(text)
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, *error):
-        return False
-
-    def __getitem__(self, group):
-        result = {}
-        for name, fields in self.groups[group].items():
-            columns = {f: np.array(v, dtype="S9" if isinstance(v[0], str) else "f8") for f, v in fields.items()}
-            n = len(next(iter(columns.values())))
-            table = np.zeros(n, dtype=[(f, c.dtype) for f, c in columns.items()])
-            for f, c in columns.items():
-                table[f] = c
-            result[name] = table
-        return result
-'''
-
-
-def test_hdf5_files(spark, tmp_path, monkeypatch):
-    """With a module of the same calls, as h5py itself may not be installed."""
-    from nearkin.sources import hdf5
-
-    n = hdf5.SLICE + 3
-    numbers = [float(i) for i in range(n)]
-    names = [f"s{i}" for i in range(n)]
-    whole = {
-        "metadata": {"songs": {
-            "artist_id": names, "artist_name": names, "song_id": names, "title": names,
-            "song_hotttnesss": numbers, "artist_hotttnesss": numbers,
-        }},
-        "analysis": {"songs": {f: numbers for f in
-                               ("loudness", "tempo", "key_confidence", "mode_confidence", "duration")}},
-        "musicbrainz": {"songs": {"year": numbers}},
-    }
-    root = tmp_path / "h5"
-    (root / "x").mkdir(parents=True)
-    (root / "x" / "all.h5").write_text(json.dumps(whole))
-    (root / "broken.H5").write_text("nothing")
-    (root / "partial.h5").write_text(json.dumps({k: v for k, v in whole.items() if k != "analysis"}))
-    (root / "note.txt").write_text("nothing")
-    (tmp_path / "h5py.py").write_text(FAKE_H5PY)
-    spark.sparkContext.addPyFile(str(tmp_path / "h5py.py"))
-    files = hdf5.read_hdf5(spark, str(root))
-    rows = records.zip_records(files).orderBy("path", "pos").collect()
-    assert [r["pos"] for r in rows] == list(range(n))
-    assert [r["song_id"] for r in rows] == names and [r["tempo"] for r in rows] == numbers
-    assert rows[5]["year"] == 5
-    report = {r["status"]: (r["n_files"], r["n_records"]) for r in records.ingest_report(files).collect()}
-    assert report == {"ok": (1, n), "failed": (2, 0)}

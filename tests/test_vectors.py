@@ -132,3 +132,26 @@ def test_wide_points_take_the_arrow_form_with_the_same_result(spark):
     narrow = vectors.nearest_center("v", centers[:5].tolist())
     both = df.select("id", narrow.alias("n")).collect()
     assert [r["n"]["cluster"] for r in both] == costs[:, :5].argmin(axis=1).tolist()
+
+
+@pytest.mark.parametrize("k", [2, 40])
+def test_vectors_without_a_nearest_center(spark, k):
+    d = 8
+    whole = [0.0] * d
+    vectors_in = [
+        whole, None, [], whole[:-1], [*whole, 0.0], [math.nan, *whole[1:]], [None, *whole[1:]],
+        [math.inf, *whole[1:]], [5.0] * d,
+    ]
+    centers = [[5.0 - i % 2 * 5.0] * d for i in range(k)]
+    assert (k * d > vectors.MAX_INLINE_TERMS) == (k == 40)
+    df = spark.createDataFrame(list(enumerate(vectors_in)), "i int, v array<double>").coalesce(1)
+    rows = df.select("i", vectors.nearest_center("v", centers).alias("n")).orderBy("i").collect()
+    got = [None if r["n"] is None else (r["n"]["cost"], r["n"]["cluster"]) for r in rows]
+    assert got == [(0.0, 1), None, None, None, None, None, None, (math.inf, 0), (0.0, 0)]
+
+
+def test_helper_names_do_not_meet_columns(spark):
+    df, names = frame(spark, [[1.0, 2.0]])
+    clash = df.withColumns({"_md0": F.lit("x"), "_m_cn": F.lit("y")})
+    row = vectors.with_distance(clash, names, [1.0, 1.0], [0.5, 0.5], "book").first()
+    assert (row["_md0"], row["_m_cn"]) == ("x", "y") and row["distance"] > 0
