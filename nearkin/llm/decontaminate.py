@@ -18,6 +18,7 @@ must occur exactly; empty tables give an empty result; other columns are ignored
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -139,15 +140,15 @@ class Matcher:
         return best
 
 
-_matchers: dict[int, Matcher] = {}
+_matchers: dict[str, Matcher] = {}
 
 
-def _matcher(items, edit_percent: int) -> Matcher:
-    key = (items.id if hasattr(items, "id") else id(items), edit_percent)
-    if key not in _matchers:
+def _matcher(name: str, items, edit_percent: int) -> Matcher:
+    """The matcher of a block, kept by the name that the driver gave it."""
+    if name not in _matchers:
         _matchers.clear()
-        _matchers[key] = Matcher(items.value, edit_percent)
-    return _matchers[key]
+        _matchers[name] = Matcher(items.value, edit_percent)
+    return _matchers[name]
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
@@ -187,8 +188,10 @@ def find_items(
 
 
 def _finder(items, edit_percent: int):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(items, edit_percent)
+        matcher = _matcher(name, items, edit_percent)
         for batch in slices(batches, "text"):
             rows = []
             ids = batch.column("doc_id").to_pylist()
@@ -222,8 +225,10 @@ def without_items(
 
 
 def _filter(items, edit_percent: int, text: str):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(items, edit_percent)
+        matcher = _matcher(name, items, edit_percent)
         for batch in slices(batches, text):
             clean = [not value or not matcher.matches(value) for value in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(clean))

@@ -21,6 +21,7 @@ the predicted language under a uniform prior.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -207,11 +208,11 @@ def fit(rows: DataFrame, path: str, smoothing: float = SMOOTHING) -> tuple[list[
     return languages, (used / total).astype("<f4").tobytes()
 
 
-_models: dict[object, Model] = {}
+_models: dict[str, Model] = {}
 
 
-def _model(sent, path: str) -> Model:
-    key = getattr(sent, "id", None) or id(sent)
+def _model(key: str, sent, path: str) -> Model:
+    """The model as the worker uses it, kept by the name that the driver gave it."""
     if key not in _models:
         _models.clear()
         languages, packed = sent.value
@@ -224,9 +225,10 @@ def _model(sent, path: str) -> Model:
 def identified(docs: DataFrame, model: tuple[list[str], bytes], path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred and score of every text; nothing is shuffled."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    name = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _model(sent, path)
+        own = _model(name, sent, path)
         for batch in slices(batches, "text"):
             names, scores = own.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(

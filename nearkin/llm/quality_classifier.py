@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import operator
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -176,25 +177,26 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(min(logit, 500.0), -500.0)))
 
 
-_scorers: dict[object, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
-def _scorer(model) -> Scorer:
-    key = getattr(model, "id", None) or id(model)
-    if key not in _scorers:
+def _scorer(name: str, model) -> Scorer:
+    """The scorer of a model, kept by the name that the driver gave it."""
+    if name not in _scorers:
         _scorers.clear()
         packed, bias = model.value
-        _scorers[key] = Scorer(np.frombuffer(packed, "<f4"), bias)
-    return _scorers[key]
+        _scorers[name] = Scorer(np.frombuffer(packed, "<f4"), bias)
+    return _scorers[name]
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", score: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score; nothing is shuffled."""
     weights, bias = model
     sent = docs.sparkSession.sparkContext.broadcast((weights.astype("<f4").tobytes(), bias))
+    name = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(sent)
+        scorer = _scorer(name, sent)
         for batch in slices(batches, text):
             found = pa.array([scorer.score(t) for t in batch.column(text).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, score])

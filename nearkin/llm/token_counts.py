@@ -14,6 +14,7 @@ ignored. Texts are never cut short.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -83,10 +84,10 @@ class Lengths(dict):
         return self.cache[key]
 
 
-_tables: dict[object, Lengths] = {}
+_tables: dict[str, Lengths] = {}
 
 
-def _lengths(key: object, packed, path: str, pattern: str) -> Lengths:
+def _lengths(key: str, packed, path: str, pattern: str) -> Lengths:
     if key not in _tables:
         _tables.clear()
         tokenizer = tokenizer_files.load(path, pattern)
@@ -114,10 +115,11 @@ def token_counts(
     if not frequent:
         lengths = np.zeros(2, "<u2")
     packed = spark.sparkContext.broadcast((blob, lengths.tobytes()))
+    name = uuid.uuid4().hex
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_files.load(path, pattern)
-        table = _lengths((path, packed.id if hasattr(packed, "id") else id(packed)), packed, path, pattern)
+        table = _lengths(name, packed, path, pattern)
 
         def direct(chunk: str) -> int:
             return len(tokenizer.chunk(chunk)) // 4
