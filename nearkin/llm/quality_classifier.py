@@ -154,6 +154,8 @@ def fit(rows: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
         )
 
     row = rows.coalesce(1).mapInArrow(run, "weights binary, bias double").first()
+    if row is None:  # no rows, and so no task
+        return train([], [], buckets)
     return np.frombuffer(bytes(row["weights"]), "<f4"), row["bias"]
 
 
