@@ -91,6 +91,20 @@ SELECT doc, string_agg(letters, '' ORDER BY pos) AS decoded
 FROM ids JOIN vocabulary USING (id) GROUP BY doc"""
 
 
+@lru_cache(maxsize=100_000)
+def stand_in(letter: str, pattern: str) -> str:
+    """A letter, a digit or a sign, whichever the library joins the character to."""
+    import tiktoken
+
+    for known in "a1":
+        raw = (known + letter).encode()
+        ranks = {bytes([b]): b for b in range(256)} | {raw[:n]: 254 + n for n in range(2, len(raw) + 1)}
+        probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        if len(probe.encode_ordinary(known + letter)) == 1:
+            return known
+    return "."
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes -> rank, from a file of base64 tokens and ranks."""
     with open(path, "rb") as file:
@@ -105,7 +119,7 @@ class Codec:
         import duckdb
 
         self.ranks = read_ranks(path)
-        self.find = regex.compile(pattern)
+        self.find, self.pattern = regex.compile(pattern), pattern
         self.words = Memo(self._unknown, KEPT_WORDS)
         self.chunks = Memo(self._unknown, KEPT_WORDS, check=True)
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -148,11 +162,11 @@ class Codec:
         self.db.unregister("vocabulary_in")
 
     def pieces(self, chunk: str) -> list[str]:
-        """The matches of the pattern. Characters that this Python's Unicode does not
-        assign count as signs, as in the library, whatever ``regex`` knows of them."""
+        """The matches of the pattern. For characters that this Python's Unicode does
+        not assign, stand-ins of the class that the library gives them are matched."""
         if chunk.isascii():
             return self.find.findall(chunk)
-        known = "".join("" if unicodedata.category(c) == "Cn" else c for c in chunk)
+        known = "".join(stand_in(c, self.pattern) if unicodedata.category(c) == "Cn" else c for c in chunk)
         return [chunk[m.start() : m.end()] for m in self.find.finditer(known)]
 
     def _contract(self, words: list[bytes], query: str) -> list[bytes]:
