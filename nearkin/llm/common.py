@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SLICE_BYTES = 2 << 20
 
 
@@ -35,17 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """The table worked out now and cut from its lineage, by a reliable checkpoint."""
+    """The table worked out now and cut from its lineage, by a reliable checkpoint.
+
+    The shuffle files behind it go as soon as it is written.
+    """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop shuffle files that nothing refers to any more."""
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        # The setting counts when a query is made, so this makes it anew.
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEAN_UP, before)
 
 
 def shuffles(spark: SparkSession) -> int:

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.llm import textarrays as ta
-from nearkin.llm.common import kept, release, shuffles, slices, utf8
+from nearkin.llm.common import kept, shuffles, slices, utf8
 from nearkin.llm.repeats import edges
 
 WORDS, PERCENT = 5, 75
@@ -515,10 +515,8 @@ def linked(
 
     sent = with_replies(ids, send_keys, "bucket int, g int, keys binary, counts binary")
     levels = kept(sent.groupBy("bucket").applyInArrow(_count_buckets, "g int, bucket int, levels binary"))
-    release(spark)
     sent = with_replies(ids.unionByName(levels), send_sets, "bucket int, keys binary, refs binary, ids binary, sizes binary")
     matched = kept(sent.groupBy("bucket").applyInArrow(lambda t: _match_buckets(t, percent), _PAIRS))
-    release(spark)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) that are links; the sets travel, x's once per bucket of pairs."""
@@ -550,7 +548,6 @@ def linked(
     pairs = matched.filter("x IS NOT NULL").select("x", "y").distinct()
     groups = matched.filter("members IS NOT NULL").select("members").distinct()
     links = [kept(verified(pairs))]
-    release(spark)
     found = components(links[0])
     step = 2
     while True:
@@ -561,7 +558,6 @@ def linked(
         if pairs.isEmpty():
             continue
         links.append(kept(verified(pairs)))
-        release(spark)
         found = components(reduce(DataFrame.unionByName, links))
 
     placed = members.join(found, members["rep"] == found["node"], "left")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.llm import textarrays as ta
-from nearkin.llm.common import kept, release, shuffles, utf8
+from nearkin.llm.common import kept, shuffles, utf8
 
 GROUP_BYTES = 16 << 20
 SLICE_BYTES = 2 << 20
@@ -359,10 +359,8 @@ def marked(
 
     sent = _with_replies(rows, replies, send_anchors, _SENT)
     replies = replies.unionByName(kept(sent.groupBy("bucket").applyInArrow(_anchors_again, _REPLY)))
-    release(spark)
     sent = _with_replies(rows, replies, send_windows, _SENT)
     replies = replies.unionByName(kept(sent.groupBy("bucket").applyInArrow(_windows_earlier, _REPLY)))
-    release(spark)
     return _with_replies(rows, replies, mark, schema)
 
 
