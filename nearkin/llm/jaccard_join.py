@@ -17,9 +17,9 @@ segment per shingle.
 
 Candidates are verified on the whole sets. Sets that are equal are one class from
 the start. Where a subset is shared by few sets, they are paired; where by many,
-only neighbours in the order of size, and the members are kept aside: as long as
-such a group still lies in several components, sets of different components that
-are further apart are paired in turn, in steps that double. So a large group of
+each with the first of them, and the members are kept aside: as long as such a
+group still lies in several components, sets of different components are paired
+by their distance in the order of size, in steps that grow. So a large group of
 near copies costs about one pair each, and no link between components is lost.
 
 Texts are dealt into groups by document id; subsets cross the cluster as packed,
@@ -36,7 +36,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +55,8 @@ SMALL_BAND = 5
 BANDS = 48
 IMPOSSIBLE = 2**31 - 1
 SMALL_GROUP = 4
+FURTHER = 16
+TOGETHER = 200_000
 
 _SEEDS = np.random.default_rng(77).integers(1, 2**63, BANDS + 1, np.uint64)
 _ELEMENT, _SEGMENT, _DELETED = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x632BE59BD9B4E019))
@@ -126,7 +127,8 @@ class Plan:
     @staticmethod
     def first(percent: int) -> Plan:
         most = [int(allowed(np.array([2 << b]), percent)[0]) + 1 for b in range(BANDS)]
-        return Plan(percent, tuple(0 if b < SMALL_BAND else min(SPREAD * most[b], 1 << 31) for b in range(BANDS)), (0,) * BANDS)
+        segments = tuple(0 if b < SMALL_BAND else min(SPREAD * most[b], 1 << 31) for b in range(BANDS))
+        return Plan(percent, segments, (0,) * BANDS)
 
     def served(self, needs: dict[int, int]) -> Plan:
         """With what the bands were found to need."""
@@ -311,7 +313,7 @@ def _match_buckets(cells: pa.Table, percent: int) -> pa.Table:
         size.append(np.frombuffer(row["sizes"], np.int64)[at])
         probe.append((refs & 1).astype(bool))
     key, doc, size, probe = (np.concatenate(v) for v in (key, doc, size, probe))
-    order = np.lexsort((doc, size, key))
+    order = np.lexsort((doc, key))
     key, doc, size, probe = key[order], doc[order], size[order], probe[order]
     # A set may have a key twice (as itself and as a neighbour): it probes if either does.
     same = np.zeros(len(key), bool)
@@ -321,28 +323,27 @@ def _match_buckets(cells: pa.Table, percent: int) -> pa.Table:
     key, doc, size = key[first], doc[first], size[first]
     start = np.flatnonzero(np.diff(key, prepend=~key[:1]) != 0)
     count = np.diff(start, append=len(key))
-    many = np.repeat(count, count) > SMALL_GROUP
-    xs, ys = [], []
-    for step in range(1, SMALL_GROUP):
-        if len(key) <= step:
-            break
+    # Everyone with the first of the group; in a small group everyone with everyone.
+    head = np.repeat(start, count)
+    some = np.flatnonzero((head != np.arange(len(key))) & _fits(size[head], size, probe[head], probe, percent))
+    xs, ys = [doc[head[some]]], [doc[some]]
+    few = np.repeat(count, count) <= SMALL_GROUP
+    for step in range(1, SMALL_GROUP - 1):
         x, y = slice(None, -step), slice(step, None)
-        wanted = (key[x] == key[y]) & (~many[x] if step > 1 else True)
-        wanted = wanted & _fits(size[x], size[y], probe[x], probe[y], percent)
+        wanted = few[x] & (key[x] == key[y]) & _fits(size[x], size[y], probe[x], probe[y], percent)
         xs.append(doc[x][wanted])
         ys.append(doc[y][wanted])
-    x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
-    y = np.concatenate(ys) if ys else np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    pairs = np.unique(np.stack([x, y]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
     groups: dict[bytes, bytes] = {}
     probing = np.logical_or.reduceat(probe, start) if len(start) else np.zeros(0, bool)
     for at in np.flatnonzero((count > SMALL_GROUP) & probing).tolist():
-        a, b = start[at], start[at] + count[at]
-        name = doc[a:b].tobytes()
-        flags = probe[a:b]
+        members = slice(start[at], start[at] + count[at])
+        by_size = np.lexsort((doc[members], size[members]))
+        name, flags = doc[members][by_size].tobytes(), probe[members][by_size]
         if name in groups:
-            flags = flags | np.frombuffer(groups[name], bool, offset=16 * (b - a))
-        groups[name] = name + size[a:b].tobytes() + flags.tobytes()
+            flags = flags | np.frombuffer(groups[name], bool, offset=2 * len(name))
+        groups[name] = name + size[members][by_size].tobytes() + flags.tobytes()
     return _pair_table(pairs[0], pairs[1], list(groups.values()))
 
 
@@ -372,25 +373,39 @@ def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of the links (x, y).
 
     Alternating large and small stars: each round hangs neighbours on the least
-    one, and stops when no edge moves.
+    one, until all edges are stars around it.
     """
-    edges_now = kept(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).filter("u <> v").distinct())
-    state = _state(edges_now)
-    while state[0]:
+    oriented = links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
+    edges_now = kept(oriented.filter("u <> v").distinct())
+    while not _are_stars(edges_now):
         both = edges_now.unionByName(edges_now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges_now = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        before, state = state, _state(edges_now)
-        if before == state:
-            break
     return edges_now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _state(edges_now: DataFrame) -> tuple:
-    return tuple(edges_now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _are_stars(edges_now: DataFrame) -> bool:
+    """True if every node is a center or hangs on exactly one center."""
+    ends = edges_now.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges_now.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return roles.filter("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+
+
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after further links: only components are joined."""
+    x = found.select(F.col("node").alias("x"), F.col("component").alias("cx"))
+    y = found.select(F.col("node").alias("y"), F.col("component").alias("cy"))
+    between = links.join(x, "x", "left").join(y, "y", "left")
+    between = between.select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y"))
+    moved = components(between)
+    new = moved.select(F.col("node").alias("component"), F.col("component").alias("under"))
+    renamed = found.join(new, "component", "left").select("node", F.coalesce("under", "component").alias("component"))
+    return kept(renamed.unionByName(moved))
 
 
 # --- the join ---------------------------------------------------------------
@@ -518,47 +533,43 @@ def linked(
     sent = with_replies(ids.unionByName(levels), send_sets, "bucket int, keys binary, refs binary, ids binary, sizes binary")
     matched = kept(sent.groupBy("bucket").applyInArrow(lambda t: _match_buckets(t, percent), _PAIRS))
 
+    pairs = matched.filter("x IS NOT NULL").select("x", "y").distinct()
+    groups = matched.filter("members IS NOT NULL").select("members").distinct()
+
+    def pack_sets(docs: pa.Table, wanted: pa.Table) -> pa.Table:
+        ids, packed = [], []
+        if len(docs) and len(wanted):
+            for doc_ids, found, bounds in group_sets(docs, wanted["doc_id"].to_numpy(), words):
+                ids += doc_ids.tolist()
+                packed += [ta.pack_sorted(found[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "packed": pa.array(packed, pa.binary())})
+
+    # The sets of all documents that share a subset with another, written once.
+    involved = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).unionByName(
+        _unpacked_groups(groups).select(F.col("node").alias("doc_id"))
+    )
+    involved = involved.distinct().select(g, "doc_id")
+    found_sets = grouped.groupBy("g").cogroup(involved.groupBy("g")).applyInArrow(pack_sets, "doc_id long, packed binary")
+    packed_sets = kept(found_sets)
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) that are links; the sets travel, x's once per bucket of pairs."""
-        asked = pairs.select(F.col("x").alias("own"), "x", F.lit(None).cast("long").alias("y")).distinct()
-        asked = asked.unionByName(pairs.select(F.col("y").alias("own"), "x", "y"))
-        asked = asked.select(F.pmod(F.xxhash64("own"), F.lit(n_groups)).cast("int").alias("g"), "own", "x", "y")
-
-        def send(docs: pa.Table, asked: pa.Table) -> pa.Table:
-            out = {"x": [], "y": [], "packed": []}
-            if len(docs) and len(asked):
-                wanted: dict[int, list] = {}
-                for own, x, y in zip(*(asked[n].to_pylist() for n in ("own", "x", "y")), strict=True):
-                    wanted.setdefault(own, []).append((x, y))
-                for doc_ids, found, bounds in group_sets(docs, np.array(list(wanted), np.int64), words):
-                    for at, own in enumerate(doc_ids.tolist()):
-                        packed = ta.pack_sorted(found[bounds[at] : bounds[at + 1]])
-                        for x, y in wanted[own]:
-                            out["x"].append(x)
-                            out["y"].append(y)
-                            out["packed"].append(packed)
-            return pa.table(
-                {"x": pa.array(out["x"], pa.int64()), "y": pa.array(out["y"], pa.int64()), "packed": pa.array(out["packed"], pa.binary())}
-            )
-
-        sets = grouped.groupBy("g").cogroup(asked.groupBy("g")).applyInArrow(send, "x long, y long, packed binary")
-        bucketed = sets.withColumn("bucket", F.pmod(F.xxhash64("x"), F.lit(4 * n_buckets)))
+        dealt = pairs.withColumn("bucket", F.pmod(F.xxhash64("y"), F.lit(4 * n_buckets)))
+        asked = dealt.select(F.col("x").alias("doc_id"), "x", F.lit(None).cast("long").alias("y"), "bucket").distinct()
+        asked = asked.unionByName(dealt.select(F.col("y").alias("doc_id"), "x", "y", "bucket"))
+        bucketed = packed_sets.join(asked, "doc_id").select("bucket", "x", "y", "packed")
         return bucketed.groupBy("bucket").applyInArrow(lambda t: _verify(t, percent), "x long, y long")
 
-    pairs = matched.filter("x IS NOT NULL").select("x", "y").distinct()
-    groups = matched.filter("members IS NOT NULL").select("members").distinct()
-    links = [kept(verified(pairs))]
-    found = components(links[0])
-    step = 2
+    found = components(verified(pairs))
+    step = 1
     while True:
         groups, pairs = _further_pairs(groups, found, step, percent)
         if groups is None:
             break
-        step *= 4
+        step *= FURTHER
         if pairs.isEmpty():
             continue
-        links.append(kept(verified(pairs)))
-        found = components(reduce(DataFrame.unionByName, links))
+        found = joined_components(found, verified(pairs))
 
     placed = members.join(found, members["rep"] == found["node"], "left")
     placed = placed.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
@@ -590,38 +601,68 @@ def _own_ids(replies: pa.Table) -> np.ndarray:
 
 def _further_pairs(groups: DataFrame, found: DataFrame, step: int, percent: int):
     """The groups that lie in several components, and their pairs of different
-    components that are ``step`` to ``4 * step - 1`` places apart in the order of size.
+    components that are ``step`` to ``FURTHER * step - 1`` places apart in the order of size.
 
     (None, None) when no group is left or none reaches that far.
     """
-    rows = groups.select(F.monotonically_increasing_id().alias("name"), "members")
-    rows = kept(rows.mapInArrow(_unpacked, "name long, at long, node long, size long, probe boolean"))
+    rows = kept(_unpacked_groups(groups))
     with_component = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = with_component.groupBy("name").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.max("at").alias("last"))
-    open_names = spread.filter(f"a <> b AND last >= {step}").select("name")
-    still = kept(with_component.join(open_names, "name", "left_semi"))
-    if still.isEmpty():
+    spread = with_component.groupBy("name").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
+    )
+    opened = kept(spread.filter(f"a <> b AND n > {step}").select("name", "a", "n"))
+    if opened.isEmpty():
         return None, None
+    # Groups around one component have most of their members in common: they meet in a
+    # task, or in several if they are many, so that a pair is made once and not per group.
+    parts = opened.groupBy("a").agg((F.sum("n") / TOGETHER).cast("int").alias("more"))
+    dealt = opened.join(parts, "a").select("name", "a", F.pmod(F.xxhash64("name"), F.col("more") + 1).alias("part"))
+    still = with_component.join(dealt, "name")
 
     def pair(cells: pa.Table) -> pa.Table:
-        order = np.argsort(cells["at"].to_numpy())
-        node, component, size, probe = (
-            cells[n].to_numpy(zero_copy_only=False)[order] for n in ("node", "component", "size", "probe")
+        name, at = cells["name"].to_numpy(), cells["at"].to_numpy()
+        order = np.lexsort((at, name))
+        name, node, component, size, probe = (
+            cells[n].to_numpy(zero_copy_only=False)[order] for n in ("name", "node", "component", "size", "probe")
         )
-        xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for apart in range(step, min(4 * step, len(node))):
-            x, y = slice(None, -apart), slice(apart, None)
-            wanted = (component[x] != component[y]) & _fits(size[x], size[y], probe[x], probe[y], percent)
-            xs.append(np.minimum(node[x], node[y])[wanted])
-            ys.append(np.maximum(node[x], node[y])[wanted])
-        packed = node.tobytes() + size.tobytes() + probe.tobytes()
-        return _pair_table(np.concatenate(xs), np.concatenate(ys), [packed])
-
-    made = kept(still.groupBy("name").applyInArrow(pair, _PAIRS))
+        nodes, place = np.unique(node, return_inverse=True)
+        bounds = np.append(np.flatnonzero(np.diff(name, prepend=name[0] - 1) != 0), len(name))
+        made, members = [np.zeros(0, np.int64)], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            made.append(_apart(place[a:b], component[a:b], size[a:b], probe[a:b], step, percent, len(nodes)))
+            if sum(map(len, made)) > TOGETHER:
+                made = [np.unique(np.concatenate(made))]
+            members.append(node[a:b].tobytes() + size[a:b].tobytes() + probe[a:b].tobytes())
+        pairs = np.unique(np.concatenate(made))
+        return _pair_table(nodes[pairs // len(nodes)], nodes[pairs % len(nodes)], members)
+
+    made = kept(still.groupBy("a", "part").applyInArrow(pair, _PAIRS))
     pairs = made.filter("x IS NOT NULL").select("x", "y").distinct()
     return made.filter("members IS NOT NULL").select("members"), pairs
 
 
+def _apart(place, component, size, probe, step: int, percent: int, base: int) -> np.ndarray:
+    """The pairs of a group (as low * base + high) of different components and ``step`` to
+    ``FURTHER * step - 1`` places apart. One of a pair is not in the largest component, so
+    only those are gone through."""
+    names, which = np.unique(component, return_inverse=True)
+    found = [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(which != np.bincount(which, minlength=len(names)).argmax()).tolist():
+        others = np.concatenate([
+            np.arange(max(0, i - FURTHER * step + 1), max(0, i - step + 1)),
+            np.arange(i + step, min(len(place), i + FURTHER * step)),
+        ])
+        wanted = (component[others] != component[i]) & _fits(size[i], size[others], probe[i], probe[others], percent)
+        far = place[others[wanted]]
+        found.append(np.minimum(place[i], far) * base + np.maximum(place[i], far))
+    return np.unique(np.concatenate(found))
+
+
+def _unpacked_groups(groups: DataFrame) -> DataFrame:
+    rows = groups.select(F.monotonically_increasing_id().alias("name"), "members")
+    return rows.mapInArrow(_unpacked, "name long, at long, node long, size long, probe boolean")
+
+
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, members in zip(batch.column("name").to_pylist(), batch.column("members").to_pylist(), strict=True):
