@@ -1,7 +1,7 @@
 """Operator 1: token counts by a two-tier lookup on the map side.
 
 A first pass counts chunks of pre-tokens over all texts with a bounded counter
-per task. The most frequent ones, encoded once, form a compact table (text blob
+per task. The most frequent ones, encoded once, form a compact table (chunks
 and lengths) of bounded size that is broadcast. The second pass adds up lengths:
 frequent chunks come from the table, the others from a cache in the worker that
 the tokenizer fills. No pre-token is ever shuffled; only the bounded counters of
@@ -76,8 +76,8 @@ def frequent_chunks(
 class Lengths(dict):
     """The frequent tier; what it lacks is asked of the worker's cache."""
 
-    def __init__(self, blob: str, lengths: bytes, cache: Memo):
-        super().__init__(zip(blob.split("\0"), np.frombuffer(lengths, "<u2").tolist(), strict=True))
+    def __init__(self, chunks: list[str], lengths: bytes, cache: Memo):
+        super().__init__(zip(chunks, np.frombuffer(lengths, "<u2").tolist(), strict=True))
         self.cache = cache
 
     def __missing__(self, key: str) -> int:
@@ -111,10 +111,7 @@ def token_counts(
     frequent = [r["chunk"] for r in frequent_chunks(docs, text, table_size).collect()]
     frequent = [c for c in frequent if is_regular(c)]
     lengths = np.array([len(tokenizer.chunk(c)) // 4 for c in frequent], "<u2")
-    blob = "\0".join(frequent) if frequent else "\0"
-    if not frequent:
-        lengths = np.zeros(2, "<u2")
-    packed = spark.sparkContext.broadcast((blob, lengths.tobytes()))
+    packed = spark.sparkContext.broadcast((frequent, lengths.tobytes()))
     name = uuid.uuid4().hex
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

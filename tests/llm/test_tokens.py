@@ -53,6 +53,21 @@ def test_token_counts(spark, rows, library):
     assert sorted(map(tuple, df.collect()), key=str) == expected
 
 
+@pytest.mark.parametrize("table_size", [0, token_counts.TABLE_SIZE])
+def test_token_counts_of_odd_texts(spark, library, table_size):
+    """All chunks are in the table, those with U+0000 too, or none is."""
+    odd = [*ODD_TEXTS, "x\0y", "x\0y x\0y", "\0", "a\n\n\nb\n"]
+    df = token_counts.token_counts(table(spark, list(enumerate(odd))), JSON, PATTERN, table_size=table_size)
+    expected = [len(library.encode(t or "", add_special_tokens=False).ids) for t in odd]
+    assert [r["n_tokens"] for r in df.orderBy("doc_id").collect()] == expected
+
+
+def test_token_counts_with_the_whole_table(spark, rows, library):
+    df = token_counts.token_counts(table(spark, rows), JSON, PATTERN)
+    expected = sorted(((i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows), key=str)
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in df.collect()), key=str) == expected
+
+
 def test_no_documents(spark):
     assert token_counts.token_counts(empty(spark), JSON, PATTERN).collect() == []
     assert byte_bpe.encode_decode(empty(spark), RANKS, PATTERN).collect() == []
