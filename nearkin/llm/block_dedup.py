@@ -30,6 +30,7 @@ class _Reading:
         self.window, self.block = window, block
         starts, ends, self.bounds = ta.words(data, offsets)
         self.rolling = ta.Rolling(ta.word_hashes(data, starts, ends))
+        self.words = data, starts, ends
 
     def anchors(self):
         """Every window of a block's size; those at a multiple of it are the index."""
@@ -40,8 +41,9 @@ class _Reading:
         reference = (places - self.bounds[row]) % self.block == 0
         return places, self.rolling.windows(places, places + self.block), reference
 
-    def keys(self, places: np.ndarray) -> np.ndarray:
-        return self.rolling.windows(places, places + self.window)
+    def keys(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = places + self.window
+        return self.rolling.windows(places, ends), ta.checks_of(ta.word_checks(*self.words), places, ends)
 
 
 def method(window: int = WINDOW) -> repeats.Method:

@@ -25,6 +25,7 @@ text the smaller place.
 from __future__ import annotations
 
 import hashlib
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -52,7 +53,8 @@ class Method:
 
     ``read(data, offsets)`` gives a reading of a slice of texts with ``bounds``
     (n + 1 offsets of each text in units), ``anchors()`` -> (places, keys,
-    is_reference) and ``keys(places)`` of windows. An anchor at p may belong to
+    is_reference) and ``keys(places)`` of windows -> (keys, checks); windows are
+    equal if both are. An anchor at p may belong to
     the windows that start in [p - reach, p].
     """
 
@@ -170,7 +172,7 @@ class Group:
         return result
 
     def windows(self, n_buckets: int):
-        """(start row, stop row, reading, places, keys) of windows that reach an anchor that occurs again."""
+        """(start row, stop row, reading, places, keys, checks) of windows that reach an anchor that occurs again."""
         known, _ = self.anchors()
         hit_keys = known[self._bits(_ANCHORS, known, edges(n_buckets, ANCHOR_BITS))]
         for start, stop, reading in self.readings():
@@ -187,7 +189,7 @@ class Group:
             chosen = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
             ends = reading.bounds[np.searchsorted(reading.bounds, chosen, side="right")]
             chosen = chosen[chosen + self.method.window <= ends]
-            yield start, stop, reading, chosen, reading.keys(chosen)
+            yield start, stop, reading, chosen, *reading.keys(chosen)
 
 
 def edges(n_buckets: int, bits: int) -> np.ndarray:
@@ -210,11 +212,12 @@ def _send(g: int, keys: np.ndarray, bounds: np.ndarray, extra: Callable) -> pa.T
             "keys": pa.array([ta.pack_sorted(keys[x:y]) for _, x, y in cells], pa.binary()),
             "extra": pa.array([extra(x, y) for _, x, y in cells], pa.binary()),
             "ids": pa.array([None] * len(cells), pa.binary()),
+            "checks": pa.array([None] * len(cells), pa.binary()),
         }
     )
 
 
-_SENT = "bucket int, g int, keys binary, extra binary, ids binary"
+_SENT = "bucket int, g int, keys binary, extra binary, ids binary, checks binary"
 
 
 def _gathered(cells: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
@@ -253,6 +256,25 @@ def _anchors_again(cells: pa.Table) -> pa.Table:
     return _replies(groups, keys, _ANCHORS, cells["bucket"][0].as_py(), bits)
 
 
+def _by_key(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray | None = None):
+    """The order by key, check and id, else by place; the keys in it; where a window is that before it."""
+
+    def again(order: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, bool]:
+        same = np.zeros(len(order), bool)
+        same[1:] = ordered[1:] == ordered[:-1]
+        at = np.flatnonzero(same)
+        same[at] = checks[order[at]] == checks[order[at - 1]]
+        return same, bool(same[at].all())
+
+    order = np.argsort(keys, kind="stable") if ids is None else np.lexsort((ids, keys))
+    ordered = keys[order]
+    same, sure = again(order, ordered)
+    if not sure:  # different windows of one key
+        order = np.lexsort((checks, keys) if ids is None else (ids, checks, keys))
+        same, _ = again(order, ordered)
+    return order, ordered, same
+
+
 def _windows_earlier(cells: pa.Table) -> pa.Table:
     """A group's key starts earlier elsewhere unless the group has its first document."""
     groups, keys, every, _ = _gathered(cells)
@@ -260,28 +282,27 @@ def _windows_earlier(cells: pa.Table) -> pa.Table:
     for extra, known in zip(cells["extra"].to_pylist(), cells["ids"].to_pylist(), strict=True):
         places = np.frombuffer(extra, np.uint16 if len(known) // 8 <= 1 << 16 else np.uint32)
         ids.append(np.frombuffer(known, np.int64)[places])
-    ids = np.concatenate(ids)
-    order = np.lexsort((ids, every))
+    checks = np.concatenate([np.frombuffer(c, np.uint64) for c in cells["checks"].to_pylist()])
+    order, _, again = _by_key(every, checks, np.concatenate(ids))
     bits = np.zeros(len(every), bool)
-    ordered = every[order]
-    bits[order[1:]] = ordered[1:] == ordered[:-1]
+    bits[order] = again
     return _replies(groups, keys, _WINDOWS, cells["bucket"][0].as_py(), bits)
 
 
 def _distinct(group: Group, n_anchor_buckets: int):
-    """All windows of a group: per reading, and the distinct keys with their first place."""
-    parts, rows, keys = [], [], []
-    for start, stop, reading, places, found in group.windows(n_anchor_buckets):
+    """All windows of a group: per reading, and the distinct ones with their first place."""
+    parts, rows, keys, checks = [], [], [], []
+    for start, stop, reading, places, found, checked in group.windows(n_anchor_buckets):
         row = np.searchsorted(reading.bounds, places, side="right") - 1
         parts.append((start, stop, reading.bounds, places))
         rows.append((row + start).astype(np.int32))
         keys.append(found)
+        checks.append(checked)
     keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    checks = np.concatenate(checks) if checks else np.zeros(0, np.uint64)
     rows = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    first = np.flatnonzero(np.diff(ordered, prepend=~ordered[:1]) != 0)
-    return parts, rows, order, ordered, first
+    order, ordered, again = _by_key(keys, checks)
+    return parts, rows, order, ordered, checks, np.flatnonzero(~again)
 
 
 def marked(
@@ -311,11 +332,12 @@ def marked(
         if len(docs) == 0:
             return _send(0, np.zeros(0, np.uint64), edges(1, 64), None)
         group = Group(docs, replies, method)
-        _, owners, order, ordered, first = _distinct(group, n_anchor)
-        firsts = owners[order[first]]
+        owners, order, ordered, checks, first = _distinct(group, n_anchor)[1:]
+        ordered, checks, firsts = ordered[first], checks[order[first]], owners[order[first]]
+        del owners, order
         known, places = np.unique(firsts, return_inverse=True)
         g = docs["g"][0].as_py()
-        cuts = np.searchsorted(ordered[first], edges(n_window, 64))
+        cuts = np.searchsorted(ordered, edges(n_window, 64))
         cuts[-1] = len(first)
         cells = [(b, int(x), int(y)) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
         packed = []
@@ -327,9 +349,10 @@ def marked(
             {
                 "bucket": pa.array([b for b, _, _ in cells], pa.int32()),
                 "g": pa.array([g] * len(cells), pa.int32()),
-                "keys": pa.array([ta.pack_sorted(ordered[first[x:y]]) for _, x, y in cells], pa.binary()),
+                "keys": pa.array([ta.pack_sorted(ordered[x:y]) for _, x, y in cells], pa.binary()),
                 "extra": pa.array([p for p, _ in packed], pa.binary()),
                 "ids": pa.array([i for _, i in packed], pa.binary()),
+                "checks": pa.array([checks[x:y].astype("<u8").tobytes() for _, x, y in cells], pa.binary()),
             }
         )
 
@@ -337,7 +360,7 @@ def marked(
         if len(docs) == 0:
             return finish(np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(1, np.int64), iter(()))
         group = Group(docs, replies, method)
-        parts, _, order, ordered, first = _distinct(group, n_anchor)
+        parts, order, ordered, first = operator.itemgetter(0, 2, 3, 5)(_distinct(group, n_anchor))
         earlier = group._bits(_WINDOWS, ordered[first], edges(n_window, 64))
         flags = np.ones(len(order), bool)
         flags[order[first[~earlier]]] = False

@@ -1,19 +1,20 @@
-"""Operator 4: repeated byte strings, by blockwise suffix sorting with a difference cover.
+"""Operator 4: repeated byte strings, by window hashing behind a difference cover.
 
-The suffixes of all texts are compared to a depth of ``window`` bytes. A
+All windows of ``window`` bytes are compared by keys; no suffix is sorted. A
 difference cover D modulo v holds, for every two places i and j, a shift below v
 that takes both to places of the cover. So two equal windows always share an
 aligned pair of cover samples (the strings of ``window - v + 1`` bytes at places
 of the cover):
 
-* the cover samples are sorted and ranked first (round 1 of
-  :mod:`nearkin.llm.repeats`); a sample that ranks alone cannot lie in a repeat;
-* the suffixes that reach a sample with company are dealt into buckets of the key
-  space and sorted one bucket at a time (round 2); the ties that last for a whole
-  window are runs of equal keys, of which the first place stays.
+* hashes of the cover samples are exchanged first (round 1 of
+  :mod:`nearkin.llm.repeats`); a sample that occurs once cannot lie in a repeat;
+* the windows that reach a sample with company are dealt into buckets of the key
+  space and their keys sorted one bucket at a time (round 2); of a run of equal
+  keys the first place stays.
 
 Memory is bounded by a bucket or a group of texts, whatever the size of the
-corpus. Keys are 64-bit hashes of the whole window (see ``textarrays``).
+corpus. Keys are two independent hashes of the whole window, of 64 and 62 bits
+(see ``textarrays``); bytes are not compared.
 
 Defined results: NULL and empty texts have nothing to remove; texts shorter than
 the window are kept; bytes are removed wherever they lie, also inside a
@@ -40,7 +41,7 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 
 class _Reading:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int):
-        self.bounds, self.window = offsets, window
+        self.bounds, self.window, self.data = offsets, window, data
         self.rolling = ta.of_bytes(data)
 
     def anchors(self):
@@ -54,8 +55,9 @@ class _Reading:
         places = places[places + size <= np.repeat(self.bounds[row + 1], len(COVER))]
         return places, self.rolling.windows(places, places + size), np.ones(len(places), bool)
 
-    def keys(self, places: np.ndarray) -> np.ndarray:
-        return self.rolling.windows(places, places + self.window)
+    def keys(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = places + self.window
+        return self.rolling.windows(places, ends), ta.checks_of_bytes(self.data, places, ends)
 
 
 def method(window: int = WINDOW) -> repeats.Method:

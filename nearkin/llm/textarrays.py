@@ -2,7 +2,10 @@
 
 Hashes are polynomials over random 64-bit values modulo 2**64, taken as
 differences of running sums, then mixed. Equal strings have equal hashes; two
-different strings have the same one with a probability of about 2**-64.
+different strings have the same one with a probability of about 2**-64, but for
+strings with a pattern modulo 2**64 (Thue-Morse) it is far higher. Where equal
+hashes must mean equal strings, :class:`Checks` gives a second number, a
+polynomial modulo two primes, where no such pattern exists.
 """
 
 from __future__ import annotations
@@ -51,6 +54,73 @@ class Rolling:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
 
+CHECK_BLOCK = 1 << 16
+PRIMES = (np.uint64(2**31 - 1), np.uint64(2**31 - 19))
+_BASES = [int(b) for b in _RANDOM.integers(2**29, 2**31 - 19, 2, np.uint64)]
+_CHECKED_LETTER = [_RANDOM.integers(1, int(p), 256, np.uint64) for p in PRIMES]
+_checked_powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in PRIMES]
+
+
+def _checked_steps(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a base and of its inverse modulo its prime; kept up to 4M."""
+    if len(_checked_powers[which][0]) < n:
+        size, prime = max(n, 2 * CHECK_BLOCK), int(PRIMES[which])
+        made = []
+        for base in (_BASES[which], pow(_BASES[which], -1, prime)):
+            powers = np.ones(1, np.uint64)
+            while len(powers) < size:
+                further = powers * np.uint64(pow(base, len(powers), prime)) % PRIMES[which]
+                powers = np.concatenate([powers, further[: size - len(powers)]])
+            made.append(powers)
+        if size > 1 << 22:
+            return made[0][:n], made[1][:n]
+        _checked_powers[which] = made[0], made[1]
+    return _checked_powers[which][0][:n], _checked_powers[which][1][:n]
+
+
+class Checks:
+    """Second hashes of stretches: polynomials modulo two primes of 31 bits."""
+
+    def __init__(self, values: list[np.ndarray]):
+        """``values`` of the sequence modulo each prime."""
+        self.sums, self.down = [], []
+        for which, (prime, own) in enumerate(zip(PRIMES, values, strict=True)):
+            up, down = _checked_steps(which, len(own) + 1)
+            sums = np.zeros(len(own) + 1, np.uint64)
+            # Of terms below 2**31 2**33 can be added up.
+            np.cumsum(own * up[:-1] % prime, out=sums[1:])
+            self.sums.append(sums)
+            self.down.append(down)
+
+    def windows(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """One number of 62 bits per stretch [start, end)."""
+        one, two = (
+            (sums[ends] - sums[starts]) % prime * down[starts] % prime
+            for prime, sums, down in zip(PRIMES, self.sums, self.down, strict=True)
+        )
+        return one << np.uint64(31) | two
+
+
+def _checked(values, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The checks of ascending stretches, block by block, as one needs little memory;
+    ``values(a, b)`` of a part of the sequence modulo each prime."""
+    found = np.zeros(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, int(starts[-1]) + CHECK_BLOCK + 1, CHECK_BLOCK)) if len(starts) else [0]
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        if y > x:
+            a, b = int(starts[x]), int(ends[y - 1])
+            found[x:y] = Checks(values(a, b)).windows(starts[x:y] - a, ends[x:y] - a)
+    return found
+
+
+def checks_of_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _checked(lambda a, b: [letters[data[a:b]] for letters in _CHECKED_LETTER], starts, ends)
+
+
+def checks_of(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _checked(lambda a, b: [mixed(values[a:b]) % prime for prime in PRIMES], starts, ends)
+
+
 def of_bytes(data: np.ndarray) -> Rolling:
     return Rolling(_LETTER[data])
 
@@ -83,6 +153,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return of_bytes(data).windows(starts, ends) + (ends - starts).astype(np.uint64)
 
 
+def word_checks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return checks_of_bytes(data, starts, ends) + (ends - starts).astype(np.uint64)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending 64-bit numbers as gaps, byte by byte, without empty high bytes."""
     if len(keys) == 0:

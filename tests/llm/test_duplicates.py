@@ -65,6 +65,20 @@ def test_many_copies_and_a_hot_passage(spark):
     assert by_id(suffix_dedup.digest(docs)) == helpers.removed_bytes(rows, 100)
 
 
+def thue_morse(n):
+    """The sequence and its opposite: polynomials modulo 2**64 cannot tell them apart from n = 1024 on."""
+    sequence = [bin(i).count("1") & 1 for i in range(n)]
+    return sequence, [1 - x for x in sequence]
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 24, 64])
+def test_bytes_that_differ_under_one_hash(spark, monkeypatch, group_bytes):
+    monkeypatch.setattr(repeats, "GROUP_BYTES", group_bytes)
+    tail = "".join(chr(97 + i * i % 23) for i in range(100))
+    rows = [(i, "".join("ab"[x] for x in part) + tail) for i, part in enumerate(thue_morse(1024))]
+    assert by_id(suffix_dedup.digest(table(spark, rows), 1100)) == helpers.removed_bytes(rows, 1100)
+
+
 def near_copies():
     random.seed(4)
     pool = [f"w{i}" for i in range(40)]
