@@ -289,12 +289,20 @@ def _windows_earlier(cells: pa.Table) -> pa.Table:
     return _replies(groups, keys, _WINDOWS, cells["bucket"][0].as_py(), bits)
 
 
-def _distinct(group: Group, n_anchor_buckets: int):
+def _binary(numbers: np.ndarray, cuts: list[int]) -> pa.Array:
+    """Stretches of 64-bit numbers as binary values, without a copy."""
+    offsets = np.array([8 * c for c in cuts], np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(numbers, "<u8"))]
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, buffers)
+
+
+def _distinct(group: Group, n_anchor_buckets: int, with_parts: bool = True):
     """All windows of a group: per reading, and the distinct ones with their first place."""
     parts, rows, keys, checks = [], [], [], []
     for start, stop, reading, places, found, checked in group.windows(n_anchor_buckets):
         row = np.searchsorted(reading.bounds, places, side="right") - 1
-        parts.append((start, stop, reading.bounds, places))
+        if with_parts:
+            parts.append((start, stop, reading.bounds, places))
         rows.append((row + start).astype(np.int32))
         keys.append(found)
         checks.append(checked)
@@ -332,7 +340,7 @@ def marked(
         if len(docs) == 0:
             return _send(0, np.zeros(0, np.uint64), edges(1, 64), None)
         group = Group(docs, replies, method)
-        owners, order, ordered, checks, first = _distinct(group, n_anchor)[1:]
+        owners, order, ordered, checks, first = _distinct(group, n_anchor, with_parts=False)[1:]
         ordered, checks, firsts = ordered[first], checks[order[first]], owners[order[first]]
         del owners, order
         known, places = np.unique(firsts, return_inverse=True)
@@ -352,7 +360,7 @@ def marked(
                 "keys": pa.array([ta.pack_sorted(ordered[x:y]) for _, x, y in cells], pa.binary()),
                 "extra": pa.array([p for p, _ in packed], pa.binary()),
                 "ids": pa.array([i for _, i in packed], pa.binary()),
-                "checks": pa.array([checks[x:y].astype("<u8").tobytes() for _, x, y in cells], pa.binary()),
+                "checks": _binary(checks, [x for _, x, _ in cells] + [len(checks)]),
             }
         )
 
