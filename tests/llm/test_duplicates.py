@@ -79,6 +79,12 @@ def test_bytes_that_differ_under_one_hash(spark, monkeypatch, group_bytes):
     assert by_id(suffix_dedup.digest(table(spark, rows), 1100)) == helpers.removed_bytes(rows, 1100)
 
 
+def test_words_that_differ_under_one_hash(spark):
+    tail = [f"p{i}" for i in range(1024)]
+    rows = [(i, " ".join(["ab"[x] for x in part] + tail)) for i, part in enumerate(thue_morse(1024))]
+    assert by_id(block_dedup.digest(table(spark, rows), 2048)) == helpers.removed_words(rows, 2048)
+
+
 def near_copies():
     random.seed(4)
     pool = [f"w{i}" for i in range(40)]
