@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 _END = "\u0001end\u0001"
 _SWALLOWED = "," + _END
 
-# What the parser makes room for. Of a line with more separators the part behind
-# them is cut off before it is parsed, so that no line can end a job.
+# What the parser makes room for. A longer line is cut behind the fields asked for
+# before it is parsed, so that no line can end a job.
 MAX_FIELDS = 1 << 18
 
+# Doubled quotes are masked, which keeps places, so that a field is found without
+# recursion: one in quotes (left open, it takes the rest) or a plain one.
+_MASK = "\u0001\u0001"
+_FIELD = r'\G(?:\x01*+"[^"]*+(?:"[^,]*+|\z)|[^,]*+)(?:,|\z)'
+
 READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
@@ -41,7 +46,10 @@ def split_line(line: Column, n: int) -> Column:
         raise ValueError(f"at most {MAX_FIELDS} fields")
     schema = ", ".join(f"_{i} string" for i in range(n))
     wide = F.length(line) > MAX_FIELDS
-    cut = F.when(wide, F.substring_index(line, ",", MAX_FIELDS)).otherwise(line)
+    masked = F.replace(line, F.lit('""'), F.lit(_MASK))
+    fields = F.slice(F.regexp_extract_all(masked, F.lit(_FIELD), F.lit(0)), 1, n)
+    length = F.aggregate(fields, F.lit(0), lambda total, field: total + F.length(field))
+    cut = F.when(wide, F.substring(line, F.lit(1), length)).otherwise(line)
     return F.from_csv(F.concat(cut, F.lit(_SWALLOWED)), schema, READ_OPTIONS)
 
 

@@ -67,6 +67,20 @@ def test_lines_of_very_many_fields(spark):
     assert got == {0: ("a", "b"), 1: ("c", "d"), 2: ("e" * 300_000, "f"), 3: ("g", "")}
 
 
+def test_a_quoted_field_of_very_many_commas(spark):
+    many = "," * 300_000
+    lines = [
+        f'"{many}",b', f'a,"x{many}"', f'"""{many}""",b,c', f'"",b{many}', f'"{many}"z,b{many}', f'a,"{many}', f'"{many}',
+        '"' + 'x"",' * 100_000 + '",b', f'5" a,6" b{many}',
+    ]
+    got = parse(spark, lines, ["p", "q"])
+    assert got == {
+        0: (many, "b"), 1: ("a", f"x{many}"), 2: (f'"{many}"', "b"), 3: ("", "b"), 4: (f'"{many}"z', "b"),
+        5: ("a", got[5][1]), 7: ('x",' * 100_000, "b"), 8: ('5" a', '6" b'),
+    }
+    assert got[5][1].endswith(many)
+
+
 def test_one_column_read_casts_one_column(spark):
     schema = T.StructType([T.StructField("p", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in "qrs"])
     lines = spark.createDataFrame([("a,1,2,3",)], "value string")
