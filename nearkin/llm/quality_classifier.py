@@ -6,11 +6,11 @@ mean of the vectors goes through a linear layer and a softmax over the two
 classes. Both are trained by stochastic gradient descent in numpy, in one task,
 on a sample of labelled rows of bounded size (``train_rows``, the parameter that
 bounds it; those with the smallest hash of their id). A pair of equal words is
-one feature of its own, whatever the word.
+one more feature, whatever the word.
 
 As the output is linear in the mean, scoring needs one number per bucket. Every
 worker keeps (sum, count) of the features of a word, so a text costs one lookup
-per word. Whole texts are read in training and in scoring.
+per word and one hash per pair. Whole texts are read in training and in scoring.
 
 Defined results: NULL and empty texts have no features and get the score of the
 bias alone; with no label, or with labels of one class only, the score is the
@@ -66,6 +66,11 @@ def word_features(word: str, buckets: int = BUCKETS) -> list[int]:
     return found
 
 
+def pair_features(words: list[str], buckets: int = BUCKETS) -> list[int]:
+    """The bucket of every pair of words that follow each other."""
+    return [_bucket(f"\2{a} {b}", buckets) for a, b in zip(words, words[1:], strict=False)]
+
+
 def text_features(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     words = _WORD.findall(text or "")
@@ -73,6 +78,7 @@ def text_features(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray,
     for word, n in Counter(words).items():
         for bucket in word_features(word, buckets):
             counts[bucket] += n
+    counts.update(pair_features(words, buckets))
     same = sum(map(operator.eq, words, words[1:]))
     if same:
         counts[_bucket(_SAME, buckets)] += same
@@ -174,6 +180,8 @@ class Scorer:
     def score(self, text: str | None) -> float:
         words = text.split() if text else []
         total = sum(map(self.words.__getitem__, words), 0j)
+        pairs = pair_features(words, len(self.weights))
+        total += complex(float(self.weights[pairs].sum(dtype=np.float64)) if pairs else 0.0, len(pairs))
         total += self.same * sum(map(operator.eq, words, words[1:]))
         logit = self.bias + (total.real / total.imag if total.imag else 0.0)
         return 1.0 / (1.0 + math.exp(-max(min(logit, 500.0), -500.0)))

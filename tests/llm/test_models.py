@@ -181,6 +181,12 @@ def test_scores_are_those_of_the_plain_model():
     assert scorer.score(texts[4]) > 0.5 > scorer.score(texts[1])
 
 
+def test_the_order_of_words_counts():
+    texts = ["red fish blue bird", "blue fish red bird"]
+    scorer = quality_classifier.Scorer(*quality_classifier.train(texts * 20, [1, 0] * 20, buckets=1 << 12, epochs=20))
+    assert scorer.score(texts[0]) > 0.6 and scorer.score(texts[1]) < 0.4
+
+
 def test_labels_that_are_missing_or_double(spark):
     docs = table(spark, [(1, "fine text"), (2, "BAD!!"), (3, None), (3, "x"), (None, "y")])
     def labels(rows):
