@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearkin.llm import block_dedup, host_rules, jaccard_join, suffix_dedup
+from nearkin.llm import block_dedup, filter_audit, host_rules, jaccard_join, suffix_dedup
 
 _BREAK = r"[\x20\x09-\x0D]+"
 
@@ -87,4 +87,5 @@ ORACLE = {
     "op4_suffix_dedup": suffix_dedup_sql(),
     "op7_block_dedup": block_dedup_sql(),
     "op10_jaccard_join": jaccard_sql(),
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
 }

@@ -10,6 +10,7 @@ from nearkin.llm import (
     block_dedup,
     byte_bpe,
     decontaminate,
+    filter_audit,
     host_rules,
     jaccard_join,
     language_id,
@@ -76,6 +77,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(documents(spark, sf_dir))
 
 
+
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,5 +95,6 @@ QUERIES = {
         op8_orc_token_ids,
         op9_quality_classifier,
         op10_jaccard_join,
+        op11_filter_audit,
     )
 }
