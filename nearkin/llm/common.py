@@ -53,6 +53,12 @@ def kept(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEAN_UP, before)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this subpackage wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shuffles(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

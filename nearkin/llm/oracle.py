@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearkin.llm import block_dedup, filter_audit, host_rules, jaccard_join, suffix_dedup
+from nearkin.llm import block_dedup, filter_audit, host_rules, jaccard_join, suffix_dedup, vector_codes
 
 _BREAK = r"[\x20\x09-\x0D]+"
 
@@ -88,4 +88,5 @@ ORACLE = {
     "op7_block_dedup": block_dedup_sql(),
     "op10_jaccard_join": jaccard_sql(),
     "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_vector_codes": vector_codes.oracle_sql(),
 }

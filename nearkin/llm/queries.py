@@ -13,11 +13,13 @@ from nearkin.llm import (
     filter_audit,
     host_rules,
     jaccard_join,
+    kmeans_tree,
     language_id,
     orc_tokens,
     quality_classifier,
     suffix_dedup,
     token_counts,
+    vector_codes,
 )
 from nearkin.llm.common import documents
 from nearkin.llm.oracle import ORACLE  # noqa: F401
@@ -27,6 +29,7 @@ PIECES_32K = "piece_bpe_32k.model"
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
 END_ID = 2
 TOKEN_LIMIT = 512
+QUERY_STEP = 20
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +85,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), QUERY_STEP)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -96,5 +108,7 @@ QUERIES = {
         op9_quality_classifier,
         op10_jaccard_join,
         op11_filter_audit,
+        op12_nearest_neighbours,
+        op13_vector_codes,
     )
 }
