@@ -354,6 +354,7 @@ SELECT vec_id, CASE WHEN vec_id % 7 NOT IN (1, 2, 3, 4) THEN w.cluster END AS wi
        CASE WHEN vec_id % 7 NOT IN (1, 2, 3, 4) THEN f.cluster END AS narrow
 FROM nearest w JOIN nearest_of_few f USING (vec_id)""",
     "batch_of_all": _batch("", BOOK, 3),
+    "batch_of_all_near": _batch("", EUCLIDEAN, 3),
     "batch_deep": _batch("WHERE nth = 1", EUCLIDEAN, 2000),
     "renamed_batch": f"""WITH {ASSIGNED},
 kinds AS (SELECT *, CASE WHEN p_size <> 5 THEN p_type END AS kind FROM assigned),

@@ -532,6 +532,13 @@ def batch_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("seed_id", "rank", "p_partkey", "distance")
 
 
+def batch_of_all_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the plain distance."""
+    assigned, model = _assigned(spark, sf_dir)
+    best = recommend.recommend_batch(assigned, model, assigned, 3, "euclidean", CATALOG)
+    return best.select("seed_id", "rank", "p_partkey", "distance")
+
+
 def batch_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first part of every cluster, two thousand places deep."""
     assigned, model = _assigned(spark, sf_dir)
@@ -745,7 +752,7 @@ QUERIES = {
         safe_casts, clean_bytes, zip_records, ingest_limit, ingest_status, file_inventory,
         valid_items, feature_stats, zscore, assign_nearest, wssse, cluster_sizes, assign_items,
         lloyd_steps, cluster_report, kmeans_fit, model_tables, clustered_scan,
-        nearest_of_any_vector, batch_of_all, batch_deep, renamed_batch, extract_limited,
+        nearest_of_any_vector, batch_of_all, batch_of_all_near, batch_deep, renamed_batch, extract_limited,
         clustered_text, recommend_json, cluster_order,
         clustered_csv_scan, title_search, find_by_title, find_by_id, find_random,
         recommend_euclidean, recommend_book, recommend_document, item_distances,

@@ -133,6 +133,19 @@ def with_distance(
     return measured.withColumn(name, distance).drop(cn, dn, cd)
 
 
+def center_bound(point: Sequence[Entry], center: Sequence[Entry], metric: str = "euclidean") -> str:
+    """A number per item such that two items are at least as far apart as their numbers.
+
+    For ``euclidean`` the distance from the center (triangle inequality), for
+    ``book`` the length of the deviation, whose difference is a part of the distance.
+    """
+    if metric == "euclidean":
+        return euclidean(point, center)
+    if metric != "book":
+        raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
+    return norm(relative_deviation(point, center))
+
+
 def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]]) -> Column:
     """STRUCT<cost DOUBLE, cluster INT> of the nearest center.
 

@@ -14,6 +14,7 @@ from nearkin.operators.clusters import ClusterModel, centers_table
 from nearkin.operators.features import feature_vector, valid_items, with_point, z_names
 from nearkin.operators.seeds import first_per_id
 from nearkin.schema import DEFAULT_TOP, SONGS, ItemColumns
+from nearkin.sources.scratch import kept
 
 
 def _present(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -194,6 +195,153 @@ def nearest_in_group(
     return ranked.filter(F.col("rank") <= n)
 
 
+# A bin of the pruned join holds about so many rows; its quantiles are cut so finely.
+BIN_ROWS = 32
+QUANTILES = 64
+# Relative slack of a bound, far above the rounding of the sums behind it.
+SLACK = 1e-9
+
+
+def _first_of_copies(
+    rows: DataFrame, group: str, point: Sequence[str], item_id: str, n: int, ties: Sequence[str]
+) -> DataFrame:
+    """The rows that can be among the ``n`` nearest of any seed, as far as copies go.
+
+    Of the rows of a group with one point and one id the first ``n`` by ``ties``, and
+    of all ids with that point the first ``n + 1``: a seed leaves out one id.
+    """
+    place = vectors.unused(rows, "_copy")
+    same = [group, *point]
+    by_id = W.partitionBy(*same, item_id).orderBy(*(ties or [item_id]))
+    few = rows.withColumn(place, F.row_number().over(by_id)).filter(F.col(place) <= n).drop(place)
+    ids = W.partitionBy(*same).orderBy(item_id)
+    return few.withColumn(place, F.dense_rank().over(ids)).filter(F.col(place) <= n + 1).drop(place)
+
+
+def _bin_edges(rows: DataFrame, group: str, bound: str) -> DataFrame:
+    """Per group and quantile of the bound: ``_seg``, ``_lo``, ``_hi``, ``_parts``, ``_top``.
+
+    A group has one quantile per ``BIN_ROWS`` rows, at most ``QUANTILES``; each is cut
+    into ``_parts`` bins of equal width, as many as its rows make. ``_top`` is the
+    last bin of the group.
+    """
+    fractions = ", ".join(str(i / QUANTILES) for i in range(QUANTILES + 1))
+    cuts = F.expr(f"percentile_approx({bound}, array({fractions}), {100 * QUANTILES})")
+    sizes = rows.groupBy(group).agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    wanted = F.least(F.lit(QUANTILES), F.ceil(F.col("_n") / BIN_ROWS)).cast("int")
+    edges = F.transform(
+        F.sequence(F.lit(0), F.col("_wanted")),
+        lambda i: F.get("_cuts", (i * QUANTILES / F.col("_wanted")).cast("int")),
+    )
+    lows = F.col("_edges")
+    spans = F.when(F.size(lows) == 1, F.array(F.struct(lows[0].alias("_lo"), lows[0].alias("_hi")))).otherwise(
+        F.transform(
+            F.slice(lows, F.lit(1), F.greatest(F.size(lows) - 1, F.lit(1))),
+            lambda low, i: F.struct(low.alias("_lo"), F.get(lows, i + 1).alias("_hi")),
+        )
+    )
+    cut = sizes.withColumn("_wanted", wanted).withColumn("_edges", F.array_distinct(edges))
+    parts = F.ceil(F.col("_n") / (F.col("_wanted") * BIN_ROWS)).cast("int")
+    spread = cut.select(group, parts.alias("_parts"), F.size(spans).alias("_size"), F.posexplode(spans).alias("_seg", "_span"))
+    return spread.select(
+        group, "_seg", "_span.*", "_parts", (F.col("_size") * F.col("_parts") - 1).alias("_top"),
+        (F.col("_seg") == F.col("_size") - 1).alias("_last"),
+    )
+
+
+def _with_bin(df: DataFrame, edges: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """Add the bin of a number; what lies outside counts to the outermost bins."""
+    low, high, parts, seg = (F.col("_edge")[field] for field in ("_lo", "_hi", "_parts", "_seg"))
+    v = F.col(value)
+    inside = ((seg == 0) | (v >= low)) & (F.col("_edge")["_last"] | (v < high))
+    share = F.floor((v - low) / (high - low) * parts).cast("int")
+    at = F.when(v >= high, parts - 1).when(v <= low, 0).otherwise(F.least(share, parts - 1))
+    # As many rows as groups x QUANTILES; groups are the clusters of a model.
+    packed = edges.select(F.col(group).alias("_of"), F.struct(*[c for c in edges.columns if c != group]).alias("_edge"))
+    found = df.join(F.broadcast(packed), (F.col(group) == F.col("_of")) & inside)
+    return found.withColumn(name, seg * parts + at).drop("_of", "_edge")
+
+
+def _bins_between(first: Column, last: Column) -> Column:
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def nearest_by_bound(
+    rows: DataFrame,
+    seeds: DataFrame,
+    group: str,
+    distance: Callable[[DataFrame], DataFrame],
+    item_id: str,
+    point: Sequence[str],
+    bounds: Sequence[tuple[str, str]],
+    n: int = DEFAULT_TOP,
+    ties: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`nearest_in_group` for many seeds, without all pairs of a group.
+
+    ``bounds`` are pairs of columns, of the rows and of the seeds, such that ``distance``
+    is never below the difference of a pair (see ``vectors.center_bound``). The rows of
+    a group are put into bins by the first bound. A seed first meets its own bin and
+    as many neighbours as hold ``n`` rows; its n-th distance there limits which other
+    bins can hold anything nearer, and it meets those in a second and last step, all
+    of them where it found fewer than ``n``. A pair is measured only if all bounds
+    allow. The result is exact.
+
+    ``point`` are the columns that the distance depends on: of many rows with one point
+    only the first can be near, and the others go before any pair is made. What is
+    left is numbered in the order of id and ``ties``; a pair carries that number, and
+    the other columns join the winners. ``group`` has few values (the clusters of a
+    model). The seeds go out once per bin they meet; where very many meet one bin,
+    the adaptive planner splits the join.
+    """
+    bound, seed_bound = bounds[0]
+    own = list(dict.fromkeys([item_id, group, *point, *[of_row for of_row, _ in bounds]]))
+    edges = _bin_edges(rows, group, bound)
+    # At most QUANTILES rows per group, so they go into the plans that follow.
+    edges = rows.sparkSession.createDataFrame(edges.collect(), edges.schema)
+    few = _first_of_copies(rows, group, point, item_id, n, ties).orderBy(item_id, *ties)
+    placed = kept(_with_bin(few.withColumn("_nth", F.monotonically_increasing_id()), edges, group, bound, "_bin"))
+    tops = F.broadcast(edges.filter("_last").select(F.col(group).alias("_of"), "_top"))
+    home = _with_bin(seeds, edges, group, seed_bound, "_home")
+    home = kept(home.join(tops, F.col(group) == F.col("_of")).drop("_of"))
+    reach = -(-n // BIN_ROWS)
+    near = F.greatest(F.col("_home") - reach, F.lit(0)), F.least(F.col("_home") + reach, F.col("_top"))
+    met = placed.select("_nth", "_bin", *own)
+
+    def measured(asking: DataFrame, bins: Column) -> DataFrame:
+        sent = asking.withColumn("_bin", F.explode(bins))
+        on = (F.col("l._bin") == F.col("r._bin")) & (F.col(f"l.{group}") == F.col(f"r.{group}"))
+        on = on & ~F.col(f"l.{item_id}").eqNullSafe(F.col("r.seed_id"))
+        limit = F.col("r._limit")
+        for of_row, of_seed in bounds:
+            on = on & ((limit == float("inf")) | (F.abs(F.col(f"l.{of_row}") - F.col(f"r.{of_seed}")) <= limit))
+        columns = [F.col(f"l.{c}") for c in ("_nth", *point)]
+        pairs = met.alias("l").join(sent.alias("r"), on).select(*columns, *[F.col(f"r.{c}") for c in asking.columns])
+        found = computed_once(distance(pairs), "distance")
+        found = found.filter(F.col("distance").isNotNull() & ~F.isnan("distance") & (F.col("distance") <= F.col("_limit")))
+        return found.select("seed_id", "distance", "_nth")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        overall = W.partitionBy("seed_id").orderBy("distance", "_nth")
+        return found.withColumn("rank", F.row_number().over(overall)).filter(F.col("rank") <= n)
+
+    no_limit = F.lit(float("inf"))
+    first = kept(ranked(measured(home.withColumn("_limit", no_limit), _bins_between(*near))))
+    limits = first.filter(F.col("rank") == n).select("seed_id", F.col("distance").alias("_far"))
+    limit = F.coalesce("_far", no_limit)
+    asked = home.join(limits, "seed_id", "left")
+    asked = asked.withColumn("_limit", limit + (limit + F.abs(seed_bound) + 1.0) * SLACK).drop("_far")
+    asked = asked.withColumn("_from", F.col(seed_bound) - F.col("_limit"))
+    asked = asked.withColumn("_to", F.col(seed_bound) + F.col("_limit"))
+    asked = _with_bin(_with_bin(asked, edges, group, "_from", "_low"), edges, group, "_to", "_high")
+    unlimited = F.col("_limit") == no_limit
+    low = F.when(unlimited, F.lit(0)).otherwise(F.col("_low"))
+    high = F.when(unlimited, F.col("_top")).otherwise(F.col("_high"))
+    second = measured(asked, F.concat(_bins_between(low, near[0] - 1), _bins_between(near[1] + 1, high)))
+    best = ranked(first.drop("rank").unionByName(second))
+    return best.join(placed.select("_nth", *rows.columns), "_nth").drop("_nth")
+
+
 def recommend_batch(
     assigned: DataFrame,
     model: ClusterModel,
@@ -206,7 +354,7 @@ def recommend_batch(
 
     ``seeds`` are rows of the assigned table; of several rows with one id the
     one counts that ``find_by_id`` finds. A seed with invalid features has no
-    result.
+    result, and a row without id is no seed.
     """
     c = columns
     point = z_names(model.stats)
@@ -214,20 +362,26 @@ def recommend_batch(
     middle = z_names(model.stats, "_center")
     rows = with_point(valid_items(assigned, model.features), model.stats)
     shown = describe(rows, c).columns
-    needed = rows.select(*shown, c.cluster, *point)
     own = first_per_id(seeds, c)
     valid = with_point(valid_items(own, model.features), model.stats, "_seed")
-    chosen = valid.select(F.col(c.id).alias("seed_id"), F.col(c.cluster), *start)
     centers = centers_table(assigned.sparkSession, model).select(
         F.col("cluster").alias(c.cluster),
         *[F.get("center", F.lit(i)).alias(name) for i, name in enumerate(middle)],
     )
-    chosen = chosen.join(centers, c.cluster)
+    of_row, of_seed = (F.expr(vectors.center_bound(p, middle, metric)) for p in (point, start))
+    bounds = [("_bound", "_seed_bound")]
+    if metric == "euclidean":  # no two points are nearer than in one dimension
+        bounds += list(zip(point, start, strict=True))
+    # The centers are a model: k rows.
+    near = rows.select(*shown, c.cluster, *point).join(F.broadcast(centers), c.cluster)
+    needed = near.withColumn("_bound", of_row).drop(*middle)
+    chosen = valid.select(F.col(c.id).alias("seed_id"), F.col(c.cluster), *start)
+    chosen = chosen.join(F.broadcast(centers), c.cluster).withColumn("_seed_bound", of_seed)
 
     def distance(pairs: DataFrame) -> DataFrame:
         return vectors.with_distance(pairs, point, start, middle, metric)
 
-    ties = _ties(needed, c)
-    best = nearest_in_group(needed, chosen, c.cluster, distance, c.id, n, ties)
+    ties = _ties(rows, c)
+    best = nearest_by_bound(needed, chosen, c.cluster, distance, c.id, point, bounds, n, ties)
     result = describe(best, c, keep=["seed_id", "rank", "distance"])
     return result.withColumn("distance", F.round("distance", 6))

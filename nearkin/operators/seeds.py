@@ -30,10 +30,13 @@ def find_by_id(df: DataFrame, item_id, columns: ItemColumns = SONGS) -> DataFram
 
 
 def first_per_id(df: DataFrame, columns: ItemColumns = SONGS) -> DataFrame:
-    """Of the rows of every id the one that :func:`find_by_id` finds."""
+    """Of the rows of every id the one that :func:`find_by_id` finds.
+
+    Rows without id are none of them: no lookup by id finds one.
+    """
     place = unused(df, "_place")
     order = W.partitionBy(columns.id).orderBy(*total_order(df, columns))
-    return df.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
+    return df.filter(F.col(columns.id).isNotNull()).withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
 
 
 def match_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> DataFrame:
