@@ -266,8 +266,7 @@ def _files_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a source file, every line of it as a record."""
     lines = F.split("text", "\n")
     documents = table(spark, sf_dir, "documents")
-    file = F.struct(
-        F.col("doc_id").cast("string").alias("path"),
+    arrays = F.struct(
         F.transform(
             lines,
             lambda line, i: F.struct(
@@ -292,7 +291,7 @@ def _files_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(lines, lambda line, i: F.struct((i + 1990).alias("year"))).alias("musicbrainz"),
     )
     # Unfolded, so that the arrays are built once and not in every expression that uses them.
-    return documents.select(F.inline(F.array(file)))
+    return documents.select(F.col("doc_id").cast("string").alias("path"), F.inline(F.array(arrays)))
 
 
 def zip_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,48 +36,23 @@ def extract(files: DataFrame, output: str, limit: int = 0, overwrite: bool = Fal
     """
     spark = files.sparkSession
     items.refuse_existing(spark, output, overwrite)
-    if limit > 0 or "first_pos" in files.columns:
-        return _extract_by_file(files, output, limit, overwrite)
-    counted = Observation()
-    seen = records.with_status(files).observe(
-        counted,
-        F.count_if(F.col("status") == "ok").alias("ok"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.sum("n_records").alias("n_records"),
-    )
-    rows = records.zip_records(seen.drop("status", "error", "n_records")).drop("path", "pos")
-    items.write_items(rows, output, overwrite)
-    found = counted.get
-    n_records = found["n_records"] or 0
+    cut = records.find_cut(files, limit) if limit > 0 else None
+    read = records.files_until(files, cut)
+    of_files, of_rows = Observation(), Observation()
+    ok, failed = (F.count_if(F.col("status") == status).alias(status) for status in ("ok", "failed"))
+    seen = records.with_status(read).observe(of_files, ok, failed).drop("status", "error", "n_records")
+    rows = records.records_until(seen, cut).drop("path", "pos")
+    items.write_items(rows.observe(of_rows, F.count(F.lit(1)).alias("n")), output, overwrite)
+    n_files, n_records = of_files.get, of_rows.get["n"]
     if n_records == 0:
         raise ValueError("no records read")
-    report = [("ok", found["ok"], n_records), ("failed", found["failed"], 0)]
+    if "first_pos" in files.columns:  # a file in several rows counts once
+        counts = records.ingest_report(read).select("status", "n_files").collect()
+        n_files = {"ok": 0, "failed": 0} | {row["status"]: row["n_files"] for row in counts}
+    report = [("ok", n_files["ok"], n_records), ("failed", n_files["failed"], 0)]
     return spark.createDataFrame([r for r in report if r[1]], "status string, n_files long, n_records long")
 
 
-def _extract_by_file(files: DataFrame, output: str, limit: int, overwrite: bool) -> DataFrame:
-    rows = records.zip_records(files)
-    if limit > 0:
-        rows = rows.orderBy("path", "pos").limit(limit)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        items.write_items(rows.drop("path", "pos"), output, overwrite)
-        end = rows.agg(F.count("*").alias("n"), F.max("path").alias("last")).first()
-        if end["n"] == 0:
-            raise ValueError("no records read")
-        read = files.filter(F.col("path") <= end["last"]) if limit > 0 and end["n"] >= limit else files
-        written = rows.groupBy("path").agg(F.count("*").alias("n_written"))
-        status = records.with_status(read).groupBy("path").agg(F.min("status").alias("status"))
-        joined = status.join(written, "path", "left")
-        report = joined.groupBy("status").agg(
-            F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_written"), F.lit(0)).alias("n_records")
-        )
-        found = [tuple(r) for r in report.collect()]
-    finally:
-        rows.unpersist()
-    return files.sparkSession.createDataFrame(found, "status string, n_files long, n_records long")
-
-
 def top_by_year(
     spark: SparkSession,
     source: str,

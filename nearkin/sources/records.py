@@ -9,10 +9,12 @@ file comes in several rows, and ``problem``, why it could not be read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearkin.functions import casts
+from nearkin.sources.scratch import kept
 
 # Output column -> (array, field of its structs).
 RECORD_FIELDS = {
@@ -89,16 +91,59 @@ def zip_records(files: DataFrame) -> DataFrame:
     return rows.select("path", (F.col("_first") + F.col("pos")).alias("pos"), *columns)
 
 
+def _place(name: str = "path") -> Column:
+    return F.coalesce(F.col(name), F.lit(""))
+
+
+def find_cut(files: DataFrame, limit: int) -> tuple[str, int] | None:
+    """Path and position of the ``limit``-th record; None if there are fewer.
+
+    Records are counted, not sorted: path and number of records of every file are
+    written once and dealt out by ranges of the path, the sums of the ranges are
+    added up on the driver (one number per range), and only the range that holds the
+    cut is added up file by file.
+    """
+    first = F.col("first_pos") if "first_pos" in files.columns else F.lit(0)
+    counted = with_status(files).filter("n_records > 0").select(
+        _place().alias("path"), first.cast("bigint").alias("first"), F.col("n_records").cast("bigint").alias("n")
+    )
+    ranges = kept(kept(counted).repartitionByRange("path", "first").withColumn("part", F.spark_partition_id()))
+    before = 0
+    for part, n in sorted(map(tuple, ranges.groupBy("part").agg(F.sum("n")).collect())):
+        if before + n >= limit:
+            order = W.orderBy("path", "first").rowsBetween(W.unboundedPreceding, W.currentRow)
+            sums = ranges.filter(F.col("part") == part).withColumn("until", F.sum("n").over(order) + before)
+            cut = sums.filter(F.col("until") >= limit).orderBy("until").limit(1).first()
+            return cut["path"], cut["first"] + cut["n"] - 1 - (cut["until"] - limit)
+        before += n
+    return None
+
+
+def files_until(files: DataFrame, cut: tuple[str, int] | None) -> DataFrame:
+    """The files up to the one with the cut; the condition reaches the scan."""
+    if cut is None:
+        return files
+    return files.filter(F.col("path").isNull() | (F.col("path") <= cut[0]))
+
+
+def records_until(files: DataFrame, cut: tuple[str, int] | None) -> DataFrame:
+    """:func:`zip_records` of the files up to the cut, the record there included."""
+    rows = zip_records(files_until(files, cut))
+    if cut is None:
+        return rows
+    return rows.filter((_place() < cut[0]) | (F.col("pos") <= cut[1]))
+
+
 def extract_records(files: DataFrame, limit: int = 0, require_rows: bool = False) -> DataFrame:
     """The item rows of all readable files; the first ``limit`` of them if > 0.
 
-    First means by path, then by position. With ``require_rows`` an empty
+    First means by path, then by position; a path (with its ``first_pos``) stands
+    for one row of ``files``. A limit starts a job that counts the records per
+    file; files behind the cut are not unfolded. With ``require_rows`` an empty
     result is an error; this starts a job that stops at the first row.
     """
-    rows = zip_records(files)
-    if limit > 0:
-        rows = rows.orderBy("path", "pos").limit(limit)
-    items = rows.drop("path", "pos")
+    cut = find_cut(files, limit) if limit > 0 else None
+    items = records_until(files, cut).drop("path", "pos")
     if require_rows and items.isEmpty():
         raise ValueError("no records read")
     return items
