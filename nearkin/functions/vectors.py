@@ -8,10 +8,9 @@ they reach the planner in one call rather than in one call per operator.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ EPS = 1e-6
 METRICS = ("euclidean", "book")
 
 # Beyond this many products per row (centers x dimensions) the written-out form
-# leaves the size the JIT compiles, and the Arrow form takes over.
+# leaves the size the JIT compiles, and a fold over arrays takes over.
 MAX_INLINE_TERMS = 200
 
 
@@ -151,7 +150,8 @@ def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]
 
     Equally near centers give the lowest index. ``point`` is a list of entries
     or the name of an ARRAY<DOUBLE> column. Centers are parameters (k x d
-    numbers), never data; many of them travel with the function, not in the plan.
+    numbers), never data; many of them are one array in the plan, over which the
+    vector is folded: a sum of squares per center, of which the least is taken.
 
     A vector that is NULL, has another number of entries than the centers, or an
     entry that is NULL or NaN, has no nearest center: the result is NULL.
@@ -160,8 +160,7 @@ def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]
         raise ValueError("no centers")
     dimension = len(centers[0])
     if len(centers) * dimension > MAX_INLINE_TERMS:
-        packed = F.col(point) if isinstance(point, str) else F.array(*map(F.expr, point))
-        return _nearest_by_arrow(centers)(packed)
+        return _nearest_by_fold(quoted(point) if isinstance(point, str) else f"array({', '.join(point)})", centers)
     places = entries(point, dimension) if isinstance(point, str) else point
     if len(places) != dimension:
         raise ValueError("the point and the centers differ in dimension")
@@ -176,30 +175,17 @@ def nearest_center(point: Sequence[str] | str, centers: Sequence[Sequence[float]
     return F.expr(f"CASE WHEN {' AND '.join(whole)} THEN {best} END")
 
 
-def _nearest_by_arrow(centers: Sequence[Sequence[float]]):
-    middles = np.asarray(centers, dtype="float64")
-
-    @F.arrow_udf("struct<cost: double, cluster: int>")
-    def nearest(points: pa.Array) -> pa.Array:
-        n, width = len(points), middles.shape[1]
-        starts = points.offsets.to_numpy()[:-1]
-        lengths = points.value_lengths().fill_null(-1).to_numpy()
-        flat = points.values.to_numpy(zero_copy_only=False).astype("float64")
-        rows = np.flatnonzero(lengths == width)
-        values = flat[starts[rows, None] + np.arange(width)]
-        whole = ~np.isnan(values).any(axis=1)
-        rows, values = rows[whole], values[whole]
-        best = np.full(len(rows), np.inf)
-        nearest = np.zeros(len(rows), dtype="int32")
-        for i, middle in enumerate(middles):
-            gap = values - middle
-            candidate = np.einsum("ij,ij->i", gap, gap)
-            closer = candidate < best
-            best[closer] = candidate[closer]
-            nearest[closer] = i
-        cost, cluster, missing = np.zeros(n), np.zeros(n, dtype="int32"), np.ones(n, dtype=bool)
-        cost[rows], cluster[rows], missing[rows] = best, nearest, False
-        fields = [pa.array(cost), pa.array(cluster)]
-        return pa.StructArray.from_arrays(fields, names=["cost", "cluster"], mask=pa.array(missing))
-
-    return nearest
+def _nearest_by_fold(packed: str, centers: Sequence[Sequence[float]]) -> Column:
+    """The wide form for an expression that is an array; the array is worked out once."""
+    dimension = len(centers[0])
+    options = F.from_json(F.lit(json.dumps([list(map(float, c)) for c in centers])), "array<array<double>>")
+
+    def best(vector: Column) -> Column:
+        def option(center: Column, i: Column) -> Column:
+            gaps = F.zip_with(vector, center, lambda a, b: a - b)
+            return F.struct(F.aggregate(gaps, F.lit(0.0), lambda s, d: s + d * d).alias("cost"), i.alias("cluster"))
+
+        whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+        return F.when((F.size(vector) == dimension) & whole, F.array_min(F.transform(options, option)))
+
+    return F.get(F.transform(F.array(F.expr(packed).cast("array<double>")), best), F.lit(0))
