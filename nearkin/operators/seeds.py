@@ -45,15 +45,27 @@ def match_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> Data
 
 
 def find_by_title(df: DataFrame, title: str, columns: ItemColumns = SONGS) -> DataFrame:
-    """The item with the smallest id among those whose name holds the fragment."""
+    """The item with the smallest id among those whose name holds the fragment.
+
+    Names and ids are scanned now, for the id; the other columns are read by that
+    id alone, which the clustered table answers from a few row groups.
+    """
     found = match_title(df, title, columns)
-    return found.orderBy(columns.id, *total_order(df, columns)).limit(1)
+    least = found.agg(F.min(columns.id).alias("least")).first()["least"]
+    same = F.col(columns.id).isNull() if least is None else F.col(columns.id) == F.lit(least)
+    return found.filter(same).orderBy(*total_order(df, columns)).limit(1)
 
 
 def find_random(df: DataFrame, random_seed: int, columns: ItemColumns = SONGS) -> DataFrame:
-    """A random item; the same seed finds the same item on any partitioning."""
+    """A random item; the same seed finds the same item on any partitioning.
+
+    Ids are scanned now, the other columns read by the chosen id alone.
+    """
     key = F.md5(F.concat_ws(":", F.lit(str(random_seed)), F.col(columns.id).cast("string")))
-    return df.orderBy(key, columns.id, *total_order(df, columns)).limit(1)
+    chosen = df.agg(F.min(F.struct(key.alias("key"), F.col(columns.id).alias("id"))).alias("least")).first()["least"]
+    missing = chosen is None or chosen["id"] is None
+    same = F.col(columns.id).isNull() if missing else F.col(columns.id) == F.lit(chosen["id"])
+    return df.filter(same).orderBy(*total_order(df, columns)).limit(1)
 
 
 def find_seed(

@@ -11,9 +11,15 @@ from pyspark.sql import types as T
 
 from nearkin.functions import casts, csvlines
 from nearkin.functions.once import computed_once
-from nearkin.schema import CLUSTERED_SCHEMA, SONG_SCHEMA
+from nearkin.schema import CLUSTERED_SCHEMA, SONG_SCHEMA, SONGS
+from nearkin.sources.scratch import scratch_path
 
 CSV_HEADER_LINE_END = "\r\n"
+# The folders of clustered text; the cluster is in the lines, too.
+IN_CLUSTER = "in_cluster"
+ROW_GROUP_BYTES = 32 << 20
+LISTING_PAGE = 10_000
+LISTING = "path string, length long, modificationTime timestamp"
 
 
 def parse_lines(
@@ -72,13 +78,17 @@ def read_clustered(
 ) -> DataFrame:
     """Scan the output of :func:`write_clustered`.
 
-    The parquet form is partitioned by cluster, so that a filter on the cluster
-    opens only the files of that cluster.
+    Both forms have a folder per cluster, so that a filter on the cluster opens
+    only the files of that cluster. Text without such folders is read as it is.
     """
     if format == "parquet":
         return spark.read.parquet(path)
     if format == "csv":
-        return read_items(spark, path, schema)
+        rows = read_items(spark, path, schema)
+        if IN_CLUSTER not in rows.columns:
+            return rows
+        cluster = schema.fieldNames()[-1]
+        return rows.withColumn(cluster, F.col(IN_CLUSTER).cast(schema[cluster].dataType)).drop(IN_CLUSTER)
     raise ValueError(f"unknown format {format!r}")
 
 
@@ -104,14 +114,23 @@ def _csv_text(df: DataFrame) -> list[Column]:
     return columns
 
 
-def write_items(df: DataFrame, path: str, overwrite: bool = False, header: bool = True) -> None:
+def write_items(
+    df: DataFrame, path: str, overwrite: bool = False, header: bool = True, folders: str | None = None
+) -> None:
     """Write delimited text with a header per part file; missing numbers as ``nan``.
 
-    Fails if the target exists unless ``overwrite`` is set. The table must not
-    be read from ``path`` itself.
+    ``folders`` names a column (which stays in the lines) of which every value gets
+    a folder. Fails if the target exists unless ``overwrite`` is set. The table must
+    not be read from ``path`` itself.
     """
     options = dict(csvlines.WRITE_OPTIONS, header=str(header).lower(), lineSep=CSV_HEADER_LINE_END)
-    df.select(*_csv_text(df)).write.mode(_mode(overwrite)).options(**options).csv(path)
+    columns = _csv_text(df)
+    if folders is not None:
+        columns.append(F.col(folders).alias(IN_CLUSTER))
+    writer = df.select(*columns).write.mode(_mode(overwrite)).options(**options)
+    if folders is not None:
+        writer = writer.partitionBy(IN_CLUSTER)
+    writer.csv(path)
 
 
 def write_clustered(
@@ -121,20 +140,30 @@ def write_clustered(
     format: str = "parquet",
     cluster: str = "cluster",
     rebalance: bool = True,
+    item_id: str = SONGS.id,
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
-    """Write the assigned table, as parquet partitioned by cluster or as text.
+    """Write the assigned table, as parquet or as text, in a folder per cluster.
+
+    The rows are first brought together by cluster (a rebalance hint): the adaptive
+    planner splits a big cluster over many tasks and files and joins small ones, where
+    otherwise every task would write a small file per cluster.
 
-    For parquet the rows are first brought together by cluster (a rebalance
-    hint): the adaptive planner splits a big cluster over many tasks and files
-    and joins small ones, where otherwise every task would write a small file
-    per cluster. The text form has no header and the cluster as last column.
+    In parquet every file is sorted by ``item_id`` and its row groups have a Bloom
+    filter on it, so that a lookup by id skips the files and row groups that cannot
+    hold it. The text form has no header and the cluster as last column of the line;
+    its folders are named after ``IN_CLUSTER``.
     """
+    rows = df.hint("rebalance", F.col(cluster)) if rebalance else df
     if format == "parquet":
-        rows = df.hint("rebalance", F.col(cluster)) if rebalance else df
-        rows.write.mode(_mode(overwrite)).partitionBy(cluster).parquet(path)
+        options = {"parquet.block.size": str(row_group_bytes)}
+        if item_id in df.columns:
+            rows = rows.sortWithinPartitions(cluster, item_id)
+            options[f"parquet.bloom.filter.enabled#{item_id}"] = "true"
+        rows.write.mode(_mode(overwrite)).options(**options).partitionBy(cluster).parquet(path)
     elif format == "csv":
-        others = [name for name in df.columns if name != cluster]
-        write_items(df.select(*others, cluster), path, overwrite, header=False)
+        others = [name for name in rows.columns if name != cluster]
+        write_items(rows.select(*others, cluster), path, overwrite, header=False, folders=cluster)
     else:
         raise ValueError(f"unknown format {format!r}")
 
@@ -161,8 +190,25 @@ def only_files(files: DataFrame, root: str, suffix: str) -> DataFrame:
 def list_files(spark: SparkSession, root: str, suffix: str = ".h5") -> DataFrame:
     """path, length and modification time of a file or of the files below a folder.
 
-    Contents are not read; hidden files are not listed.
+    Contents are not read. Names that begin with ``_`` or ``.`` are listed like all
+    others. The store's own recursive listing is read in pages, each written to the
+    scratch folder, so that the driver never holds more than one page.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    listed = files.select("path", "length", "modificationTime")
-    return only_files(listed, root, suffix).orderBy("path")
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    folder = scratch_path(spark, "listing")
+    page: list[tuple] = []
+
+    def turn_page() -> None:
+        rows = spark.createDataFrame(page, "path string, length long, at long").coalesce(1)
+        listed = rows.select("path", "length", F.timestamp_millis("at").alias("modificationTime"))
+        only_files(listed, target.toUri().getPath(), suffix).write.mode("append").parquet(folder)
+        page.clear()
+
+    while found.hasNext():
+        file = found.next()
+        page.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+        if len(page) == LISTING_PAGE:
+            turn_page()
+    turn_page()
+    return spark.read.schema(LISTING).parquet(folder).orderBy("path")

@@ -1,7 +1,13 @@
-"""Cluster models as three small tables: centers, feature_stats, model_meta."""
+"""Cluster models as three small tables: centers, feature_stats, model_meta.
+
+Every saved model is a version in a folder of its own; the file CURRENT names the one
+that counts.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from nearkin.operators.clusters import ClusterModel, centers_table
@@ -24,14 +30,58 @@ def model_tables(spark: SparkSession, model: ClusterModel) -> dict[str, DataFram
     }
 
 
+MANIFEST = "CURRENT"
+
+
+def _store(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _commit(spark: SparkSession, path: str, version: str) -> None:
+    """Make a version the current one: a small file, renamed over the one before."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    new, store = _store(spark, f"{path}/_{version}.new")
+    stream = store.create(new, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(fs, "Options$Rename").OVERWRITE
+    target, _ = _store(spark, f"{path}/{MANIFEST}")
+    context = fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(store.makeQualified(new), store.makeQualified(target), overwrite)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The version that readers take; FileNotFoundError if none was ever finished."""
+    target, store = _store(spark, f"{path}/{MANIFEST}")
+    if not store.exists(target):
+        raise FileNotFoundError(f"no finished model at {path}")
+    return spark.read.text(f"{path}/{MANIFEST}").first()["value"]
+
+
 def save_model(spark: SparkSession, model: ClusterModel, path: str) -> None:
-    """Write the model below ``path``, replacing what is there."""
+    """Write the model below ``path`` as a new version, then make it the current one.
+
+    A reader takes all tables of one version: of the model before until the last
+    step, of this one after it. The version before is left for readers that are
+    still at it; older ones, and those that were never finished, are removed.
+    """
+    folder, store = _store(spark, path)
+    before = current_version(spark, path) if store.exists(_store(spark, f"{path}/{MANIFEST}")[0]) else None
+    version = uuid.uuid4().hex
     for name, table in model_tables(spark, model).items():
-        table.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+        table.coalesce(1).write.parquet(f"{path}/version={version}/{name}")
+    _commit(spark, path, version)
+    for status in store.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and name not in (f"version={version}", f"version={before}"):
+            store.delete(status.getPath(), True)
 
 
 def load_model(spark: SparkSession, path: str) -> ClusterModel:
-    """Read a saved model."""
+    """Read the current version of a saved model."""
+    path = f"{path}/version={current_version(spark, path)}"
     centers = spark.read.schema(CENTERS).parquet(f"{path}/centers").orderBy("cluster").collect()
     stats = spark.read.schema(STATS).parquet(f"{path}/feature_stats").orderBy("pos").collect()
     meta = spark.read.schema(META).parquet(f"{path}/model_meta").first()
