@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.queries import (
     CATALOG_FEATURES,
+    DEEP,
     EMBEDDING_DIM,
     FIRST_YEAR,
     K,
@@ -267,6 +268,13 @@ ORACLE = {
 SELECT year, rank, o_orderkey, o_orderpriority, o_custkey, c_name,
        round(o_totalprice, 4) AS o_totalprice
 FROM top_orders JOIN customer ON o_custkey = c_custkey""",
+    "top_items_deep": f"""SELECT year, rank, o_orderkey, o_custkey, round(o_totalprice, 4) AS o_totalprice FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY o_totalprice DESC, o_orderkey, o_orderpriority,
+    o_custkey) AS INTEGER) AS rank
+  FROM (SELECT DISTINCT o_orderkey, o_orderpriority, o_totalprice, o_custkey,
+               CAST(year(o_orderdate) // 10 * 10 AS INTEGER) AS year
+        FROM orders WHERE o_orderstatus <> 'P' AND year(o_orderdate) BETWEEN 1980 AND 2009))
+WHERE rank <= {DEEP}""",
     "top_groups_by_year": f"""WITH active AS (
   SELECT DISTINCT c_custkey, c_name, c_acctbal, CAST(year(o_orderdate) AS INTEGER) AS year
   FROM orders JOIN customer ON o_custkey = c_custkey
@@ -321,6 +329,8 @@ FROM files GROUP BY 1""",
     "file_inventory": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, true AS has_bytes, count(*) AS n_rows FROM {t}" for t in TABLES
     ),
+    "hidden_files": """SELECT '_x' AS folder, true AS has_bytes, count(*) AS n_files
+FROM (SELECT 1 FROM nation LIMIT 1) UNION ALL SELECT '.x', true, count(*) FROM (SELECT 1 FROM region LIMIT 1)""",
     "valid_items": f"""WITH {VALID}
 SELECT p_partkey, p_name, {_select(CATALOG_FEATURES)} FROM valid""",
     "feature_stats": f"WITH {VALID}\n"
@@ -393,6 +403,14 @@ UNION ALL """
     ),
     "clustered_scan": f"""WITH {SEED}
 {_catalog_values("assigned, seed WHERE cluster = seed_cluster")}""",
+    "clustered_csv_seed": f"""WITH {SEED}
+{_catalog_values("assigned, seed WHERE cluster = seed_cluster")}""",
+    "clustered_lookup": f"""WITH {ASSIGNED}
+SELECT 'id' AS how, p_partkey, cluster FROM assigned WHERE p_partkey = {SEED_ID}
+UNION ALL (SELECT 'title', p_partkey, cluster FROM assigned
+  WHERE contains(lower(p_name), lower('{SEED_TITLE}')) ORDER BY p_partkey LIMIT 1)
+UNION ALL (SELECT 'chance', p_partkey, cluster FROM assigned
+  ORDER BY md5('{RANDOM_SEED}:' || p_partkey), p_partkey LIMIT 1)""",
     "clustered_csv_scan": f"WITH {ASSIGNED}\n{_catalog_values('assigned')}",
     "title_search": f"""SELECT p_partkey, p_name FROM part
 WHERE contains(lower(p_name), lower('{SEED_TITLE}'))""",

@@ -25,6 +25,7 @@ from nearkin.sources.scratch import kept, scratch_path
 FIRST_YEAR, LAST_YEAR = 1996, 2000
 SPINE_YEARS = (1993, 2003)
 TOP = 10
+DEEP = 5000
 K = 10
 CATALOG_FEATURES = ["quantity", "price", "discount", "tax"]
 EMBEDDING_DIM = 64
@@ -118,6 +119,15 @@ def top_by_year_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def top_items_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five thousand places per decade, with every order twice."""
+    orders = orders_in(spark, sf_dir, 1980, 2009)
+    decade = (F.floor(F.col("year") / 10) * 10).cast("int")
+    twice = orders.withColumn("year", decade).withColumn("nth", F.explode(F.array(F.lit(1), F.lit(2)))).drop("nth")
+    ranked = ranking.top_songs(twice, 1980, 2000, DEEP, ORDERS)
+    return ranked.select("year", "rank", "o_orderkey", "o_custkey", _round("o_totalprice", 4))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The year documents of orders (as items) and customers (as makers)."""
     customers = active_customers(spark, sf_dir, *SPINE_YEARS)
@@ -345,6 +355,17 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.join(counts, "table_name", "left")
 
 
+def hidden_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables written under names that begin with ``_`` and ``.``, as they are listed."""
+    root = scratch_path(spark, "hidden")
+    for name, folder in (("nation", "_x"), ("region", ".x")):
+        table(spark, sf_dir, name).coalesce(1).write.parquet(f"{root}/{folder}")
+    files = items.list_files(spark, root, ".parquet")
+    folder = F.regexp_extract("path", r"/([^/]*)/[^/]*$", 1)
+    rows = files.select(folder.alias("folder"), (F.col("length") > 0).alias("has_bytes"))
+    return rows.groupBy("folder", "has_bytes").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 # --- features --------------------------------------------------------------
 
 
@@ -630,6 +651,31 @@ def clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inside.select("p_partkey", "p_name", "cluster", *CATALOG_FEATURES)
 
 
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part of the clustered table by its id, one by its name and one at random."""
+    rows = kept_catalog(spark, sf_dir)
+    path = scratch_path(spark, "clustered")
+    items.write_clustered(clusters.assign_items(rows, _start_model(rows)), path, item_id=CATALOG.id)
+    stored = items.read_clustered(spark, path)
+    by_id = seeds.find_seed(stored, item_id=SEED_ID, columns=CATALOG).select(F.lit("id").alias("how"), "p_partkey", "cluster")
+    by_name = seeds.find_seed(stored, title=SEED_TITLE, columns=CATALOG).select(F.lit("title").alias("how"), "p_partkey", "cluster")
+    chance = seeds.find_seed(stored, random_seed=RANDOM_SEED, columns=CATALOG)
+    return by_id.unionByName(by_name).unionByName(chance.select(F.lit("chance").alias("how"), "p_partkey", "cluster"))
+
+
+def clustered_csv_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clustered text, read in the cluster of the seed only."""
+    rows = kept_catalog(spark, sf_dir)
+    model = _start_model(rows)
+    assigned = clusters.assign_items(rows, model)
+    path = scratch_path(spark, "clustered_csv")
+    items.write_clustered(assigned, path, format="csv")
+    back = items.read_clustered(spark, path, "csv", assigned.schema)
+    seed = recommend.seed_row(seeds.find_by_title(assigned, SEED_TITLE, CATALOG), model, CATALOG)
+    inside = back.filter(F.col("cluster") == seed["cluster"])
+    return inside.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "cluster", *CATALOG_FEATURES)
+
+
 def clustered_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as delimited text, all clusters."""
     rows = kept_catalog(spark, sf_dir)
@@ -746,14 +792,14 @@ def nearest_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        top_items_by_year, top_groups_by_year, top_by_year_spine, top_by_year_document,
+        top_items_by_year, top_groups_by_year, top_items_deep, top_by_year_spine, top_by_year_document,
         top_by_year_json, display_items, csv_roundtrip, csv_data_rows, csv_table_roundtrip,
-        safe_casts, clean_bytes, zip_records, ingest_limit, ingest_status, file_inventory,
+        safe_casts, clean_bytes, zip_records, ingest_limit, ingest_status, file_inventory, hidden_files,
         valid_items, feature_stats, zscore, assign_nearest, wssse, cluster_sizes, assign_items,
         lloyd_steps, cluster_report, kmeans_fit, model_tables, clustered_scan,
         nearest_of_any_vector, batch_of_all, batch_of_all_near, batch_deep, renamed_batch, extract_limited,
         clustered_text, recommend_json, cluster_order,
-        clustered_csv_scan, title_search, find_by_title, find_by_id, find_random,
+        clustered_csv_scan, clustered_csv_seed, clustered_lookup, title_search, find_by_title, find_by_id, find_random,
         recommend_euclidean, recommend_book, recommend_document, item_distances,
         candidate_counts, recommend_batch, nearest_embeddings,
     )

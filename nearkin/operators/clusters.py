@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.functions import vectors
@@ -86,14 +86,31 @@ def centers_table(spark: SparkSession, model: ClusterModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
-def cluster_report(assigned: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:
-    """Per cluster, in order: size and center, the center rounded to 3 digits."""
-    centers = centers_table(assigned.sparkSession, model).select(
+def report_of_sizes(sizes: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:
+    """:func:`cluster_report` for sizes that are known."""
+    centers = centers_table(sizes.sparkSession, model).select(
         F.col("cluster").alias(cluster),
         F.transform("center", lambda x: F.round(x, 3)).alias("center"),
     )
     # Both sides have at most k rows.
-    return cluster_sizes(assigned, cluster).join(F.broadcast(centers), cluster).orderBy(cluster)
+    return sizes.join(F.broadcast(centers), cluster).orderBy(cluster)
+
+
+def cluster_report(assigned: DataFrame, model: ClusterModel, cluster: str = "cluster") -> DataFrame:
+    """Per cluster, in order: size and center, the center rounded to 3 digits."""
+    return report_of_sizes(cluster_sizes(assigned, cluster), model, cluster)
+
+
+def assign_observed(
+    df: DataFrame, model: ClusterModel, observation: Observation, cluster: str = "cluster"
+) -> DataFrame:
+    """:func:`assign_items`; whoever reads the rows also takes ``cost`` and the sizes ``n0``, ``n1``, ..."""
+    names, cost = z_names(model.stats), vectors.unused(df, "_cost")
+    placed = with_point(valid_items(df, model.features), model.stats)
+    nearest = vectors.nearest_center(_entries(names), model.centers)
+    split = placed.select(*[F.col(vectors.quoted(c)) for c in df.columns], F.inline(F.array(nearest)).alias(cost, cluster))
+    sizes = [F.count_if(F.col(cluster) == i).alias(f"n{i}") for i in range(len(model.centers))]
+    return split.observe(observation, F.sum(cost).alias("cost"), *sizes).drop(cost)
 
 
 def fit_kmeans(
@@ -102,10 +119,11 @@ def fit_kmeans(
     k: int = DEFAULT_K,
     max_iter: int = DEFAULT_MAX_ITER,
     seed: int = DEFAULT_SEED,
+    with_cost: bool = True,
 ) -> ClusterModel:
     """Train K-Means on the z-scores of the valid items.
 
-    The cost is taken against the final centers. The centers depend on how the
+    The cost is taken against the final centers, if it is asked for. The centers depend on how the
     input is partitioned as well as on the seed. The table is read once: the
     valid feature columns are kept for statistics, training and cost.
     """
@@ -121,7 +139,7 @@ def fit_kmeans(
         )
         trained = trainer.fit(placed.select(array_to_vector(F.array(*names)).alias("point")))
         centers = tuple(tuple(map(float, c)) for c in trained.clusterCenters())
-        wssse = total_cost(placed, names, centers).first()["wssse"]
+        wssse = total_cost(placed, names, centers).first()["wssse"] if with_cost else math.nan
     finally:
         valid.unpersist()
     return ClusterModel(stats, centers, k, float(wssse), stats.n)

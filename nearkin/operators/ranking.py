@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.functions import casts
-from nearkin.functions.vectors import unused
+from nearkin.functions.vectors import quoted, unused
 from nearkin.schema import DEFAULT_TOP, DEFAULT_YEARS, SONGS, ItemColumns
 
 
@@ -39,18 +39,68 @@ def song_rows(df: DataFrame, columns: ItemColumns = SONGS) -> DataFrame:
     )
 
 
-def top_distinct(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFrame:
+# The planner keeps the first rows of a window before a shuffle up to this rank.
+WINDOW_LIMIT = 1000
+# Bins of the popularity histogram: the upper half of a group, the upper quarter, ...
+HALVINGS = 13
+BITMAP_BITS = 1 << 15
+
+
+def popularity_cut(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
+    """group, _least: a value at or above which the group surely has ``n`` distinct rows.
+
+    A histogram from above: the bins of a group end at its median, its upper quarter,
+    eighth and so on. The distinct rows of a bin are counted by a bitmap of their
+    hashes, made in the tasks; two rows on one bit count as one, so there are never
+    fewer than counted. Groups with fewer than ``n`` rows counted have no row here.
+    A task sends a bitmap of 4 KB at most per group and bin, and as many times that
+    as ``n`` fills.
+    """
+    fractions = ", ".join(str(1.0 - 2.0**-k) for k in range(HALVINGS + 1))
+    edges = F.expr(f"percentile_approx({quoted(value)}, array({fractions}), {1 << (HALVINGS + 1)})")
+    # One row per group; groups are the years asked for.
+    cuts = F.broadcast(df.groupBy(F.col(group).alias("_of")).agg(edges.alias("_edges")))
+    names = [F.col(quoted(name)) for name in df.columns]
+    place = F.pmod(F.xxhash64(*names), F.lit(BITMAP_BITS * -(-4 * n // BITMAP_BITS)))
+    hashed = df.select(F.col(group), F.col(value).alias("_value"), place.alias("_place"))
+    joined = hashed.join(cuts, F.col(group).eqNullSafe(F.col("_of")))
+    bin_of = sum((F.col("_value") >= F.get("_edges", F.lit(k))).cast("int") for k in range(HALVINGS + 1))
+    binned = joined.select("_of", "_edges", bin_of.alias("_bin"), "_place").filter(F.col("_bin") > 0)
+    bits = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_place")))
+    counted = binned.groupBy("_of", "_edges", "_bin", F.bitmap_bucket_number("_place")).agg(bits.alias("_n"))
+    sums = counted.groupBy("_of", "_edges", "_bin").agg(F.sum("_n").alias("_n"))
+    above = F.sum("_n").over(W.partitionBy("_of").orderBy(F.desc("_bin")))
+    enough = sums.withColumn("_above", above).filter(F.col("_above") >= n)
+    return enough.groupBy("_of").agg(F.max(F.get("_edges", F.col("_bin") - 1)).alias("_least"))
+
+
+def above_cut(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
+    """The rows that can be among the first ``n`` distinct ones of their group by ``value``."""
+    cuts = F.broadcast(popularity_cut(df, group, value, n))
+    joined = df.join(cuts, F.col(group).eqNullSafe(F.col("_of")), "left")
+    return joined.filter(F.col("_least").isNull() | (F.col(value) >= F.col("_least"))).select(*df.columns)
+
+
+def top_distinct(
+    df: DataFrame, group: str, order: Sequence[Column], n: int, value: str | None = None
+) -> DataFrame:
     """The first ``n`` distinct rows of every group, with ``rank`` from 1.
 
     ``order`` must cover all columns but ``group``, so that equal places in the
-    order are equal rows.
+    order are equal rows. ``value`` is the column that comes first in it, downwards,
+    if that is a number.
 
-    Every input partition first keeps its own first ``n`` distinct rows per
+    Up to ``WINDOW_LIMIT`` places the planner cuts before the shuffle; beyond it,
+    rows below :func:`popularity_cut` go first. Every input partition first keeps its own first ``n`` distinct rows per
     group (dense rank, before any shuffle). What is left meets per group and
     slice of input partitions, so that neither a group with a third of all rows
     nor a row with that many copies lands in one task. Copies are dropped then,
     and the last ranking sees at most slices x n rows per group.
     """
+    if n > WINDOW_LIMIT and value is not None:
+        overall = W.partitionBy(group).orderBy(*order)
+        few = above_cut(df, group, value, n).distinct()
+        return few.withColumn("rank", F.row_number().over(overall)).filter(F.col("rank") <= n)
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part, place = unused(df, "_slice"), unused(df, "_place")
     sliced = df.withColumn(part, F.pmod(F.spark_partition_id(), F.lit(slices)))
@@ -77,7 +127,7 @@ def top_artists(
     rows = artist_rows(in_years(popular, columns.year, first, last), columns)
     popularity = F.col(columns.maker_popularity)
     order = [popularity.desc(), F.col(columns.maker_id), F.col(columns.maker_name)]
-    return top_distinct(rows, columns.year, order, n)
+    return top_distinct(rows, columns.year, order, n, columns.maker_popularity)
 
 
 def top_songs(
@@ -96,7 +146,7 @@ def top_songs(
         F.col(columns.name),
         F.col(columns.maker_name),
     ]
-    return top_distinct(rows, columns.year, order, n)
+    return top_distinct(rows, columns.year, order, n, columns.popularity)
 
 
 def top_by_year(

@@ -5,6 +5,7 @@ Each takes a SparkSession and any URI Spark can open.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -101,16 +102,26 @@ def cluster(
 
     Delimited text is written with the fields as they were read, parquet with
     their types. A target that exists is an error before anything is read.
+
+    The text is parsed once; its rows are kept in memory and on the executors' disks
+    between training and assignment. Cost and sizes are taken from the rows on their
+    way to the files. The model is saved after them.
     """
     items.refuse_existing(spark, output, overwrite)
-    texts = items.parse_lines(spark.read.text(source), SONG_SCHEMA)
-    model = clusters.fit_kmeans(items.typed(texts, SONG_SCHEMA, features), features, k, max_iter, seed)
-    rows = texts if format == "csv" else items.typed(texts, SONG_SCHEMA, features)
-    assigned = clusters.assign_items(rows, model).select(*SONG_SCHEMA.fieldNames(), SONGS.cluster)
-    items.write_clustered(assigned, output, overwrite, format)
+    texts = items.parse_lines(spark.read.text(source), SONG_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        typed = items.typed(texts, SONG_SCHEMA, features)
+        model = clusters.fit_kmeans(typed, features, k, max_iter, seed, with_cost=False)
+        seen = Observation()
+        assigned = clusters.assign_observed(texts if format == "csv" else typed, model, seen)
+        items.write_clustered(assigned.select(*SONG_SCHEMA.fieldNames(), SONGS.cluster), output, overwrite, format)
+        found = seen.get
+    finally:
+        texts.unpersist()
+    model = dataclasses.replace(model, wssse=float(found["cost"]))
     models.save_model(spark, model, model_path)
-    written = items.read_clustered(spark, output, format)
-    return clusters.cluster_report(written, model)
+    sizes = [(i, found[f"n{i}"]) for i in range(len(model.centers)) if found[f"n{i}"]]
+    return clusters.report_of_sizes(spark.createDataFrame(sizes, "cluster int, n_items long"), model)
 
 
 def similar(
