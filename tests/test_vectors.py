@@ -117,7 +117,7 @@ def test_nearest_is_the_first_smallest(spark, data, d, k):
         assert (r["n"]["cost"], r["n"]["cluster"]) == (min(costs), costs.index(min(costs)))
 
 
-def test_wide_points_take_the_arrow_form_with_the_same_result(spark):
+def test_wide_points_take_the_fold_with_the_same_result(spark):
     rnd = np.random.default_rng(1)
     points, centers = rnd.normal(size=(300, 40)), rnd.normal(size=(12, 40))
     centers[7] = centers[2]
