@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -91,6 +93,18 @@ SELECT doc, string_agg(letters, '' ORDER BY pos) AS decoded
 FROM ids JOIN vocabulary USING (id) GROUP BY doc"""
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> re.Pattern:
+    """One character that this Python's Unicode does not assign."""
+    points = [p for p in range(sys.maxunicode + 1) if unicodedata.category(chr(p)) == "Cn"]
+    ends = [i for i in range(len(points)) if i + 1 == len(points) or points[i + 1] != points[i] + 1]
+    ranges, first = [], 0
+    for end in ends:
+        ranges.append(f"{re.escape(chr(points[first]))}-{re.escape(chr(points[end]))}")
+        first = end + 1
+    return re.compile(f"[{''.join(ranges)}]")
+
+
 @lru_cache(maxsize=100_000)
 def stand_in(letter: str, pattern: str) -> str:
     """A letter, a digit or a sign, whichever the library joins the character to."""
@@ -119,7 +133,7 @@ class Codec:
         import duckdb
 
         self.ranks = read_ranks(path)
-        self.find, self.pattern = regex.compile(pattern), pattern
+        self.find, self.pattern, self.unassigned = regex.compile(pattern), pattern, unassigned()
         self.words = Memo(self._unknown, KEPT_WORDS)
         self.chunks = Memo(self._unknown, KEPT_WORDS, check=True)
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -164,9 +178,9 @@ class Codec:
     def pieces(self, chunk: str) -> list[str]:
         """The matches of the pattern. For characters that this Python's Unicode does
         not assign, stand-ins of the class that the library gives them are matched."""
-        if chunk.isascii():
+        if chunk.isascii() or not self.unassigned.search(chunk):
             return self.find.findall(chunk)
-        known = "".join(stand_in(c, self.pattern) if unicodedata.category(c) == "Cn" else c for c in chunk)
+        known = self.unassigned.sub(lambda found: stand_in(found[0], self.pattern), chunk)
         return [chunk[m.start() : m.end()] for m in self.find.finditer(known)]
 
     def _contract(self, words: list[bytes], query: str) -> list[bytes]:
