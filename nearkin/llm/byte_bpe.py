@@ -93,6 +93,10 @@ SELECT doc, string_agg(letters, '' ORDER BY pos) AS decoded
 FROM ids JOIN vocabulary USING (id) GROUP BY doc"""
 
 
+# Characters outside these ranges, in which every character is assigned, are looked at one by one.
+_SURE = re.compile("[^\x00-\u0377\u0400-\u052f\u2010-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]")
+
+
 @lru_cache(maxsize=1)
 def unassigned() -> re.Pattern:
     """One character that this Python's Unicode does not assign."""
@@ -134,6 +138,9 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.find, self.pattern, self.unassigned = regex.compile(pattern), pattern, unassigned()
+        # Letters alone, or with a blank in front, are one pre-token.
+        first = [way for way in pattern.split("|") if not way.startswith("'")][0]
+        self.letters_are_one = first == r" ?\p{L}+"
         self.words = Memo(self._unknown, KEPT_WORDS)
         self.chunks = Memo(self._unknown, KEPT_WORDS, check=True)
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -178,7 +185,11 @@ class Codec:
     def pieces(self, chunk: str) -> list[str]:
         """The matches of the pattern. For characters that this Python's Unicode does
         not assign, stand-ins of the class that the library gives them are matched."""
-        if chunk.isascii() or not self.unassigned.search(chunk):
+        if chunk.isascii():
+            if self.letters_are_one and (chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha())):
+                return [chunk]
+            return self.find.findall(chunk)
+        if not _SURE.search(chunk) or not self.unassigned.search(chunk):
             return self.find.findall(chunk)
         known = self.unassigned.sub(lambda found: stand_in(found[0], self.pattern), chunk)
         return [chunk[m.start() : m.end()] for m in self.find.finditer(known)]
@@ -228,22 +239,27 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, packed as little-endian 32-bit integers."""
-        cut, wanted = [], set()
+        cut: list[list[str]] = []
+        own: list[set[str]] = []
         for text in texts:
-            chunks = []
-            if text:
-                try:
-                    chunks = fast_chunks(text)
-                    if not all(map(self._known_or_regular, set(chunks))):
-                        raise Irregular
-                except Irregular:
-                    chunks = safe_chunks(text)
-            cut.append(chunks)
-            wanted.update(chunks)
-        values = {chunk: self._kept(self.chunks, chunk) for chunk in wanted}
+            try:
+                cut.append(fast_chunks(text) if text else [])
+                own.append(set(cut[-1]))
+            except Irregular:
+                cut.append(safe_chunks(text))
+                own.append(set())
+        known, before = self.chunks.get, self.chunks.old.get
+        odd = {c for c in set().union(*own) if known(c) is None and not is_regular(c)}
+        for i, chunks in enumerate(own):
+            if not odd.isdisjoint(chunks):
+                cut[i] = safe_chunks(texts[i])
+        wanted = set().union(*cut)
+        # The ids of a chunk are never empty.
+        values = {chunk: known(chunk) or before(chunk) for chunk in wanted}
         missing = {chunk: self.pieces(chunk) for chunk, value in values.items() if value is None}
         pieces = {piece for found in missing.values() for piece in found}
-        words = {piece: self._kept(self.words, piece) for piece in pieces}
+        known, before = self.words.get, self.words.old.get
+        words = {piece: known(piece) or before(piece) for piece in pieces}
         new = self.encode_words([word for word, value in words.items() if value is None])
         words.update(new)
         for word, value in new.items():
@@ -254,14 +270,6 @@ class Codec:
                 self.chunks.keep(chunk, values[chunk])
         return [b"".join(map(values.__getitem__, chunks)) for chunks in cut]
 
-    def _known_or_regular(self, chunk: str) -> bool:
-        return chunk in self.chunks or is_regular(chunk)
-
-    @staticmethod
-    def _kept(memo: Memo, key: str):
-        value = memo.get(key)
-        return memo.old.get(key) if value is None else value
-
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """The bytes of each sequence of ids."""
         result = []

@@ -155,3 +155,16 @@ def test_orc_files(spark, rows, library, tmp_path):
     files = spark.read.orc(target).select(F.input_file_name().alias("f"), "doc_id").groupBy("f")
     spans = sorted((r["a"], r["b"]) for r in files.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).collect())
     assert all(before[1] <= after[0] for before, after in zip(spans, spans[1:], strict=False))
+
+
+def test_sure_characters_are_assigned():
+    import sys
+    import unicodedata
+
+    from nearkin.llm import byte_bpe
+
+    found = byte_bpe.unassigned()
+    for point in range(sys.maxunicode + 1):
+        letter = chr(point)
+        assert bool(found.match(letter)) == (unicodedata.category(letter) == "Cn")
+        assert byte_bpe._SURE.match(letter) or not found.match(letter)
