@@ -249,7 +249,8 @@ class Codec:
                 cut.append(safe_chunks(text))
                 own.append(set())
         known, before = self.chunks.get, self.chunks.old.get
-        odd = {c for c in set().union(*own) if known(c) is None and not is_regular(c)}
+        every = set().union(*own)
+        odd = {c for c in every if known(c) is None and not is_regular(c)}
         for i, chunks in enumerate(own):
             if not odd.isdisjoint(chunks):
                 cut[i] = safe_chunks(texts[i])
@@ -265,8 +266,8 @@ class Codec:
         for word, value in new.items():
             self.words.keep(word, value)
         for chunk, found in missing.items():
-            values[chunk] = b"".join([words[piece] for piece in found])
-            if is_regular(chunk):
+            values[chunk] = words[found[0]] if len(found) == 1 else b"".join([words[piece] for piece in found])
+            if (chunk in every and chunk not in odd) or is_regular(chunk):
                 self.chunks.keep(chunk, values[chunk])
         return [b"".join(map(values.__getitem__, chunks)) for chunks in cut]
 

@@ -70,7 +70,11 @@ def encode_sorted(
 def write_tokens(
     docs: DataFrame, target: str, path: str, pattern: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
 ) -> None:
-    """Write the ids of all texts as ORC files below ``target``, which must not exist."""
+    """Write the ids of all texts as ORC files below ``target``, which must not exist.
+
+    One file per partition, whatever limit of records the session sets for files:
+    the places in a file are counted from its partition's start.
+    """
     encoded = encode_sorted(docs, path, pattern, end_id, doc_id, text)
     options = {
         "compression": "zstd",
@@ -79,6 +83,7 @@ def write_tokens(
         "orc.row.index.stride": str(ROW_GROUP),
         "orc.bloom.filter.columns": "doc_id",
         "orc.bloom.filter.fpp": str(BLOOM_FPP),
+        "maxRecordsPerFile": "0",
     }
     encoded.write.options(**options).orc(target)
 

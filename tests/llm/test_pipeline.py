@@ -20,7 +20,7 @@ def connection():
 def test_everything_is_registered():
     names = set(contract.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(contract.oracle_sql()) <= names
 
 
@@ -68,10 +68,12 @@ def test_odd_rows_pass(spark):
     odd = spark.createDataFrame(
         [(900_001, None, None, None, None), (900_001, None, None, None, None), (None, "", "en", "s", 0)], given.schema
     )
-    table = odd.withColumn("score", F.lit("clash"))
+    clashing = ["score", "nth", "kept", "_nth", "_kept"]
+    table = odd.select("*", *[F.lit("mine").alias(name) for name in clashing])
     for _, stage in corpus_pipeline.STAGES[1:-1]:
         table = spark.createDataFrame(stage(spark, table, SF_DIR).collect(), table.schema)
         assert {r["doc_id"] for r in table.collect()} == {900_001, None}
+        assert {r[name] for r in table.collect() for name in clashing} == {"mine"}
     assert table.count() == 2
     scored = corpus_pipeline.quality(spark, given.withColumn("score", F.lit("clash")), SF_DIR)
     assert scored.columns == [*given.columns, "score"] and scored.count() > 0

@@ -138,7 +138,11 @@ def test_orc_files(spark, rows, library, tmp_path):
     known = [r for r in rows if r[0] is not None]
     docs = table(spark, known).repartition(4)
     target = str(tmp_path / "ids")
-    orc_tokens.write_tokens(docs, target, JSON, PATTERN, end_id=2)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)  # places count on a file per partition
+    try:
+        orc_tokens.write_tokens(docs, target, JSON, PATTERN, end_id=2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     got = sorted(map(tuple, orc_tokens.token_places(spark, target).collect()))
     start, expected = 0, []
     for doc_id, text in sorted(known, key=lambda r: (r[0], r[1] or "")):
