@@ -22,14 +22,19 @@ from nearkin.llm.common import documents, kept, shared_folder
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have; columns of any name may come along."""
+    while name in {column.lower() for column in docs.columns}:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at its limit or above."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     learn = quality_classifier.fold(F.col("doc_id"), quality_classifier.FOLDS) != quality_classifier.HELD_OUT
     rows = quality_classifier.training_rows(docs, labels, "quality", learn, quality_classifier.TRAIN_ROWS)
-    name = "score"
-    while name in {column.lower() for column in docs.columns}:
-        name += "_"
+    name = free_name(docs, "score")
     scored = quality_classifier.scored(docs, quality_classifier.fit(rows), score=name)
     return scored.filter(F.col(name) >= quality_classifier.LIMIT).drop(name)
 
@@ -38,16 +43,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of every group of linked documents the one with the smallest id."""
     linked = jaccard_join.linked(docs)
     losers = kept(linked.filter("component_id <> doc_id").select("doc_id").distinct())
+    nth = free_name(docs, "nth")
     first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    left = docs.join(losers, "doc_id", "left_anti").withColumn("_nth", first)
-    return left.filter((F.col("_nth") == 1) | F.col("doc_id").isNull()).select(*docs.columns)
+    left = docs.join(losers, "doc_id", "left_anti").withColumn(nth, first)
+    return left.filter((F.col(nth) == 1) | F.col("doc_id").isNull()).drop(nth)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stretches of words that also occur earlier are cut out; texts without any stay as they are."""
-    removed = block_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", F.col("kept").alias("_kept"))
-    text = F.coalesce("_kept", "text")
-    changed = F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(F.col("n_chars"))
+    left = free_name(docs, "kept")
+    removed = block_dedup.remove_repeats(docs).filter("n_removed > 0").select("doc_id", F.col("kept").alias(left))
+    text = F.coalesce(left, "text")
+    changed = F.when(F.col(left).isNotNull(), F.length(left).cast("long")).otherwise(F.col("n_chars"))
     joined = docs.join(removed, "doc_id", "left")
     columns = {"text": text.alias("text"), "n_chars": changed.alias("n_chars")}
     return joined.select(*[columns.get(name, F.col(name)) for name in docs.columns])
