@@ -18,9 +18,14 @@ segment per shingle.
 Candidates are verified on the whole sets. Sets that are equal are one class from
 the start. Where a subset is shared by few sets, they are paired; where by many,
 each with the first of them, and the members are kept aside: as long as such a
-group still lies in several components, sets of different components are paired
+group still lies in several components, sets of different components are compared
 by their distance in the order of size, in steps that grow. So a large group of
 near copies costs about one pair each, and no link between components is lost.
+What is compared first are sketches, a bit string per set as long as the set, of
+which every shingle flips one bit: two sets differ in at least as many shingles as
+their sketches in bits, so that unlike sets are told apart there for certain, and
+only what is left becomes a pair. A large group meets in blocks of ``TOGETHER``
+members, a block of it with itself or with another.
 
 Texts are dealt into groups by document id; subsets cross the cluster as packed,
 sorted keys, distinct per group, to buckets of the key space.
@@ -29,11 +34,13 @@ Defined results: a NULL or empty text has no shingles and its own component; a
 text with fewer words than a shingle is one shingle; rows with one id share a
 component, that of the one with the least set; a NULL id takes part in no link
 and has a NULL component; an empty table gives an empty result; other columns are
-ignored. Shingles are compared by 64-bit hashes.
+ignored. Shingles are compared by 64-bit hashes of their words' hashes, which for
+long words include a second one modulo two primes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -47,7 +54,7 @@ from nearkin.llm.common import kept, shuffles, slices, utf8
 from nearkin.llm.repeats import edges
 
 WORDS, PERCENT = 5, 75
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
 KEYS_PER_BUCKET = 2_000_000
 SPREAD = 2
@@ -55,11 +62,16 @@ SMALL_BAND = 5
 BANDS = 48
 IMPOSSIBLE = 2**31 - 1
 SMALL_GROUP = 4
-FURTHER = 16
-TOGETHER = 200_000
+FURTHER = 64
+TOGETHER = 10_000
+PACKED_MEMBERS = 4096
+JUDGED_AT_ONCE = 500_000
+GATHERED_WORDS = 2_000_000
 
 _SEEDS = np.random.default_rng(77).integers(1, 2**63, BANDS + 1, np.uint64)
-_ELEMENT, _SEGMENT, _DELETED = (np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x632BE59BD9B4E019))
+_ELEMENT, _SEGMENT, _DELETED, _SKETCH = (
+    np.uint64(x) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x632BE59BD9B4E019, 0x2545F4914F6CDD1D)
+)
 
 
 # --- sets -------------------------------------------------------------------
@@ -69,7 +81,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple
     """The distinct shingle hashes of each text, ascending, and their n + 1 offsets."""
     data = ta.lowered(data)
     starts, ends, bounds = ta.words(data, offsets)
-    rolling = ta.Rolling(ta.word_hashes(data, starts, ends))
+    rolling = ta.Rolling(ta.safe_word_hashes(data, starts, ends))
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - n + 1, 0))
     counts = np.maximum(sizes - n + 1, 0)
@@ -96,6 +108,54 @@ def signatures(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return a.view(np.int64), b.view(np.int64)
 
 
+def sketches(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set a string of bits, more than it has shingles and 64 at least: whether an odd number of them falls on each."""
+    sizes = np.diff(bounds)
+    bits = np.int64(1) << np.maximum(np.frexp(sizes.astype(np.float64))[1], 6).astype(np.int64)
+    ends = np.cumsum(bits)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = (ta.mixed(sets ^ _SKETCH) & (bits - 1).astype(np.uint64)[owner]).astype(np.int64) + (ends - bits)[owner]
+    odd = np.bincount(place, minlength=int(bits.sum())) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - b) >> 3 : e >> 3] for e, b in zip(ends.tolist(), bits.tolist(), strict=True)]
+
+
+class Sketches:
+    """The sketches of some nodes, by place among them; longer ones fold to the length of shorter ones."""
+
+    def __init__(self, nodes: np.ndarray, known: pa.Table):
+        packed = dict(zip(known["known"].to_pylist(), known["sketch"].to_pylist(), strict=True))
+        held = [packed[node] for node in nodes.tolist()]
+        self.length = np.fromiter(map(len, held), np.int64, len(held)) >> 3
+        self.row = np.zeros(len(held), np.int64)
+        self.words = {}
+        for length in np.unique(self.length).tolist():
+            own = np.flatnonzero(self.length == length)
+            self.row[own] = np.arange(len(own))
+            joined = b"".join(held[at] for at in own.tolist())
+            self.words[length] = np.frombuffer(joined, "<u8").reshape(len(own), length)
+
+    def _folded(self, places: np.ndarray, own: int, length: int) -> np.ndarray:
+        found = self.words[own][self.row[places]]
+        while found.shape[1] > length:
+            half = found.shape[1] // 2
+            found = found[:, :half] ^ found[:, half:]
+        return found
+
+    def differences(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The number of bits in which the sketches of each pair of places differ."""
+        found = np.zeros(len(x), np.int64)
+        lengths = np.stack([self.length[x], self.length[y]])
+        for a, b in np.unique(lengths, axis=1).T.tolist():
+            pairs = np.flatnonzero((lengths[0] == a) & (lengths[1] == b))
+            at_once = max(1, GATHERED_WORDS // max(a, b))
+            for start in range(0, len(pairs), at_once):
+                some = pairs[start : start + at_once]
+                unlike = self._folded(x[some], a, min(a, b)) ^ self._folded(y[some], b, min(a, b))
+                found[some] = np.bitwise_count(unlike).sum(axis=1, dtype=np.int64)
+        return found
+
+
 # --- segments ---------------------------------------------------------------
 
 
@@ -281,16 +341,27 @@ def _count_buckets(cells: pa.Table) -> pa.Table:
     )
 
 
-_PAIRS = "x long, y long, members binary"
+_PAIRS = "x long, y long, name binary, first long, members binary"
+
 
+def _packed_group(nodes: np.ndarray, sizes: np.ndarray, flags: np.ndarray) -> Iterator[tuple[bytes, int, bytes]]:
+    """(name, place of the first, members) of slices of a group; equal groups have equal names."""
+    name = hashlib.blake2b(nodes.tobytes() + flags.tobytes(), digest_size=16).digest()
+    for first in range(0, len(nodes), PACKED_MEMBERS):
+        some = slice(first, first + PACKED_MEMBERS)
+        yield name, first, nodes[some].tobytes() + sizes[some].tobytes() + flags[some].tobytes()
 
-def _pair_table(x: np.ndarray, y: np.ndarray, groups: list[bytes]) -> pa.Table:
+
+def _pair_table(x: np.ndarray, y: np.ndarray, groups: list[tuple[bytes, int, bytes]]) -> pa.Table:
     n, k = len(x), len(groups)
+    names, firsts, members = zip(*groups, strict=True) if groups else ((), (), ())
     return pa.table(
         {
             "x": pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(k, pa.int64())]),
             "y": pa.concat_arrays([pa.array(y, pa.int64()), pa.nulls(k, pa.int64())]),
-            "members": pa.array([None] * n + groups, pa.binary()),
+            "name": pa.array([None] * n + list(names), pa.binary()),
+            "first": pa.array([None] * n + list(firsts), pa.int64()),
+            "members": pa.array([None] * n + list(members), pa.binary()),
         }
     )
 
@@ -335,16 +406,15 @@ def _match_buckets(cells: pa.Table, percent: int) -> pa.Table:
         ys.append(doc[y][wanted])
     x, y = np.concatenate(xs), np.concatenate(ys)
     pairs = np.unique(np.stack([x, y]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
-    groups: dict[bytes, bytes] = {}
+    groups: dict[bytes, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     probing = np.logical_or.reduceat(probe, start) if len(start) else np.zeros(0, bool)
     for at in np.flatnonzero((count > SMALL_GROUP) & probing).tolist():
         members = slice(start[at], start[at] + count[at])
         by_size = np.lexsort((doc[members], size[members]))
-        name, flags = doc[members][by_size].tobytes(), probe[members][by_size]
-        if name in groups:
-            flags = flags | np.frombuffer(groups[name], bool, offset=2 * len(name))
-        groups[name] = name + size[members][by_size].tobytes() + flags.tobytes()
-    return _pair_table(pairs[0], pairs[1], list(groups.values()))
+        nodes, flags = doc[members][by_size], probe[members][by_size]
+        same = groups.get(nodes.tobytes())
+        groups[nodes.tobytes()] = nodes, size[members][by_size], flags if same is None else flags | same[2]
+    return _pair_table(pairs[0], pairs[1], [row for group in groups.values() for row in _packed_group(*group)])
 
 
 def _verify(rows: pa.Table, percent: int) -> pa.Table:
@@ -534,23 +604,30 @@ def linked(
     matched = kept(sent.groupBy("bucket").applyInArrow(lambda t: _match_buckets(t, percent), _PAIRS))
 
     pairs = matched.filter("x IS NOT NULL").select("x", "y").distinct()
-    groups = matched.filter("members IS NOT NULL").select("members").distinct()
+    groups = kept(_unpacked_groups(matched.filter("members IS NOT NULL").select("name", "first", "members").distinct()))
 
     def pack_sets(docs: pa.Table, wanted: pa.Table) -> pa.Table:
-        ids, packed = [], []
+        ids, packed, sketched = [], [], []
         if len(docs) and len(wanted):
             for doc_ids, found, bounds in group_sets(docs, wanted["doc_id"].to_numpy(), words):
                 ids += doc_ids.tolist()
                 packed += [ta.pack_sorted(found[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "packed": pa.array(packed, pa.binary())})
+                sketched += sketches(found, bounds)
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "packed": pa.array(packed, pa.binary()),
+                "sketch": pa.array(sketched, pa.binary()),
+            }
+        )
 
     # The sets of all documents that share a subset with another, written once.
     involved = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).unionByName(
-        _unpacked_groups(groups).select(F.col("node").alias("doc_id"))
+        groups.select(F.col("node").alias("doc_id"))
     )
     involved = involved.distinct().select(g, "doc_id")
-    found_sets = grouped.groupBy("g").cogroup(involved.groupBy("g")).applyInArrow(pack_sets, "doc_id long, packed binary")
-    packed_sets = kept(found_sets)
+    found_sets = grouped.groupBy("g").cogroup(involved.groupBy("g"))
+    packed_sets = kept(found_sets.applyInArrow(pack_sets, "doc_id long, packed binary, sketch binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) that are links; the sets travel, x's once per bucket of pairs."""
@@ -561,15 +638,16 @@ def linked(
         return bucketed.groupBy("bucket").applyInArrow(lambda t: _verify(t, percent), "x long, y long")
 
     found = components(verified(pairs))
+    sketched = packed_sets.select(F.col("doc_id").alias("node"), "sketch")
     step = 1
     while True:
-        groups, pairs = _further_pairs(groups, found, step, percent)
-        if groups is None:
+        groups = _opened(groups, found, step)
+        if groups.isEmpty():
             break
+        pairs = kept(_further_pairs(groups, sketched, step, percent))
         step *= FURTHER
-        if pairs.isEmpty():
-            continue
-        found = joined_components(found, verified(pairs))
+        if not pairs.isEmpty():
+            found = joined_components(found, verified(pairs))
 
     placed = members.join(found, members["rep"] == found["node"], "left")
     placed = placed.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
@@ -599,77 +677,122 @@ def _own_ids(replies: pa.Table) -> np.ndarray:
     return np.zeros(0, np.int64)
 
 
-def _further_pairs(groups: DataFrame, found: DataFrame, step: int, percent: int):
-    """The groups that lie in several components, and their pairs of different
-    components that are ``step`` to ``FURTHER * step - 1`` places apart in the order of size.
+_MEMBER = ("name", "at", "node", "size", "probe")
 
-    (None, None) when no group is left or none reaches that far.
-    """
-    rows = kept(_unpacked_groups(groups))
-    with_component = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = with_component.groupBy("name").agg(
-        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")
+
+def _opened(groups: DataFrame, found: DataFrame, step: int) -> DataFrame:
+    """The groups that lie in several components and reach further than ``step``; to every member
+    its component, the group's least (``a``) and largest (``main``), and its number of members."""
+    placed = groups.select(*_MEMBER).join(found, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    counted = placed.groupBy("name", "component").agg(F.count("*").alias("m"))
+    spread = counted.groupBy("name").agg(
+        F.min("component").alias("a"),
+        F.max("component").alias("b"),
+        F.sum("m").alias("n"),
+        F.max_by("component", F.struct("m", "component")).alias("main"),
     )
-    opened = kept(spread.filter(f"a <> b AND n > {step}").select("name", "a", "n"))
-    if opened.isEmpty():
-        return None, None
-    # Groups around one component have most of their members in common: they meet in a
-    # task, or in several if they are many, so that a pair is made once and not per group.
-    parts = opened.groupBy("a").agg((F.sum("n") / TOGETHER).cast("int").alias("more"))
-    dealt = opened.join(parts, "a").select("name", "a", F.pmod(F.xxhash64("name"), F.col("more") + 1).alias("part"))
-    still = with_component.join(dealt, "name")
-
-    def pair(cells: pa.Table) -> pa.Table:
-        name, at = cells["name"].to_numpy(), cells["at"].to_numpy()
-        order = np.lexsort((at, name))
-        name, node, component, size, probe = (
-            cells[n].to_numpy(zero_copy_only=False)[order] for n in ("name", "node", "component", "size", "probe")
+    several = spread.filter(f"a <> b AND n > {step}").drop("b")
+    return kept(placed.join(several, "name"))
+
+
+def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: int) -> DataFrame:
+    """The pairs (x, y) of different components that are ``step`` to ``FURTHER * step - 1`` places
+    apart in a group, and whose sketches do not rule out a link.
+
+    Groups around one component have most of their members in common: they meet in a
+    cell, or in several if they are many, so that a pair is made once and not per group.
+    A group larger than a cell is cut into blocks, and each pair of blocks is a cell.
+    """
+    block, last = (F.floor(x / TOGETHER) for x in (F.col("at"), F.col("n") - 1))
+    far = FURTHER * step
+    reach = (far - 2) // TOGETHER + 1
+    blocks = F.sequence(F.greatest(block - reach, F.lit(0)), F.least(block + reach, last))
+    more = groups.groupBy("a").agg((F.count("*") / TOGETHER).cast("long").alias("more"))
+    name = F.xxhash64("name")
+    part = F.when(F.col("n") > TOGETHER, name).otherwise(F.pmod(name, F.col("more") + 1))
+    met = groups.join(more, "a").select("a", part.alias("part"), *_MEMBER, "component", "main", F.explode(blocks).alias("other"))
+    met = met.withColumns({"hi": F.greatest(block, "other"), "lo": F.least(block, "other")})
+    met = met.filter((F.col("hi") - F.col("lo") + 1) * TOGETHER > step)
+    cell = ["a", "part", "hi", "lo"]
+    # Under names of their own, as both sides come from one table.
+    theirs = [f"{c}_of" for c in cell]
+    known = met.select(*(F.col(c).alias(t) for c, t in zip(cell, theirs, strict=True)), F.col("node").alias("known"))
+    known = known.distinct().join(sketched.withColumnRenamed("node", "known"), "known")
+    cells = met.select(*cell, *_MEMBER, "component", "main", block.alias("block"))
+
+    def pair(rows: pa.Table, known: pa.Table) -> pa.Table:
+        if len(rows) == 0:
+            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64())})
+        group = rows["name"].combine_chunks().dictionary_encode().indices.to_numpy()
+        order = np.lexsort((rows["at"].to_numpy(), group))
+        group = group[order]
+        at, node, component, main, size, probe, block = (
+            rows[n].to_numpy()[order] for n in ("at", "node", "component", "main", "size", "probe", "block")
         )
         nodes, place = np.unique(node, return_inverse=True)
-        bounds = np.append(np.flatnonzero(np.diff(name, prepend=name[0] - 1) != 0), len(name))
-        made, members = [np.zeros(0, np.int64)], []
+        size_of = np.zeros(len(nodes), np.int64)
+        size_of[place] = size
+        sketch = Sketches(nodes, known)
+        bounds = np.append(np.flatnonzero(np.diff(group, prepend=-1) != 0), len(group))
+        made, like = [np.zeros(0, np.int64)], []
+
+        def judge() -> None:
+            pairs = np.unique(np.concatenate(made))
+            x, y = pairs // len(nodes), pairs % len(nodes)
+            unlike = sketch.differences(x, y) * (100 + percent) > (size_of[x] + size_of[y]) * (100 - percent)
+            like.append(pairs[~unlike])
+            made[:] = [np.zeros(0, np.int64)]
+
+        waiting = 0
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            made.append(_apart(place[a:b], component[a:b], size[a:b], probe[a:b], step, percent, len(nodes)))
-            if sum(map(len, made)) > TOGETHER:
-                made = [np.unique(np.concatenate(made))]
-            members.append(node[a:b].tobytes() + size[a:b].tobytes() + probe[a:b].tobytes())
-        pairs = np.unique(np.concatenate(made))
-        return _pair_table(nodes[pairs // len(nodes)], nodes[pairs % len(nodes)], members)
+            of_group = (v[a:b] for v in (place, at, component, main, size, probe, block))
+            for pairs in _apart(*of_group, step, far, percent, len(nodes)):
+                made.append(pairs)
+                waiting += len(pairs)
+                if waiting > JUDGED_AT_ONCE:
+                    judge()
+                    waiting = 0
+        judge()
+        pairs = np.unique(np.concatenate(like))
+        return pa.table({"x": nodes[pairs // len(nodes)], "y": nodes[pairs % len(nodes)]})
 
-    made = kept(still.groupBy("a", "part").applyInArrow(pair, _PAIRS))
-    pairs = made.filter("x IS NOT NULL").select("x", "y").distinct()
-    return made.filter("members IS NOT NULL").select("members"), pairs
+    return cells.groupBy(*cell).cogroup(known.groupBy(*theirs)).applyInArrow(pair, "x long, y long").distinct()
 
 
-def _apart(place, component, size, probe, step: int, percent: int, base: int) -> np.ndarray:
+def _apart(place, at, component, main, size, probe, block, step: int, far: int, percent: int, base: int) -> Iterator[np.ndarray]:
     """The pairs of a group (as low * base + high) of different components and ``step`` to
-    ``FURTHER * step - 1`` places apart. One of a pair is not in the largest component, so
-    only those are gone through."""
-    names, which = np.unique(component, return_inverse=True)
-    found = [np.zeros(0, np.int64)]
-    for i in np.flatnonzero(which != np.bincount(which, minlength=len(names)).argmax()).tolist():
-        others = np.concatenate([
-            np.arange(max(0, i - FURTHER * step + 1), max(0, i - step + 1)),
-            np.arange(i + step, min(len(place), i + FURTHER * step)),
-        ])
+    ``far - 1`` places apart. One of a pair is not in the largest component, so
+    only those are gone through. Of two blocks one member comes from each."""
+    ours = np.flatnonzero(component != main)
+    across = len(block) > 0 and block[0] != block[-1]
+    # Members are in the order of size, so that the sizes that allow a link are a range.
+    first = np.maximum(np.searchsorted(at, at[ours] - far + 1), np.searchsorted(size * 100, size[ours] * percent))
+    before = np.searchsorted(at, at[ours] - step, side="right")
+    after = np.searchsorted(at, at[ours] + step)
+    end = np.minimum(
+        np.searchsorted(at, at[ours] + far), np.searchsorted(size * percent, size[ours] * 100, side="right")
+    )
+    for i, a, b, c, d in zip(*(v.tolist() for v in (ours, first, before, after, end)), strict=True):
+        others = np.concatenate([np.arange(a, b), np.arange(c, d)])
         wanted = (component[others] != component[i]) & _fits(size[i], size[others], probe[i], probe[others], percent)
-        far = place[others[wanted]]
-        found.append(np.minimum(place[i], far) * base + np.maximum(place[i], far))
-    return np.unique(np.concatenate(found))
+        if across:
+            wanted &= block[others] != block[i]
+        far_places = place[others[wanted]]
+        yield np.minimum(place[i], far_places) * base + np.maximum(place[i], far_places)
 
 
 def _unpacked_groups(groups: DataFrame) -> DataFrame:
-    rows = groups.select(F.monotonically_increasing_id().alias("name"), "members")
-    return rows.mapInArrow(_unpacked, "name long, at long, node long, size long, probe boolean")
+    return groups.mapInArrow(_unpacked, "name binary, at long, node long, size long, probe boolean")
 
 
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for name, members in zip(batch.column("name").to_pylist(), batch.column("members").to_pylist(), strict=True):
+        for name, first, members in zip(*(batch.column(n).to_pylist() for n in ("name", "first", "members")), strict=True):
             n = len(members) // 17
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(n, name), pa.int64()), pa.array(np.arange(n), pa.int64()),
+                    pa.array([name] * n, pa.binary()), pa.array(np.arange(first, first + n), pa.int64()),
                     pa.array(np.frombuffer(members, np.int64, n)), pa.array(np.frombuffer(members, np.int64, n, 8 * n)),
                     pa.array(np.frombuffer(members, bool, n, 16 * n)),
                 ],

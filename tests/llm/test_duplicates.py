@@ -1,11 +1,15 @@
 """Operators 4, 7 and 10 against brute force."""
 
+import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from nearkin.llm import block_dedup, jaccard_join, repeats, suffix_dedup
+from nearkin.llm import textarrays as ta
 from tests.llm import helpers
 from tests.llm.helpers import by_id, empty, table
 
@@ -131,6 +135,41 @@ def test_a_large_group_of_near_copies_and_a_common_passage(spark):
     assert by_id(jaccard_join.linked(table(spark, rows))) == helpers.linked(rows)
 
 
+def test_a_group_in_blocks(spark, monkeypatch):
+    """Groups cut into blocks, in several steps of distance, with what the sketches rule out."""
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 16)
+    monkeypatch.setattr(jaccard_join, "FURTHER", 4)
+    random.seed(8)
+    common = [f"c{i}" for i in range(70)]
+    rows = []
+    for i in range(90):
+        own = [f"u{i // 2 if i % 3 else i}w{j}" for j in range(random.randrange(8, 40))]
+        rows.append((i, " ".join(common + own)))
+    rows += near_copies()[:60]
+    rows = [(i, text) for i, (_, text) in enumerate(rows)]
+    assert by_id(jaccard_join.linked(table(spark, rows))) == helpers.linked(rows)
+
+
+def test_sketches_never_rule_out_what_is_like():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 3000, n, np.uint64)) for n in (1, 3, 40, 64, 65, 100, 500, 900, 1100, 3000)]
+    bounds = np.cumsum([0, *map(len, sets)])
+    found = jaccard_join.sketches(ta.mixed(np.concatenate(sets)), bounds)
+    known = pa.table({"known": pa.array(range(len(sets))), "sketch": pa.array(found, pa.binary())})
+    sketch = jaccard_join.Sketches(np.arange(len(sets)), known)
+    for i, j in itertools.product(range(len(sets)), repeat=2):
+        unlike = int(sketch.differences(np.array([i]), np.array([j]))[0])
+        assert unlike <= len(np.setxor1d(sets[i], sets[j])) and (i != j or unlike == 0)
+
+
+def test_words_that_one_hash_takes_for_equal(spark):
+    """Thue-Morse words and their complements are equal modulo 2**64."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, f"{one} x y z q"), (4, f"{other} x y z q"), (5, f"{one}")]
+    assert by_id(jaccard_join.linked(table(spark, rows))) == helpers.linked(rows)
+
+
 def test_sets_that_need_neighbourhoods(spark, monkeypatch):
     """Fewer segments than the pigeonhole needs: neighbourhoods must make up for it."""
     monkeypatch.setattr(jaccard_join, "SPREAD", 1)
