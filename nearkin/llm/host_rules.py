@@ -4,15 +4,20 @@ Every text is measured, and base rules say whether it fails. Failures are
 counted per host (the ``source`` of a document). A beta prior is fitted to the
 hosts' failure rates by moments, each host's rate is shrunk towards it, and the
 verdict on the host is joined back to its documents: what comes from a host whose
-shrunk rate exceeds ``max_rate`` is not kept.
+shrunk rate exceeds ``max_rate``, or ``max_ratio`` times the rate of the corpus, is
+not kept. A host of a clean corpus can so fail as well, but only by a rate that its
+number of documents bears out: where hosts differ no more than by chance, all are
+shrunk to the corpus and none is refused.
 
 The measures are written once to the shared folder; hosts meet as one row per
-host and task. The join back is dealt by host and a salt, so that a host with a
-third of all documents is spread.
+host and task. Hosts with more than a 10,000th of all documents, so fewer than
+10,000, are broadcast with their verdicts; the documents of the others, and of no
+others, are joined by host.
 
 Defined results: a NULL or empty text has no words and fails; a NULL host has no
 verdict, its documents are judged by themselves; repeated rows count each; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored. Lines and words are
+told apart by two hashes, of 64 bits and modulo two primes.
 """
 
 from __future__ import annotations
@@ -30,7 +35,8 @@ from nearkin.llm.common import kept, slices, utf8
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MAX_RATE = 0.5
-SALTS = 16
+MAX_RATIO = 2.0
+LARGE_SHARE = 10_000
 SYMBOLS = b"#*$%&|<>"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -73,6 +79,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     worded = words_before[1] > words_before[0]
     row, line_starts, line_ends = row[worded], line_starts[worded], line_ends[worded]
     line_keys = rolling.windows(line_starts, line_ends) + (line_ends - line_starts).astype(np.uint64)
+    line_keys ^= ta.mixed(ta.checks_of_bytes(data, line_starts, line_ends))
     order, same = _same_as_before(row, line_keys)
     n_dup_lines = np.bincount(row[order[same]], minlength=n)
 
@@ -80,7 +87,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     owner = np.repeat(np.arange(n), np.diff(bounds))
     fits = places + 3 <= bounds[owner + 1] if len(places) else places.astype(bool)
     places, owner = places[fits], owner[fits]
-    windows = ta.Rolling(ta.word_hashes(data, starts, ends)).windows(places, places + 3)
+    windows = ta.Rolling(ta.safe_word_hashes(data, starts, ends)).windows(places, places + 3)
     order, same = _same_as_before(owner, windows)
     again = same.copy()
     again[:-1] |= same[1:]
@@ -122,7 +129,8 @@ def text_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
 
 
 def host_rates(measures: DataFrame, by: str = "host") -> DataFrame:
-    """host, n_docs, n_failed and the failure rate, shrunk by the empirical prior."""
+    """host, n_docs, n_failed, the failure rate shrunk by the empirical prior, the prior's
+    mean (``usual``) and whether the host has a large part of all documents."""
     hosts = measures.filter(F.col(by).isNotNull()).groupBy(by).agg(
         F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")
     )
@@ -136,7 +144,9 @@ def host_rates(measures: DataFrame, by: str = "host") -> DataFrame:
     ).first()
     alpha, beta = beta_prior(total["hosts"], total["n"] or 0, total["f"] or 0, total["squares"] or 0.0)
     shrunk = (F.col("n_failed") + F.lit(alpha)) / (F.col("n_docs") + F.lit(alpha + beta))
-    return hosts.withColumn("rate", shrunk)
+    large = F.col("n_docs") * LARGE_SHARE > F.lit(total["n"] or 0)
+    columns = {"rate": shrunk, "usual": F.lit(alpha / (alpha + beta)), "large": large}
+    return hosts.withColumns(columns)
 
 
 def beta_prior(hosts: int, n: int, failed: int, squares: float) -> tuple[float, float]:
@@ -155,15 +165,24 @@ def beta_prior(hosts: int, n: int, failed: int, squares: float) -> tuple[float,
 
 
 def host_verdicts(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", max_rate: float = MAX_RATE
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    max_rate: float = MAX_RATE,
+    max_ratio: float = MAX_RATIO,
 ) -> DataFrame:
     """doc_id, the measures, base_failed, kept."""
     measures = kept(text_measures(docs, doc_id, text, host))
-    refused = host_rates(measures).filter(F.col("rate") > max_rate).select("host")
-    spread = refused.select("host", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = measures.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    judged = salted.join(spread.withColumn("refused", F.lit(True)), ["host", "salt"], "left")
-    verdict = ~F.col("base_failed") & F.col("refused").isNull()
+    refused = (F.col("rate") > max_rate) | (F.col("rate") > max_ratio * F.col("usual"))
+    hosts = host_rates(measures).withColumn("refused", refused)
+    large = hosts.filter("large").select("host", "refused")
+    known = measures.join(F.broadcast(large), "host", "left")
+    settled = known.filter(F.col("refused").isNotNull() | F.col("host").isNull())
+    small = hosts.filter("refused AND NOT large").select("host", "refused")
+    others = known.filter(F.col("refused").isNull() & F.col("host").isNotNull()).drop("refused")
+    judged = settled.unionByName(others.join(small, "host", "left"))
+    verdict = ~F.col("base_failed") & ~F.coalesce("refused", F.lit(False))
     return judged.select("doc_id", *MEASURES, "base_failed", verdict.alias("kept"))
 
 
@@ -205,7 +224,8 @@ spreads AS (
   FROM totals),
 prior AS (SELECT mean, greatest(mean * (1 - mean) / spread - 1, 1e-3) AS strength FROM spreads),
 refused AS (
-  SELECT source FROM hosts, prior WHERE (f + mean * strength) / (n + strength) > {MAX_RATE})
+  SELECT source FROM hosts, prior
+  WHERE (f + mean * strength) / (n + strength) > least({MAX_RATE}, {MAX_RATIO} * mean))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM refused)) AS kept
 FROM judged"""

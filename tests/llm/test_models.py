@@ -89,6 +89,35 @@ def test_host_rules_are_their_sql(spark):
     assert host_rules.host_verdicts(empty(spark)).collect() == []
 
 
+def test_a_bad_host_is_refused_by_the_usual_rate(spark):
+    """Far below ``max_rate``, but several times the rate of the corpus; host "few" has the same rate on too few documents."""
+    good, bad = " ".join(f"w{i}" for i in range(60)), "short"
+    rows = [(i, bad if i // 10 % 50 == 0 else good, f"h{i % 10}") for i in range(1000)]
+    rows += [(2000 + i, bad if i % 4 == 0 else good, "worse") for i in range(400)]
+    rows += [(3000 + i, good if i else bad, "few") for i in range(4)]
+    rows += [(4000, good, None)]
+    got = {r["doc_id"]: r["kept"] for r in host_rules.host_verdicts(table(spark, rows)).collect()}
+    assert got == {i: t == good and s != "worse" for i, t, s in rows}
+    mild = {r["doc_id"]: r["kept"] for r in host_rules.host_verdicts(table(spark, rows), max_ratio=100.0).collect()}
+    assert mild == {i: t == good for i, t, s in rows}
+
+
+def test_small_hosts_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(host_rules, "LARGE_SHARE", 3)
+    good, bad = " ".join(f"w{i}" for i in range(60)), "short"
+    rows = [(i, good, "large") for i in range(300)] + [(1000 + i, bad if i % 2 else good, "worse") for i in range(100)]
+    got = {r["doc_id"]: r["kept"] for r in host_rules.host_verdicts(table(spark, rows)).collect()}
+    assert got == {i: s == "large" for i, _, s in rows}
+
+
+def test_lines_and_words_that_one_hash_takes_for_equal(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{one}\n{other}\n{one}"), (2, f"{one} x y {other} x y"), (3, f"{one} x y {one} x y")]
+    got = {r["doc_id"]: (r["n_dup_lines"], r["n_repeat_words"]) for r in host_rules.text_measures(table(spark, rows)).collect()}
+    assert got == {1: (1, 0), 2: (0, 0), 3: (0, 6)}
+
+
 def test_beta_prior():
     # Rates 0.1 and 0.5 on 1000 documents each: far more spread than chance.
     alpha, beta = host_rules.beta_prior(2, 2000, 600, 1000 * 0.01 + 1000 * 0.25)
