@@ -24,7 +24,8 @@ near copies costs about one pair each, and no link between components is lost.
 What is compared first are sketches, a bit string per set as long as the set, of
 which every shingle flips one bit: two sets differ in at least as many shingles as
 their sketches in bits, so that unlike sets are told apart there for certain, and
-only what is left becomes a pair. A large group meets in blocks of ``TOGETHER``
+only what is left becomes a pair. In the first step every set is paired with the
+likest of the smaller ones alone, which makes one tree of near copies. A large group meets in blocks of ``TOGETHER``
 members, a block of it with itself or with another.
 
 Texts are dealt into groups by document id; subsets cross the cluster as packed,
@@ -639,13 +640,13 @@ def linked(
 
     found = components(verified(pairs))
     sketched = packed_sets.select(F.col("doc_id").alias("node"), "sketch")
-    step = 1
+    step, every = 1, False
     while True:
         groups = _opened(groups, found, step)
         if groups.isEmpty():
             break
-        pairs = kept(_further_pairs(groups, sketched, step, percent))
-        step *= FURTHER
+        pairs = kept(_further_pairs(groups, sketched, step, percent, every))
+        step, every = (step * FURTHER if every else step), True
         if not pairs.isEmpty():
             found = joined_components(found, verified(pairs))
 
@@ -682,7 +683,8 @@ _MEMBER = ("name", "at", "node", "size", "probe")
 
 def _opened(groups: DataFrame, found: DataFrame, step: int) -> DataFrame:
     """The groups that lie in several components and reach further than ``step``; to every member
-    its component, the group's least (``a``) and largest (``main``), and its number of members."""
+    its component, the group's least (``a``) and largest (``main``), its number of members, and
+    into how many cells more than one the groups around that least component are dealt."""
     placed = groups.select(*_MEMBER).join(found, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     counted = placed.groupBy("name", "component").agg(F.count("*").alias("m"))
@@ -693,12 +695,14 @@ def _opened(groups: DataFrame, found: DataFrame, step: int) -> DataFrame:
         F.max_by("component", F.struct("m", "component")).alias("main"),
     )
     several = spread.filter(f"a <> b AND n > {step}").drop("b")
-    return kept(placed.join(several, "name"))
+    more = several.groupBy("a").agg((F.sum("n") / TOGETHER).cast("long").alias("more"))
+    return kept(placed.join(several.join(more, "a"), "name"))
 
 
-def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: int) -> DataFrame:
+def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: int, every: bool) -> DataFrame:
     """The pairs (x, y) of different components that are ``step`` to ``FURTHER * step - 1`` places
-    apart in a group, and whose sketches do not rule out a link.
+    apart in a group, and whose sketches do not rule out a link; unless ``every`` is wanted, of
+    every member's pairs with earlier ones (by size, then id) only that with the likest sketch.
 
     Groups around one component have most of their members in common: they meet in a
     cell, or in several if they are many, so that a pair is made once and not per group.
@@ -708,10 +712,9 @@ def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: i
     far = FURTHER * step
     reach = (far - 2) // TOGETHER + 1
     blocks = F.sequence(F.greatest(block - reach, F.lit(0)), F.least(block + reach, last))
-    more = groups.groupBy("a").agg((F.count("*") / TOGETHER).cast("long").alias("more"))
     name = F.xxhash64("name")
     part = F.when(F.col("n") > TOGETHER, name).otherwise(F.pmod(name, F.col("more") + 1))
-    met = groups.join(more, "a").select("a", part.alias("part"), *_MEMBER, "component", "main", F.explode(blocks).alias("other"))
+    met = groups.select("a", part.alias("part"), *_MEMBER, "component", "main", F.explode(blocks).alias("other"))
     met = met.withColumns({"hi": F.greatest(block, "other"), "lo": F.least(block, "other")})
     met = met.filter((F.col("hi") - F.col("lo") + 1) * TOGETHER > step)
     cell = ["a", "part", "hi", "lo"]
@@ -736,12 +739,25 @@ def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: i
         sketch = Sketches(nodes, known)
         bounds = np.append(np.flatnonzero(np.diff(group, prepend=-1) != 0), len(group))
         made, like = [np.zeros(0, np.int64)], []
+        least, likest = np.full(len(nodes), np.iinfo(np.int64).max), np.full(len(nodes), -1)
 
         def judge() -> None:
             pairs = np.unique(np.concatenate(made))
             x, y = pairs // len(nodes), pairs % len(nodes)
-            unlike = sketch.differences(x, y) * (100 + percent) > (size_of[x] + size_of[y]) * (100 - percent)
-            like.append(pairs[~unlike])
+            differ = sketch.differences(x, y)
+            some = differ * (100 + percent) <= (size_of[x] + size_of[y]) * (100 - percent)
+            pairs, x, y, differ = pairs[some], x[some], y[some], differ[some]
+            if not every and len(pairs):
+                later = np.where((size_of[x] > size_of[y]) | ((size_of[x] == size_of[y]) & (x > y)), x, y)
+                by_member = np.lexsort((differ, later))
+                later = later[by_member]
+                pairs, differ, later = (
+                    v[np.diff(later, prepend=-1) != 0] for v in (pairs[by_member], differ[by_member], later)
+                )
+                better = differ < least[later]
+                least[later[better]], likest[later[better]] = differ[better], pairs[better]
+                pairs = pairs[:0]
+            like.append(pairs)
             made[:] = [np.zeros(0, np.int64)]
 
         waiting = 0
@@ -754,7 +770,7 @@ def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: i
                     judge()
                     waiting = 0
         judge()
-        pairs = np.unique(np.concatenate(like))
+        pairs = np.unique(np.concatenate([*like, likest[likest >= 0]]))
         return pa.table({"x": nodes[pairs // len(nodes)], "y": nodes[pairs % len(nodes)]})
 
     return cells.groupBy(*cell).cogroup(known.groupBy(*theirs)).applyInArrow(pair, "x long, y long").distinct()
