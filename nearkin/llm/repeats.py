@@ -1,6 +1,6 @@
 """Windows that also start earlier in the corpus: the exchange behind operators 4 and 7.
 
-Documents are dealt into groups of bounded size by a hash of their id. Three
+Documents are dealt into groups of bounded size, near copies together. Three
 rounds follow; in each, every group works on its own texts, and what must be
 compared across groups goes through buckets of a hash space as sorted, packed
 keys, of which a group sends every distinct one once. So neither a string with a
@@ -34,10 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nearkin.functions.once import computed_once
 from nearkin.llm import textarrays as ta
 from nearkin.llm.common import kept, shuffles, utf8
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 12 << 20
+LIKENESS_CHARS = 4096
 SLICE_BYTES = 2 << 20
 ANCHOR_BITS = 40
 KEYS_PER_BUCKET = 3_000_000
@@ -45,6 +47,7 @@ KEYS_PER_BUCKET = 3_000_000
 _COPIES, _ANCHORS, _WINDOWS = 0, 1, 2
 _REPLY = "g int, kind int, bucket int, data binary"
 _NULL_ID = np.iinfo(np.int64).min
+_SIGN = np.uint64(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -66,20 +69,53 @@ class Method:
 
 
 def groups_of(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, int]:
-    """(g, doc_id, text), the ids of later exact copies by group, and the number of groups."""
+    """(g, doc_id, text), the ids of later exact copies by group, and the number of groups.
+
+    A text's group follows from the least hash of its runs of words, so that most
+    near copies meet in one group, where a window that all of them have counts
+    once. What would fill more than an eighth of a group is dealt by document id
+    over as many parts. The place of a text has no effect on the result, so the
+    hash looks at its beginning only. Where ids repeat, the id alone decides, as
+    texts of one id are ordered within their group.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    marks = rows.select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("mark"), F.octet_length("text").alias("n"))
+    spark = docs.sparkSession
+    likeness = _likeness(rows)
+    marks = likeness.select(
+        "doc_id", "like", F.md5(F.encode("text", "UTF-8")).alias("mark"), F.octet_length("text").alias("n")
+    )
     firsts = marks.groupBy("mark").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("n_rows"), F.sum("n").alias("n_bytes")
+        F.min("doc_id").alias("first"),
+        F.min("like").alias("like"),
+        F.count("*").alias("n_rows"),
+        F.sum("n").alias("n_bytes"),
     )
     firsts = kept(firsts)
     total = firsts.agg(F.sum("n_bytes")).first()[0] or 0
-    n_groups = max(shuffles(docs.sparkSession), -(-total // GROUP_BYTES))
-    g = F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).cast("int").alias("g")
+    n_groups = max(shuffles(spark), -(-total // GROUP_BYTES))
+    if rows.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        # Fewer rows than eight for each group, of two numbers.
+        part = max(GROUP_BYTES // 8, 1)
+        parts = firsts.groupBy("like").agg(F.ceil(F.sum("n_bytes") / part).alias("n_parts")).filter("n_parts > 1")
+        parts = F.broadcast(kept(parts))
+        nth = F.coalesce(F.pmod(F.xxhash64("doc_id"), "n_parts"), F.lit(0))
+        g = F.pmod(F.xxhash64("like", nth), F.lit(n_groups)).cast("int").alias("g")
+        placed, marks = (df.join(parts, "like", "left") for df in (likeness, marks))
+    else:
+        g = F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).cast("int").alias("g")
+        placed = rows
     repeated = firsts.filter("n_rows > 1").select("mark", "first")
     copies = marks.join(repeated, "mark").filter(F.col("doc_id") > F.col("first"))
     packed = copies.select(g, "doc_id", F.unhex("mark").alias("mark")).groupBy("g").applyInArrow(_pack_copies, _REPLY)
-    return rows.select(g, "doc_id", "text"), kept(packed), n_groups
+    return placed.select(g, "doc_id", "text"), kept(packed), n_groups
+
+
+def _likeness(rows: DataFrame) -> DataFrame:
+    """The rows with ``like``: the least hash of three words in a row, of the first few hundred words."""
+    words = rows.withColumn("ws", F.split(F.substring("text", 1, LIKENESS_CHARS), r"[\x20\x09-\x0D]+"))
+    words = computed_once(words, "ws")
+    runs = F.transform("ws", lambda w, i: F.xxhash64(w, F.get("ws", i + 1), F.get("ws", i + 2)))
+    return computed_once(words.select("doc_id", "text", F.array_min(runs).alias("like")), "like")
 
 
 def _pack_copies(copies: pa.Table) -> pa.Table:
@@ -275,13 +311,18 @@ def _by_key(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray | None = None)
     return order, ordered, same
 
 
+def _index_type(n: int):
+    """The smallest type that numbers ``n`` things."""
+    return np.uint8 if n <= 1 << 8 else np.uint16 if n <= 1 << 16 else np.uint32
+
+
 def _windows_earlier(cells: pa.Table) -> pa.Table:
     """A group's key starts earlier elsewhere unless the group has its first document."""
     groups, keys, every, _ = _gathered(cells)
     ids = []
     for extra, known in zip(cells["extra"].to_pylist(), cells["ids"].to_pylist(), strict=True):
-        places = np.frombuffer(extra, np.uint16 if len(known) // 8 <= 1 << 16 else np.uint32)
-        ids.append(np.frombuffer(known, np.int64)[places])
+        known = (ta.unpack_sorted(known) ^ _SIGN).view(np.int64)
+        ids.append(known[np.frombuffer(extra, _index_type(len(known)))])
     checks = np.concatenate([np.frombuffer(c, np.uint64) for c in cells["checks"].to_pylist()])
     order, _, again = _by_key(every, checks, np.concatenate(ids))
     bits = np.zeros(len(every), bool)
@@ -351,8 +392,8 @@ def marked(
         packed = []
         for _, x, y in cells:
             used, at = np.unique(places[x:y], return_inverse=True)
-            width = np.uint16 if len(used) <= 1 << 16 else np.uint32
-            packed.append((at.astype(width).tobytes(), group.doc_ids[known[used]].astype("<i8").tobytes()))
+            ids = group.doc_ids[known[used]].view(np.uint64) ^ _SIGN
+            packed.append((at.astype(_index_type(len(ids))).tobytes(), ta.pack_sorted(ids)))
         return pa.table(
             {
                 "bucket": pa.array([b for b, _, _ in cells], pa.int32()),
