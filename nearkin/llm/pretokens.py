@@ -59,7 +59,11 @@ class Memo(dict):
             if self.check and not is_regular(key):
                 raise Irregular
             value = self.compute(key)
-        self.keep(key, value)
+        if len(key) <= LONGEST_KEPT:  # as keep, without a call
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
         return value
 
     def keep(self, key: str, value) -> None:

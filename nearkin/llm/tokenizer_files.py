@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 from functools import lru_cache
 
@@ -29,7 +30,7 @@ def _byte_letters() -> dict[int, str]:
 
 # Characters on which the installed Unicode tables may disagree are left to the
 # library: what is not assigned here may be a letter or a digit there.
-_UNSURE = regex.compile(r"[^\x00-ɏͰ-ϿЀ-ӿ‐-‧‰-⁞€぀-ヿ一-龥]")
+_UNSURE = re.compile(r"[^\x00-ɏͰ-ϿЀ-ӿ‐-‧‰-⁞€぀-ヿ一-龥]")
 
 
 class ByteTokenizer:
@@ -69,17 +70,23 @@ class ByteTokenizer:
         return any(token in text for token in self.added)
 
     def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece[1:].isalnum():  # such bytes stand for themselves
+            mapped = self.letters[ord(piece[0])] + piece[1:]
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
         return _packed([token.id for token in self.model.tokenize(mapped)])
 
     def chunk(self, chunk: str) -> bytes:
         """The ids of a chunk as little-endian 32-bit integers."""
-        if chunk.isascii():
-            # Letters alone are one pre-token.
-            if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
-                return self.words[chunk]
-        elif _UNSURE.search(chunk):
+        if not chunk.isascii() and _UNSURE.search(chunk):
             return _packed(self.library_ids(chunk))
+        # Letters alone are one pre-token, a sign behind them is another.
+        if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+            return self.words[chunk]
+        if chunk[-1] in ",.;:!?":
+            word = chunk[:-1]
+            if word.isalpha() or (word[:1] == " " and word[1:].isalpha()):
+                return self.words[word] + self.words[chunk[-1]]
         return b"".join(map(self.words.__getitem__, self.pieces(chunk)))
 
 
