@@ -39,7 +39,7 @@ from nearkin.llm import textarrays as ta
 from nearkin.llm.common import kept, shuffles, utf8
 
 GROUP_BYTES = 12 << 20
-LIKENESS_CHARS = 4096
+LIKENESS_CHARS = 512
 SLICE_BYTES = 2 << 20
 ANCHOR_BITS = 40
 KEYS_PER_BUCKET = 3_000_000
@@ -111,8 +111,8 @@ def groups_of(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
 
 
 def _likeness(rows: DataFrame) -> DataFrame:
-    """The rows with ``like``: the least hash of three words in a row, of the first few hundred words."""
-    words = rows.withColumn("ws", F.split(F.substring("text", 1, LIKENESS_CHARS), r"[\x20\x09-\x0D]+"))
+    """The rows with ``like``: the least hash of three words in a row, of the first hundred words or so."""
+    words = rows.withColumn("ws", F.split(F.substring("text", 1, LIKENESS_CHARS), " "))
     words = computed_once(words, "ws")
     runs = F.transform("ws", lambda w, i: F.xxhash64(w, F.get("ws", i + 1), F.get("ws", i + 2)))
     return computed_once(words.select("doc_id", "text", F.array_min(runs).alias("like")), "like")
