@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -195,9 +197,12 @@ def nearest_in_group(
     return ranked.filter(F.col("rank") <= n)
 
 
-# A bin of the pruned join holds about so many rows; its quantiles are cut so finely.
-BIN_ROWS = 32
+# A cell of the pruned join holds about so many rows; a level cuts a cell into so many at most.
+CELL_ROWS = 32
 QUANTILES = 64
+LEVELS = 3, 4
+# A cell's number has so many bits per level.
+BITS = 8
 # Relative slack of a bound, far above the rounding of the sums behind it.
 SLACK = 1e-9
 
@@ -218,52 +223,55 @@ def _first_of_copies(
     return few.withColumn(place, F.dense_rank().over(ids)).filter(F.col(place) <= n + 1).drop(place)
 
 
-def _bin_edges(rows: DataFrame, group: str, bound: str) -> DataFrame:
-    """Per group and quantile of the bound: ``_seg``, ``_lo``, ``_hi``, ``_parts``, ``_top``.
-
-    A group has one quantile per ``BIN_ROWS`` rows, at most ``QUANTILES``; each is cut
-    into ``_parts`` bins of equal width, as many as its rows make. ``_top`` is the
-    last bin of the group.
-    """
-    fractions = ", ".join(str(i / QUANTILES) for i in range(QUANTILES + 1))
-    cuts = F.expr(f"percentile_approx({bound}, array({fractions}), {100 * QUANTILES})")
-    sizes = rows.groupBy(group).agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_n"))
-    wanted = F.least(F.lit(QUANTILES), F.ceil(F.col("_n") / BIN_ROWS)).cast("int")
-    edges = F.transform(
-        F.sequence(F.lit(0), F.col("_wanted")),
-        lambda i: F.get("_cuts", (i * QUANTILES / F.col("_wanted")).cast("int")),
-    )
-    lows = F.col("_edges")
-    spans = F.when(F.size(lows) == 1, F.array(F.struct(lows[0].alias("_lo"), lows[0].alias("_hi")))).otherwise(
-        F.transform(
-            F.slice(lows, F.lit(1), F.greatest(F.size(lows) - 1, F.lit(1))),
-            lambda low, i: F.struct(low.alias("_lo"), F.get(lows, i + 1).alias("_hi")),
-        )
+def _cuts(rows: DataFrame, group: str, value: str, cell_rows: int, left: int) -> DataFrame:
+    """The inner edges of every cell (``_of``, ``_within``) by quantiles of a number, ``_edges``, such
+    that ``left`` levels of this kind lead to cells of about ``cell_rows`` rows."""
+    fractions = ", ".join(str(i / QUANTILES) for i in range(1, QUANTILES))
+    cuts = F.expr(f"percentile_approx({vectors.quoted(value)}, array({fractions}), 1000)")
+    sizes = rows.groupBy(F.col(group).alias("_of"), F.col("_cell").alias("_within"))
+    sizes = sizes.agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    wanted = F.ceil(F.pow(F.greatest(F.col("_n") / cell_rows, F.lit(1.0)), 1.0 / left) - 1e-6)
+    sizes = sizes.withColumn("_wanted", F.least(F.lit(QUANTILES), wanted).cast("int")).filter("_wanted > 1")
+    at = F.transform(
+        F.sequence(F.lit(1), F.col("_wanted") - 1),
+        lambda i: F.get("_cuts", (i * QUANTILES / F.col("_wanted")).cast("int") - 1),
     )
-    cut = sizes.withColumn("_wanted", wanted).withColumn("_edges", F.array_distinct(edges))
-    parts = F.ceil(F.col("_n") / (F.col("_wanted") * BIN_ROWS)).cast("int")
-    spread = cut.select(group, parts.alias("_parts"), F.size(spans).alias("_size"), F.posexplode(spans).alias("_seg", "_span"))
-    return spread.select(
-        group, "_seg", "_span.*", "_parts", (F.col("_size") * F.col("_parts") - 1).alias("_top"),
-        (F.col("_seg") == F.col("_size") - 1).alias("_last"),
-    )
+    return sizes.select("_of", "_within", F.array_distinct(at).alias("_edges"))
+
+
+def _slice_of(value: Column) -> Column:
+    """The slice a number falls into: how many edges are not above it; none where nothing is cut."""
+    return F.coalesce(F.size(F.filter("_edges", lambda e: e <= value)), F.lit(0))
+
 
+def _below(df: DataFrame, edges: DataFrame, group: str, cell: Column) -> DataFrame:
+    """The cells (``_cell``) one level below those of ``df``, by an expression over ``_edges``."""
+    # Fewer numbers than one for each CELL_ROWS rows.
+    found = df.join(F.broadcast(edges), (F.col(group) == F.col("_of")) & (F.col("_cell") == F.col("_within")), "left")
+    found = found.withColumn("_slice", cell)
+    return found.withColumn("_cell", F.col("_cell") * (1 << BITS) + F.col("_slice")).drop("_of", "_within", "_edges", "_slice")
 
-def _with_bin(df: DataFrame, edges: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """Add the bin of a number; what lies outside counts to the outermost bins."""
-    low, high, parts, seg = (F.col("_edge")[field] for field in ("_lo", "_hi", "_parts", "_seg"))
-    v = F.col(value)
-    inside = ((seg == 0) | (v >= low)) & (F.col("_edge")["_last"] | (v < high))
-    share = F.floor((v - low) / (high - low) * parts).cast("int")
-    at = F.when(v >= high, parts - 1).when(v <= low, 0).otherwise(F.least(share, parts - 1))
-    # As many rows as groups x QUANTILES; groups are the clusters of a model.
-    packed = edges.select(F.col(group).alias("_of"), F.struct(*[c for c in edges.columns if c != group]).alias("_edge"))
-    found = df.join(F.broadcast(packed), (F.col(group) == F.col("_of")) & inside)
-    return found.withColumn(name, seg * parts + at).drop("_of", "_edge")
 
+def _above(cell: str, bits: str) -> Column:
+    return F.expr(f"shiftright({cell}, {bits})")
+
+
+def _first_in_batches(found: DataFrame, n: int) -> DataFrame:
+    """The pairs (seed_id, distance, _nth) without those that ``n`` of their own batch precede.
+
+    Pairs leave the join seed by seed, so that few are left to be sorted and sent.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seed = batch.column("seed_id").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            distance, nth = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("distance", "_nth"))
+            order = np.lexsort((nth, distance, seed))
+            start = np.flatnonzero(np.diff(seed[order], prepend=-1) != 0)
+            place = np.arange(len(order)) - np.repeat(start, np.diff(start, append=len(order)))
+            yield batch.take(pa.array(order[place < n]))
 
-def _bins_between(first: Column, last: Column) -> Column:
-    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return found.mapInArrow(run, found.schema)
 
 
 def nearest_by_bound(
@@ -281,64 +289,95 @@ def nearest_by_bound(
 
     ``bounds`` are pairs of columns, of the rows and of the seeds, such that ``distance``
     is never below the difference of a pair (see ``vectors.center_bound``). The rows of
-    a group are put into bins by the first bound. A seed first meets its own bin and
-    as many neighbours as hold ``n`` rows; its n-th distance there limits which other
-    bins can hold anything nearer, and it meets those in a second and last step, all
-    of them where it found fewer than ``n``. A pair is measured only if all bounds
-    allow. The result is exact.
+    a group are cut into cells, by quantiles of one bound within the slices of another
+    (the first only where it is the only one). A seed first meets its own cell; its n-th
+    distance there limits which cells can hold anything nearer, and it meets those in the
+    last step. Where the first is the only bound, a cell says little of the distance:
+    then a seed meets a wider one, of the order of the root of the group, before that, and
+    the last step goes by such cells. A seed that finds fewer than ``n`` meets a wider
+    cell and then the group. A pair is measured once, and only if all bounds allow. The
+    result is exact.
 
     ``point`` are the columns that the distance depends on: of many rows with one point
     only the first can be near, and the others go before any pair is made. What is
     left is numbered in the order of id and ``ties``; a pair carries that number, and
     the other columns join the winners. ``group`` has few values (the clusters of a
-    model). The seeds go out once per bin they meet; where very many meet one bin,
-    the adaptive planner splits the join.
+    model). The seeds go out once per cell they meet; where very many meet one cell,
+    the adaptive planner splits the join. Pairs are never sorted as a whole: of each
+    batch only what can be among the first goes on.
     """
-    bound, seed_bound = bounds[0]
     own = list(dict.fromkeys([item_id, group, *point, *[of_row for of_row, _ in bounds]]))
-    edges = _bin_edges(rows, group, bound)
-    # At most QUANTILES rows per group, so they go into the plans that follow.
-    edges = rows.sparkSession.createDataFrame(edges.collect(), edges.schema)
     few = _first_of_copies(rows, group, point, item_id, n, ties).orderBy(item_id, *ties)
-    placed = kept(_with_bin(few.withColumn("_nth", F.monotonically_increasing_id()), edges, group, bound, "_bin"))
-    tops = F.broadcast(edges.filter("_last").select(F.col(group).alias("_of"), "_top"))
-    home = _with_bin(seeds, edges, group, seed_bound, "_home")
-    home = kept(home.join(tops, F.col(group) == F.col("_of")).drop("_of"))
-    reach = -(-n // BIN_ROWS)
-    near = F.greatest(F.col("_home") - reach, F.lit(0)), F.least(F.col("_home") + reach, F.col("_top"))
-    met = placed.select("_nth", "_bin", *own)
-
-    def measured(asking: DataFrame, bins: Column) -> DataFrame:
-        sent = asking.withColumn("_bin", F.explode(bins))
-        on = (F.col("l._bin") == F.col("r._bin")) & (F.col(f"l.{group}") == F.col(f"r.{group}"))
-        on = on & ~F.col(f"l.{item_id}").eqNullSafe(F.col("r.seed_id"))
-        limit = F.col("r._limit")
+    few = few.withColumns({"_nth": F.monotonically_increasing_id(), "_cell": F.lit(0).cast("long")})
+    cut = list(bounds[1:] or bounds)[: LEVELS[1]]
+    cut = (cut * LEVELS[0])[: max(LEVELS[0], len(cut))]
+    last, cell_rows = len(cut), max(CELL_ROWS, 2 * n)
+    targets = [cell_rows] * last
+    placed = kept(few)
+    if len(bounds) == 1:  # the last level leads from the wide cells to the small ones
+        last -= 1
+        most = placed.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+        targets[:last] = [max(cell_rows, int((2 * n * most) ** 0.5))] * last
+    home, levels = seeds.withColumn("_cell", F.lit(0).cast("long")), []
+    for level, ((of_row, of_seed), target) in enumerate(zip(cut, targets, strict=True)):
+        left = last - level if level < last else 1
+        levels.append(kept(_cuts(placed, group, of_row, target, left)))
+        placed = _below(placed, levels[-1], group, _slice_of(F.col(of_row)))
+        home = _below(home, levels[-1], group, _slice_of(F.col(of_seed)))
+    placed, home = kept(placed), kept(home.withColumns({"_limit": F.lit(float("inf")), "_met": F.lit(0)}))
+    met = placed.select("_nth", "_cell", *own)
+
+    def measured(asking: DataFrame, bits: int, new: bool = True) -> DataFrame:
+        """The pairs of seeds and the rows of the cell ``_at``, ``bits`` above the smallest."""
+        there = met.withColumn("_at", _above("_cell", str(bits)))
+        on = (F.col("l._at") == F.col("r._at")) & (F.col(f"l.{group}") == F.col(f"r.{group}"))
+        on = on & ~F.col(f"r.{item_id}").eqNullSafe(F.col("l.seed_id"))
+        if new:  # a cell that the seed has met is left out
+            on = on & (_above("r._cell", "l._met") != _above("l._cell", "l._met"))
+        limit = F.col("l._limit")
         for of_row, of_seed in bounds:
-            on = on & ((limit == float("inf")) | (F.abs(F.col(f"l.{of_row}") - F.col(f"r.{of_seed}")) <= limit))
-        columns = [F.col(f"l.{c}") for c in ("_nth", *point)]
-        pairs = met.alias("l").join(sent.alias("r"), on).select(*columns, *[F.col(f"r.{c}") for c in asking.columns])
+            gap = F.abs(F.col(f"r.{of_row}") - F.col(f"l.{of_seed}"))
+            on = on & ((limit == float("inf")) | F.isnan(gap) | (gap <= limit))
+        columns = [F.col(f"r.{c}") for c in ("_nth", *point)]
+        asked = [c for c in asking.columns if c not in ("_at", "_cell", "_met")]
+        pairs = asking.alias("l").join(there.alias("r"), on).select(*columns, *[F.col(f"l.{c}") for c in asked])
         found = computed_once(distance(pairs), "distance")
         found = found.filter(F.col("distance").isNotNull() & ~F.isnan("distance") & (F.col("distance") <= F.col("_limit")))
-        return found.select("seed_id", "distance", "_nth")
+        return _first_in_batches(found.select("seed_id", "distance", "_nth"), n)
 
     def ranked(found: DataFrame) -> DataFrame:
         overall = W.partitionBy("seed_id").orderBy("distance", "_nth")
         return found.withColumn("rank", F.row_number().over(overall)).filter(F.col("rank") <= n)
 
-    no_limit = F.lit(float("inf"))
-    first = kept(ranked(measured(home.withColumn("_limit", no_limit), _bins_between(*near))))
-    limits = first.filter(F.col("rank") == n).select("seed_id", F.col("distance").alias("_far"))
-    limit = F.coalesce("_far", no_limit)
-    asked = home.join(limits, "seed_id", "left")
-    asked = asked.withColumn("_limit", limit + (limit + F.abs(seed_bound) + 1.0) * SLACK).drop("_far")
-    asked = asked.withColumn("_from", F.col(seed_bound) - F.col("_limit"))
-    asked = asked.withColumn("_to", F.col(seed_bound) + F.col("_limit"))
-    asked = _with_bin(_with_bin(asked, edges, group, "_from", "_low"), edges, group, "_to", "_high")
-    unlimited = F.col("_limit") == no_limit
-    low = F.when(unlimited, F.lit(0)).otherwise(F.col("_low"))
-    high = F.when(unlimited, F.col("_top")).otherwise(F.col("_high"))
-    second = measured(asked, F.concat(_bins_between(low, near[0] - 1), _bins_between(near[1] + 1, high)))
-    best = ranked(first.drop("rank").unionByName(second))
+    def limited(asking: DataFrame, best: DataFrame) -> DataFrame:
+        limits = best.filter(F.col("rank") == n).select("seed_id", F.col("distance").alias("_far"))
+        limit = F.coalesce("_far", F.lit(float("inf")))
+        slack = (limit + F.abs(bounds[0][1]) + 1.0) * SLACK
+        return asking.join(limits, "seed_id", "left").withColumn("_limit", limit + slack).drop("_far")
+
+    best = kept(ranked(measured(home.withColumn("_at", F.col("_cell")), 0, new=False)))
+    home = kept(limited(home, best))
+    no_limit = F.col("_limit") == float("inf")
+    for depth in (len(cut) - 1, 0):
+        bits = BITS * (len(cut) - depth)
+        wider = F.lit(True) if depth == last else no_limit
+        asking = home.filter(wider)
+        if asking.isEmpty():
+            continue
+        found = measured(asking.withColumn("_at", _above("_cell", str(bits))), bits)
+        best = kept(ranked(best.drop("rank").unionByName(found)))
+        home = kept(limited(home.withColumn("_met", F.when(wider, F.lit(bits)).otherwise(F.col("_met"))), best))
+
+    # Who still has no limit has met the whole group.
+    asked = home.filter(~no_limit).withColumnsRenamed({"_cell": "_own"}).withColumn("_cell", F.lit(0).cast("long"))
+    for (_, of_seed), edges in zip(cut[:last], levels, strict=False):
+        ends = (_slice_of(F.col(of_seed) - F.col("_limit")), _slice_of(F.col(of_seed) + F.col("_limit")))
+        asked = _below(asked, edges, group, F.explode(F.sequence(*ends)))
+    asked = asked.withColumnsRenamed({"_cell": "_at", "_own": "_cell"})
+    bits = BITS * (len(cut) - last)
+    # A seed's wider cell may cover several of these.
+    asked = asked.filter((F.col("_met") < bits) | (F.expr(f"shiftright(_at, greatest(_met - {bits}, 0))") != _above("_cell", "_met")))
+    best = ranked(best.drop("rank").unionByName(measured(asked, bits)))
     return best.join(placed.select("_nth", *rows.columns), "_nth").drop("_nth")
 
 
@@ -377,6 +416,8 @@ def recommend_batch(
     needed = near.withColumn("_bound", of_row).drop(*middle)
     chosen = valid.select(F.col(c.id).alias("seed_id"), F.col(c.cluster), *start)
     chosen = chosen.join(F.broadcast(centers), c.cluster).withColumn("_seed_bound", of_seed)
+    if metric == "euclidean":  # which the centers are no part of
+        chosen = chosen.drop(*middle)
 
     def distance(pairs: DataFrame) -> DataFrame:
         return vectors.with_distance(pairs, point, start, middle, metric)

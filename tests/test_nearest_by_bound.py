@@ -77,6 +77,29 @@ def test_pairs_grow_slower_than_the_square(spark, metric):
     assert after < 0.25 * sum(len([r for r in many if r[0] == g]) ** 2 for g in (0, 1))
 
 
+def test_pairs_of_a_seed_in_a_large_group(spark):
+    """Of 12,000 rows in one group a seed is measured against a hundred at most."""
+    own, chosen = tables(spark, [(0, *row[1:]) for row in points(12_000)], "euclidean")
+    seen = []
+
+    def measured(pairs):
+        seen.append(Observation())
+        return vectors.with_distance(pairs.observe(seen[-1], F.count(F.lit(1)).alias("n")), POINT, START, CENTER)
+
+    bounds = [("_bound", "_seed_bound"), *zip(POINT, START, strict=True)]
+    best = recommend.nearest_by_bound(own, chosen, "g", measured, "id", POINT, bounds, 3, ["name"])
+    assert best.count() == 36_000
+    assert sum(o.get["n"] for o in seen) < 100 * 12_000
+
+
+def test_a_batch_keeps_the_first_of_every_seed(spark):
+    rows = [(s, float(d), 10 * d + s) for d in (3, 1, 2, 1) for s in (1, 2)]
+    found = spark.createDataFrame(rows, "seed_id long, distance double, _nth long").coalesce(1)
+    got = sorted(map(tuple, recommend._first_in_batches(found, 2).collect()))
+    assert got == [(s, 1.0, 10 + s) for s in (1, 1, 2, 2)]
+    assert recommend._first_in_batches(found.filter("seed_id > 2"), 2).count() == 0
+
+
 def test_many_copies_make_few_pairs(spark):
     """All rows of a group are one point: the pairs are a multiple of the rows."""
     rows = [(0, i, "n", 1.0, 2.0, 3.0) for i in range(600)]
