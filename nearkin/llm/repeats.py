@@ -97,7 +97,8 @@ def groups_of(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
         # Fewer rows than eight for each group, of two numbers.
         part = max(GROUP_BYTES // 8, 1)
         parts = firsts.groupBy("like").agg(F.ceil(F.sum("n_bytes") / part).alias("n_parts")).filter("n_parts > 1")
-        parts = F.broadcast(kept(parts))
+        # As a local table its size is known, and so the planner broadcasts it.
+        parts = spark.createDataFrame(parts.toArrow())
         nth = F.coalesce(F.pmod(F.xxhash64("doc_id"), "n_parts"), F.lit(0))
         g = F.pmod(F.xxhash64("like", nth), F.lit(n_groups)).cast("int").alias("g")
         placed, marks = (df.join(parts, "like", "left") for df in (likeness, marks))
