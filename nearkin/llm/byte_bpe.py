@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.common import slices
+from nearkin.llm.common import held, slices
 from nearkin.llm.pretokens import Irregular, Memo, fast_chunks, is_regular, safe_chunks
 
 KEPT_WORDS = 300_000
@@ -303,9 +303,8 @@ class Codec:
         return result
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+    return held(("codec", path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.common import slices
+from nearkin.llm.common import held, slices
 
 EDIT_PERCENT = 5
 BLOCK_BYTES = 2 << 20
@@ -140,15 +140,9 @@ class Matcher:
         return best
 
 
-_matchers: dict[str, Matcher] = {}
-
-
 def _matcher(name: str, items, edit_percent: int) -> Matcher:
     """The matcher of a block, kept by the name that the driver gave it."""
-    if name not in _matchers:
-        _matchers.clear()
-        _matchers[name] = Matcher(items.value, edit_percent)
-    return _matchers[name]
+    return held(name, lambda: Matcher(items.value, edit_percent))
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str]]]:

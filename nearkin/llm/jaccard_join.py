@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.llm import textarrays as ta
-from nearkin.llm.common import kept, shuffles, slices, utf8
+from nearkin.llm.common import held, kept, shuffles, slices, utf8
 from nearkin.llm.repeats import edges
 
 WORDS, PERCENT = 5, 75
@@ -487,6 +487,7 @@ def _text_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     plan = Plan.first(percent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("sets", lambda: None)
         for batch in slices(batches, "text"):
             data, offsets = utf8(batch.column("text"))
             found, bounds = shingle_sets(data, offsets, words)

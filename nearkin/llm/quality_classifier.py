@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearkin.llm.common import slices
+from nearkin.llm.common import held, slices
 from nearkin.llm.pretokens import Memo
 
 BUCKETS = 1 << 18
@@ -149,6 +149,7 @@ def fit(rows: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
     """Train on the bounded rows in one task; the model is ``buckets`` numbers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("training", lambda: None)
         sample = []
         for batch in batches:
             sample += zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "label")), strict=True)
@@ -187,16 +188,14 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(min(logit, 500.0), -500.0)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(name: str, model) -> Scorer:
     """The scorer of a model, kept by the name that the driver gave it."""
-    if name not in _scorers:
-        _scorers.clear()
+
+    def make() -> Scorer:
         packed, bias = model.value
-        _scorers[name] = Scorer(np.frombuffer(packed, "<f4"), bias)
-    return _scorers[name]
+        return Scorer(np.frombuffer(packed, "<f4"), bias)
+
+    return held(name, make)
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", score: str = "score") -> DataFrame:

@@ -1,12 +1,17 @@
 """The pipeline and the registered queries of the subpackage."""
 
+import weakref
+from types import SimpleNamespace
+
+import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from checks import compare
-from nearkin.llm import queries
+from nearkin.llm import byte_bpe, quality_classifier, queries
 from tests.llm import helpers
 
 SF_DIR = helpers.TABLES
@@ -79,3 +84,16 @@ def test_odd_rows_pass(spark):
     assert scored.columns == [*given.columns, "score"] and scored.count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, given.limit(0), SF_DIR).collect() == []
+
+
+def test_a_worker_holds_one_thing_at_a_time():
+    """Of what the stages of a pipeline gather only the last one's stays."""
+    first = byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN) is first
+    gone = weakref.ref(first)
+    del first
+    weights = np.zeros(quality_classifier.BUCKETS, "<f4")
+    model = SimpleNamespace(value=(weights.tobytes(), 0.0))
+    scorer = quality_classifier._scorer("some model", model)
+    assert gone() is None
+    assert quality_classifier._scorer("some model", model) is scorer
