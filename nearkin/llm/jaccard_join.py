@@ -48,6 +48,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nearkin.llm import textarrays as ta
@@ -640,6 +641,7 @@ def linked(
         return bucketed.groupBy("bucket").applyInArrow(lambda t: _verify(t, percent), "x long, y long")
 
     found = components(verified(pairs))
+    groups = _merged(groups, found)
     sketched = packed_sets.select(F.col("doc_id").alias("node"), "sketch")
     step, every = 1, False
     while True:
@@ -700,6 +702,23 @@ def _opened(groups: DataFrame, found: DataFrame, step: int) -> DataFrame:
     return kept(placed.join(several.join(more, "a"), "name"))
 
 
+def _merged(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """The groups that lie in several components, those around one component as a single one
+    where that has no more pairs than they have: as they share members, each would make
+    the same pairs. What share no subset and so meet in vain is told apart by sketches."""
+    opened = _opened(groups, found, 1)
+    apart = opened.select("a", "name", F.col("n").cast("double").alias("n")).distinct()
+    apart = apart.groupBy("a").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.count("*").alias("names"))
+    together = opened.select("a", "node").distinct().groupBy("a").agg(F.count("*").cast("double").alias("m"))
+    alike = kept(apart.join(together, "a").filter("names > 1 AND m * m <= pairs").select("a"))
+    members = opened.join(alike, "a").groupBy("a", "node").agg(F.max("size").alias("size"), F.max("probe").alias("probe"))
+    at = F.row_number().over(W.partitionBy("a").orderBy("size", "node")) - 1
+    # Longer than the digests that the other groups have as names.
+    name = F.encode(F.concat(F.lit("all around component "), F.col("a").cast("string")), "UTF-8")
+    one = members.select(name.alias("name"), at.cast("long").alias("at"), "node", "size", "probe")
+    return kept(opened.join(alike, "a", "left_anti").select(*_MEMBER).unionByName(one))
+
+
 def _further_pairs(groups: DataFrame, sketched: DataFrame, step: int, percent: int, every: bool) -> DataFrame:
     """The pairs (x, y) of different components that are ``step`` to ``FURTHER * step - 1`` places
     apart in a group, and whose sketches do not rule out a link; unless ``every`` is wanted, of

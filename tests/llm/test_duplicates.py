@@ -202,3 +202,17 @@ def test_nothing_is_broadcast_by_hand(spark):
     docs = table(spark, [(1, "a b"), (2, "a b")]).filter(F.col("doc_id") > 0)
     plan = block_dedup.digest(docs)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in plan
+
+
+def test_groups_with_the_same_members_become_one(spark):
+    """Around component 1, eight groups of ten out of eleven nodes; around 100, three groups of two."""
+    groups = [(f"g{g}", sorted({*range(1, 12)} - {g + 2})) for g in range(8)]
+    groups += [(f"h{h}", [100, 100 + h]) for h in (1, 2, 3)]
+    rows = [(name.encode(), at, node, 20 + node, at == 3) for name, nodes in groups for at, node in enumerate(nodes)]
+    members = spark.createDataFrame(rows, "name binary, at long, node long, size long, probe boolean")
+    found = spark.createDataFrame([], "node long, component long")
+    got = {}
+    for r in jaccard_join._merged(members, found).orderBy("name", "at").collect():
+        got.setdefault(bytes(r["name"]), []).append((r["at"], r["node"], r["size"]))
+    assert {k: [node for _, node, _ in v] for k, v in got.items() if k[:1] == b"h"} == {b"h%d" % h: [100, 100 + h] for h in (1, 2, 3)}
+    assert [v for k, v in got.items() if k[:1] != b"h"] == [[(i, i + 1, 21 + i) for i in range(11)]]
