@@ -25,6 +25,7 @@ import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,29 +34,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.llm.common import held, slices
-from nearkin.llm.pretokens import Irregular, Memo, fast_chunks, is_regular, safe_chunks
+from nearkin.llm.pretokens import SIGNS, Memo, is_regular, joined, looked_up
 
 KEPT_WORDS = 300_000
 WORDS_PER_QUERY = 60_000
 BYTES_PER_QUERY = 600_000
 LONG_WORD = 255
+USUAL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 TOKENS_PER_DECODE = 400_000
 
-# A pair is looked up by one number, (left << 16) | right; the least pair of a
-# word by (rank << 12) | position. Long words use wider numbers.
+# A pair is looked up by one number, (left << 32) | right; the least pair of a
+# word by (rank << 24) | (position << 12) | position of its right token. A word
+# begins at position 0, so that the last token of a word has no greater one behind it.
 _CONTRACT = """
 WITH RECURSIVE step(w, pos, tok, more) AS (
   SELECT w, pos, tok, true FROM tokens
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT w, pos, tok, (tok::BIGINT << 32) | lead(tok) OVER o AS pair, lag(pos) OVER o AS before
-     FROM step WHERE more WINDOW o AS (PARTITION BY w ORDER BY pos)),
+     SELECT w, pos, tok, (tok::BIGINT << 32) | lead(tok) OVER o AS pair, lead(pos) OVER o AS after
+     FROM step WHERE more WINDOW o AS (ORDER BY (w::BIGINT << 12) | pos)),
    least_pairs AS (
-     SELECT w, min((m.merged::BIGINT << 12) | pos) AS best
-     FROM pairs JOIN merges m USING (pair) GROUP BY w)
-   SELECT p.w, pos, CASE WHEN pos = best & 4095 THEN (best >> 12)::INT ELSE tok END, best IS NOT NULL
+     SELECT w, min((m.merged::BIGINT << 24) | (pos::BIGINT << 12) | after) AS best
+     FROM pairs JOIN merges m USING (pair) WHERE after > pos GROUP BY w)
+   SELECT p.w, pos, CASE WHEN pos = (best >> 12) & 4095 THEN (best >> 24)::INT ELSE tok END, best IS NOT NULL
    FROM pairs p LEFT JOIN least_pairs USING (w)
-   WHERE best IS NULL OR before IS NULL OR before <> best & 4095)
+   WHERE best IS NULL OR pos <> (best & 4095))
 )
 SELECT w, pos, tok FROM step WHERE NOT more ORDER BY w, pos"""
 
@@ -88,9 +91,11 @@ WITH RECURSIVE step(w, pos, tok, more) AS (
 )
 SELECT w, pos, tok FROM step WHERE NOT more ORDER BY w, pos"""
 
+# The bytes of all sequences in one ordered aggregate; a letter that is no byte ends each of them.
+_END = "\u0100"
 _DECODE = """
-SELECT doc, string_agg(letters, '' ORDER BY pos) AS decoded
-FROM ids JOIN vocabulary USING (id) GROUP BY doc"""
+SELECT string_agg(letters, '' ORDER BY pos) AS decoded
+FROM ids JOIN vocabulary USING (id)"""
 
 
 # Characters outside these ranges, in which every character is assigned, are looked at one by one.
@@ -141,8 +146,10 @@ class Codec:
         # Letters alone, or with a blank in front, are one pre-token.
         first = [way for way in pattern.split("|") if not way.startswith("'")][0]
         self.letters_are_one = first == r" ?\p{L}+"
+        # So are signs behind them, where the pattern is the usual one.
+        self.signs = SIGNS if pattern == USUAL else ""
         self.words = Memo(self._unknown, KEPT_WORDS)
-        self.chunks = Memo(self._unknown, KEPT_WORDS, check=True)
+        self.chunks = Memo(self._unknown, KEPT_WORDS)
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         self._load_tables()
@@ -174,7 +181,9 @@ class Codec:
             }
         )
         letters = [token.decode("latin-1") for token in self.ranks]
-        vocabulary = pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "letters": letters})
+        self.end = size
+        numbers = pa.array([*self.ranks.values(), self.end], pa.int32())
+        vocabulary = pa.table({"id": numbers, "letters": [*letters, _END]})
         self.db.register("merges_in", table)
         self.db.register("vocabulary_in", vocabulary)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
@@ -185,11 +194,13 @@ class Codec:
     def pieces(self, chunk: str) -> list[str]:
         """The matches of the pattern. For characters that this Python's Unicode does
         not assign, stand-ins of the class that the library gives them are matched."""
-        if chunk.isascii():
-            if self.letters_are_one and (chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha())):
-                return [chunk]
+        if chunk.isascii() or not _SURE.search(chunk):
+            if self.letters_are_one:
+                word = chunk.rstrip(self.signs) if self.signs else chunk
+                if word.isalpha() or (word[:1] == " " and word[1:].isalpha()):
+                    return [word, chunk[len(word) :]] if len(word) < len(chunk) else [chunk]
             return self.find.findall(chunk)
-        if not _SURE.search(chunk) or not self.unassigned.search(chunk):
+        if not self.unassigned.search(chunk):
             return self.find.findall(chunk)
         known = self.unassigned.sub(lambda found: stand_in(found[0], self.pattern), chunk)
         return [chunk[m.start() : m.end()] for m in self.find.finditer(known)]
@@ -239,26 +250,12 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, packed as little-endian 32-bit integers."""
-        cut: list[list[str]] = []
-        own: list[set[str]] = []
-        for text in texts:
-            try:
-                cut.append(fast_chunks(text) if text else [])
-                own.append(set(cut[-1]))
-            except Irregular:
-                cut.append(safe_chunks(text))
-                own.append(set())
-        known, before = self.chunks.get, self.chunks.old.get
-        every = set().union(*own)
-        odd = {c for c in every if known(c) is None and not is_regular(c)}
-        for i, chunks in enumerate(own):
-            if not odd.isdisjoint(chunks):
-                cut[i] = safe_chunks(texts[i])
-        wanted = set().union(*cut)
+        rows, regular, others = looked_up(texts, self.chunks)
         # The ids of a chunk are never empty.
-        values = {chunk: known(chunk) or before(chunk) for chunk in wanted}
+        before = self.chunks.old.get
+        values = {chunk: before(chunk) for chunk in regular | others}
         missing = {chunk: self.pieces(chunk) for chunk, value in values.items() if value is None}
-        pieces = {piece for found in missing.values() for piece in found}
+        pieces = set(chain.from_iterable(missing.values()))
         known, before = self.words.get, self.words.old.get
         words = {piece: known(piece) or before(piece) for piece in pieces}
         new = self.encode_words([word for word, value in words.items() if value is None])
@@ -267,9 +264,10 @@ class Codec:
             self.words.keep(word, value)
         for chunk, found in missing.items():
             values[chunk] = words[found[0]] if len(found) == 1 else b"".join([words[piece] for piece in found])
-            if (chunk in every and chunk not in odd) or is_regular(chunk):
-                self.chunks.keep(chunk, values[chunk])
-        return [b"".join(map(values.__getitem__, chunks)) for chunks in cut]
+        for chunk, value in values.items():
+            if chunk in regular or is_regular(chunk):
+                self.chunks.keep(chunk, value)
+        return joined(rows, values)
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """The bytes of each sequence of ids."""
@@ -285,22 +283,12 @@ class Codec:
         return result
 
     def _decode(self, packed: list[bytes]) -> list[bytes]:
-        counts = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
-        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
-        table = pa.table(
-            {
-                "doc": np.repeat(np.arange(len(packed), dtype=np.int32), counts),
-                "pos": np.arange(len(ids), dtype=np.int32),
-                "id": ids,
-            }
-        )
-        self.db.register("ids", table)
-        found = self.db.sql(_DECODE).to_arrow_table()
+        end = np.array([self.end], "<u4").tobytes()
+        ids = np.frombuffer(end.join(packed), "<u4").astype(np.int32)
+        self.db.register("ids", pa.table({"pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+        decoded = self.db.sql(_DECODE).fetchall()[0][0] or ""
         self.db.unregister("ids")
-        result = [b""] * len(packed)
-        for doc, letters in zip(found["doc"].to_pylist(), found["decoded"].to_pylist(), strict=True):
-            result[doc] = letters.encode("latin-1")
-        return result
+        return [letters.encode("latin-1") for letters in decoded.split(_END)]
 
 
 def codec(path: str, pattern: str) -> Codec:

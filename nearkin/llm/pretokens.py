@@ -11,12 +11,16 @@ pre-token of its own.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+import string
+from collections.abc import Callable, Iterable
+from itertools import filterfalse
 
 _MARK = "\0"
 # Splits before a blank that stands between two characters that are no white space.
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 LONGEST_KEPT = 256
+# Behind letters these are one pre-token, and no letter, digit or white space.
+SIGNS = string.punctuation
 
 
 class Irregular(Exception):
@@ -85,3 +89,38 @@ def values_of(text: str, table: dict, compute: Callable[[str], object]) -> list:
         return list(map(table.__getitem__, fast_chunks(text)))
     except Irregular:
         return [table[c] if is_regular(c) else compute(c) for c in safe_chunks(text)]
+
+
+def looked_up(
+    texts: Iterable[str | None], table: Memo
+) -> tuple[list[tuple[list[str], list]], set[str], set[str]]:
+    """The chunks of every text with what the table has for them, else None; and the chunks
+    that it lacks: regular ones, and others that may be irregular."""
+    rows, regular, others = [], set(), set()
+    for text in texts:
+        chunks, values = [], []
+        if text:
+            try:
+                chunks = fast_chunks(text)
+                values = list(map(table.get, chunks))
+                if None in values:
+                    unknown = {chunk for chunk, value in zip(chunks, values, strict=True) if value is None} - regular
+                    if not all(map(is_regular, unknown)):  # what the table has is regular
+                        raise Irregular
+                    regular |= unknown
+            except Irregular:
+                chunks = safe_chunks(text)
+                values = list(map(table.get, chunks))
+                others.update(chunk for chunk, value in zip(chunks, values, strict=True) if value is None)
+        rows.append((chunks, values))
+    return rows, regular, others
+
+
+def joined(rows: list[tuple[list[str], list]], new: dict[str, bytes]) -> list[bytes]:
+    """The values of every text's chunks in one, those that the table lacked from ``new``."""
+    return [
+        b"".join([new[chunk] if value is None else value for chunk, value in zip(chunks, values, strict=True)])
+        if None in values
+        else b"".join(values)
+        for chunks, values in rows
+    ]

@@ -172,3 +172,59 @@ def test_sure_characters_are_assigned():
         letter = chr(point)
         assert bool(found.match(letter)) == (unicodedata.category(letter) == "Cn")
         assert byte_bpe._SURE.match(letter) or not found.match(letter)
+
+
+class Counted:
+    """A function that counts its calls."""
+
+    def __init__(self, call):
+        self.call, self.calls = call, 0
+
+    def __call__(self, *args):
+        self.calls += 1
+        return self.call(*args)
+
+
+WORDS = ["the", " the", " caf\u00e9", " \u0434\u043e\u043c", "\u4e2d\u6587"]
+TAILS = ["", ",", "***", "'", "''", "$$$", "_", "%.", "+=<|>"]
+
+
+def test_words_with_signs_need_no_pattern(encoding):
+    codec = byte_bpe.Codec(RANKS, PATTERN)
+
+    class Pattern:
+        findall = Counted(codec.find.findall)
+
+    codec.find = Pattern
+    for word in WORDS:
+        for tail in TAILS:
+            assert codec.pieces(word + tail) == [word, tail][: 2 if tail else 1]
+    assert Pattern.findall.calls == 0
+    for chunk in [" the's", "***the", " a1,", "e\u0301,", " ***", "'s", "'", " '", "x's'", "\n"]:
+        assert codec.pieces(chunk) == codec.find.findall(chunk)
+    texts = [f"{a}{x}{b}{y}" for a in WORDS for x in TAILS for b in WORDS for y in TAILS]
+    assert codec.encode(texts) == [packed(encoding.encode_ordinary(t)) for t in texts]
+
+
+def test_another_pattern_cuts_signs_its_own_way():
+    codec = byte_bpe.Codec(RANKS, r" ?\p{L}+|[^\s\p{L}]|\s+")
+    assert codec.pieces(" the,,") == [" the", ",", ","]
+
+
+def test_sequences_are_decoded_by_one_aggregate(encoding):
+    """Texts of one query come apart again, empty ones and letters beyond Latin-1 too."""
+    codec = byte_bpe.Codec(RANKS, PATTERN)
+    assert "GROUP BY" not in byte_bpe._DECODE
+    texts = ["", "a", "", "\u0100\u0100 \u00ff", "\0", "", "the end\n", ""]
+    for some in (texts, texts[:1], texts[1:2], []):
+        assert codec.decode([packed(encoding.encode_ordinary(t)) for t in some]) == [t.encode() for t in some]
+
+
+def test_a_full_cache_changes_no_ids(encoding):
+    texts = [f"the {a}{x}{b}  {y}\n{a} {a}\t{b}" for a in WORDS for x in TAILS for b in WORDS for y in TAILS[:4]]
+    texts += ["x" * 300 + " y"] * 2
+    codec = byte_bpe.Codec(RANKS, PATTERN)
+    codec.words.limit = codec.chunks.limit = 7
+    for start in range(0, len(texts), 50):
+        some = texts[start : start + 50]
+        assert codec.encode(some) == [packed(encoding.encode_ordinary(t)) for t in some]
