@@ -65,6 +65,7 @@ class Memo(dict):
             value = self.compute(key)
         if len(key) <= LONGEST_KEPT:  # as keep, without a call
             if len(self) >= self.limit:
+                self.old = {}  # its room goes before the copy needs some
                 self.old = dict(self)
                 self.clear()
             self[key] = value
@@ -73,6 +74,7 @@ class Memo(dict):
     def keep(self, key: str, value) -> None:
         if len(key) <= LONGEST_KEPT:
             if len(self) >= self.limit:
+                self.old = {}  # its room goes before the copy needs some
                 self.old = dict(self)
                 self.clear()
             self[key] = value

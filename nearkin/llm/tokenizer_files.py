@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import regex
 
-from nearkin.llm.pretokens import Memo
+from nearkin.llm.pretokens import SIGNS, Irregular, Memo, is_regular
 
 KEPT_CHUNKS = 300_000
 KEPT_ID_CHUNKS = 800_000
@@ -58,10 +58,11 @@ class ByteTokenizer:
         if not plain:
             raise ValueError("a byte-level tokenizer without normalizer is needed")
         self.added = [token["content"] for token in spec["added_tokens"]]
-        self.model = self.library.model
+        self.tokenize = self.library.model.tokenize
+        self.id_bytes = [_packed([i]) for i in range(max(spec["model"]["vocab"].values()) + 1)]
         self.pieces = regex.compile(pattern).findall
         self.letters = _byte_letters()
-        self.words = Memo(self._piece, KEPT_PIECES)
+        self.words = Memo(self.piece, KEPT_PIECES)
 
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -69,12 +70,13 @@ class ByteTokenizer:
     def has_added(self, text: str) -> bool:
         return any(token in text for token in self.added)
 
-    def _piece(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
         if piece.isascii() and piece[1:].isalnum():  # such bytes stand for themselves
             mapped = self.letters[ord(piece[0])] + piece[1:]
         else:
             mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return _packed([token.id for token in self.model.tokenize(mapped)])
+        own = self.id_bytes
+        return b"".join([own[token.id] for token in self.tokenize(mapped)])
 
     def chunk(self, chunk: str) -> bytes:
         """The ids of a chunk as little-endian 32-bit integers."""
@@ -83,13 +85,41 @@ class ByteTokenizer:
         # Letters alone are one pre-token, a sign behind them is another.
         if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
             return self.words[chunk]
-        if chunk[-1] in ",.;:!?":
-            word = chunk[:-1]
-            if word.isalpha() or (word[:1] == " " and word[1:].isalpha()):
-                return self.words[word] + self.words[chunk[-1]]
+        word = chunk.rstrip(SIGNS)
+        if len(word) < len(chunk) and (word.isalpha() or (word[:1] == " " and word[1:].isalpha())):
+            return self.words[word] + self.words[chunk[len(word) :]]
         return b"".join(map(self.words.__getitem__, self.pieces(chunk)))
 
 
+class IdTable(Memo):
+    """Chunk -> ids as little-endian 32-bit integers. A word with signs behind it is
+    worked out from the word alone, if that is here."""
+
+    def __init__(self, tokenizer: ByteTokenizer, limit: int):
+        super().__init__(tokenizer.chunk, limit, check=True)
+        self.tokenizer = tokenizer
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            word = key.rstrip(SIGNS)
+            # Letters, or a blank and letters, are regular and one pre-token; signs are another.
+            if (word.isalpha() or (word[:1] == " " and word[1:].isalpha())) and (
+                key.isascii() or not _UNSURE.search(key)
+            ):
+                own = self.tokenizer
+                if len(word) < len(key):
+                    value = (self.get(word) or own.piece(word)) + own.words[key[len(word) :]]
+                else:
+                    value = own.piece(word)
+            elif is_regular(key):
+                value = self.compute(key)
+            else:
+                raise Irregular
+        self.keep(key, value)
+        return value
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -100,6 +130,5 @@ def load(path: str, pattern: str) -> ByteTokenizer:
 
 
 @lru_cache(maxsize=4)
-def id_table(path: str, pattern: str) -> Memo:
-    """Chunk -> ids as little-endian 32-bit integers."""
-    return Memo(load(path, pattern).chunk, KEPT_ID_CHUNKS, check=True)
+def id_table(path: str, pattern: str) -> IdTable:
+    return IdTable(load(path, pattern), KEPT_ID_CHUNKS)

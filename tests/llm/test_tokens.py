@@ -220,11 +220,28 @@ def test_sequences_are_decoded_by_one_aggregate(encoding):
         assert codec.decode([packed(encoding.encode_ordinary(t)) for t in some]) == [t.encode() for t in some]
 
 
-def test_a_full_cache_changes_no_ids(encoding):
+def test_a_full_cache_changes_no_ids(encoding, library):
     texts = [f"the {a}{x}{b}  {y}\n{a} {a}\t{b}" for a in WORDS for x in TAILS for b in WORDS for y in TAILS[:4]]
     texts += ["x" * 300 + " y"] * 2
     codec = byte_bpe.Codec(RANKS, PATTERN)
     codec.words.limit = codec.chunks.limit = 7
+    table = tokenizer_files.IdTable(tokenizer_files.ByteTokenizer(JSON, PATTERN), 7)
     for start in range(0, len(texts), 50):
         some = texts[start : start + 50]
         assert codec.encode(some) == [packed(encoding.encode_ordinary(t)) for t in some]
+        got = [b"".join(pretokens.values_of(t, table, table.tokenizer.chunk)) for t in some]
+        assert got == [packed(library.encode(t, add_special_tokens=False).ids) for t in some]
+
+
+def test_a_known_word_is_not_tokenized_again(library):
+    """One call of the model for a word with any signs, one for each run of signs."""
+    tokenizer = tokenizer_files.ByteTokenizer(JSON, PATTERN)
+    tokenizer.tokenize = Counted(tokenizer.tokenize)
+    tokenizer.pieces = None
+    table = tokenizer_files.IdTable(tokenizer, 1000)
+    chunks = [word + tail for tail in TAILS for word in WORDS if tail != "'" or word.isascii()]
+    for chunk in chunks:
+        assert table[chunk] == packed(library.encode(chunk, add_special_tokens=False).ids)
+    assert tokenizer.tokenize.calls == len(WORDS) + len(TAILS) - 1
+    with pytest.raises(pretokens.Irregular):
+        table[" the\n"]
